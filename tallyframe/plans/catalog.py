@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.plans import reports, roundtrips
+from tallyframe.plans import layout, reports, roundtrips, streams
 from tallyframe.plans.sql import revenue_by_country_sql
 from tallyframe.sources.tables import read_table
 
@@ -94,6 +94,8 @@ QUERIES: dict[str, Query] = {
     "broadcast_lookup": q_broadcast_lookup,
     "preview_top_n": q_preview_top_n,
     **roundtrips.QUERIES,
+    **streams.QUERIES,
+    **layout.QUERIES,
 }
 
 
@@ -204,4 +206,6 @@ ORDER BY o_totalprice DESC, o_orderkey
 LIMIT 20
 """,
     **roundtrips.ORACLE_SQL,
+    **streams.ORACLE_SQL,
+    **layout.ORACLE_SQL,
 }

@@ -1,0 +1,13 @@
+"""Structured Streaming jobs: resume-safe copy, stateful totals."""
+
+from tallyframe.streaming.purchases import event_stream, purchases, run_purchase_copy
+from tallyframe.streaming.totals import event_totals, latest_totals, run_event_totals
+
+__all__ = [
+    "event_stream",
+    "event_totals",
+    "latest_totals",
+    "purchases",
+    "run_event_totals",
+    "run_purchase_copy",
+]
