@@ -21,8 +21,11 @@ BROADCAST_MAX_ROWS = 1_000_000
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """True if ``dim`` has at most ``max_rows`` rows.
 
-    The count is a Spark job in which every task sends one partial count, so
-    checking even a huge table moves almost nothing.
+    Pass the dimension *table* (or a projection of it): a count that needs no
+    column is answered from Parquet row-group metadata, so the check costs no
+    data scan even on a huge table, and every task sends one partial count.
+    Inner joins with a unique-key table and filters only remove rows, so the
+    table's count bounds any such derived dimension.
     """
     if max_rows <= 0:
         return False
@@ -42,6 +45,7 @@ def rollup_through_dimension(
     dim_key: str,
     attributes: list[str],
     max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+    size_probe: DataFrame | None = None,
 ) -> DataFrame:
     """Additive measures of ``fact`` summed by attributes of ``dim``.
 
@@ -53,10 +57,14 @@ def rollup_through_dimension(
     * otherwise: sum by the fact key first (partial + final aggregation, so a
       key holding a third of all rows is reduced inside every map task), then
       a shuffle join of one row per key with the dimension, then the rollup.
+
+    ``size_probe`` is the table whose row count bounds ``dim`` (default:
+    ``dim`` itself); see ``fits_broadcast``.
     """
     dim_cols = dim.select(F.col(dim_key), *[F.col(a) for a in attributes])
     per_row = fact.select(F.col(fact_key), *[expr.alias(name) for name, expr in measures.items()])
-    if fits_broadcast(dim_cols, max_broadcast_rows):
+    probe = size_probe if size_probe is not None else dim_cols
+    if fits_broadcast(probe, max_broadcast_rows):
         joined = per_row.join(F.broadcast(dim_cols), per_row[fact_key] == dim_cols[dim_key])
     else:
         per_key = per_row.groupBy(fact_key).agg(*[F.sum(name).alias(name) for name in measures])

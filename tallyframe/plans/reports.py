@@ -25,6 +25,8 @@ PREVIEW_ROWS = 20
 # Text written in place of the amount of a pending order by the dirty-text
 # fixture; it must be rejected by the lenient parse.
 UNPARSEABLE_AMOUNT = "n/a"
+# Bound under which the nation table is broadcast (it has 25 rows by design).
+NATION_MAX_ROWS = 10_000
 
 
 def revenue_by_country(
@@ -40,7 +42,7 @@ def revenue_by_country(
     broadcast of ``nation``) is broadcast when small; otherwise orders are
     summed per customer before the shuffle join.
     """
-    nations = checked_broadcast(nation.select("n_nationkey", F.col("n_name").alias("country")), 10_000)
+    nations = checked_broadcast(nation.select("n_nationkey", F.col("n_name").alias("country")), NATION_MAX_ROWS)
     customer_country = (
         customer.select("c_custkey", "c_nationkey")
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -54,6 +56,7 @@ def revenue_by_country(
         "c_custkey",
         ["country"],
         max_broadcast_rows,
+        size_probe=customer,
     )
     result = sums.select("country", cents_to_amount("revenue_cents").alias("total_revenue"))
     return sorted_by(result, [F.col("total_revenue").desc()], ["country"])

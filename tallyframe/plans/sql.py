@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.operators.joins import checked_broadcast
+from tallyframe.plans.reports import NATION_MAX_ROWS
 
 # Orders are summed per customer before the joins: the partial aggregation
 # collapses a customer holding many orders inside each map task, and only one
@@ -45,6 +46,6 @@ def revenue_by_country_sql(
     register_views({
         "orders": orders,
         "customer": customer,
-        "nation": checked_broadcast(nation, 10_000),
+        "nation": checked_broadcast(nation, NATION_MAX_ROWS),
     })
     return spark.sql(REVENUE_BY_COUNTRY_SQL)
