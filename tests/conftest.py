@@ -44,4 +44,4 @@ def rows(df, *cols):
     """Sorted list of tuples of ``df`` (optionally projected)."""
     if cols:
         df = df.select(*cols)
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((v is not None, v) for v in t))
