@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions import cents, cents_to_amount, exact_avg, exact_sum, lenient_number
+from tallyframe.functions import cents, cents_to_amount, lenient_number
+from tallyframe.operators.aggregates import money_summary
 from tallyframe.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast, rollup_through_dimension
 from tallyframe.operators.ordering import sorted_by, top_n
 
@@ -107,14 +108,14 @@ def filtered_order_count(orders: DataFrame, min_price: float = TEXT_FILTER_MIN_P
 
 def total_sales_by_customer(orders: DataFrame) -> DataFrame:
     """``o_custkey``, ``total_sales`` (exact)."""
-    return orders.groupBy("o_custkey").agg(exact_sum("o_totalprice").alias("total_sales"))
+    return money_summary(orders, ["o_custkey"], "o_totalprice", sum_as="total_sales")
 
 
 def revenue_by_category(orders: DataFrame) -> DataFrame:
     """``category``, ``total_orders``, ``total_revenue`` by order priority, dearest first."""
-    result = orders.groupBy(F.col("o_orderpriority").alias("category")).agg(
-        F.count("o_orderkey").alias("total_orders"),
-        exact_sum("o_totalprice").alias("total_revenue"),
+    result = money_summary(
+        orders, [F.col("o_orderpriority").alias("category")], "o_totalprice",
+        count_as="total_orders", count_of="o_orderkey", sum_as="total_revenue",
     )
     return sorted_by(result, [F.col("total_revenue").desc()], ["category"])
 
@@ -126,47 +127,48 @@ def product_sales_metrics(
     quantity: str = "l_quantity",
 ) -> DataFrame:
     """Per product: total amount, total quantity, average amount; by product key."""
-    result = lineitem.groupBy(product).agg(
-        exact_sum(amount).alias("total_sales_amount"),
-        F.sum(quantity).cast("bigint").alias("total_quantity_sold"),
-        exact_avg(amount).alias("average_transaction_amount"),
-    )
+    result = money_summary(
+        lineitem, [product], amount,
+        sum_as="total_sales_amount",
+        extra=(F.sum(quantity).cast("bigint").alias("total_quantity_sold"),),
+        avg_as="average_transaction_amount",
+    ).select(product, "total_sales_amount", "total_quantity_sold", "average_transaction_amount")
     return sorted_by(result, [], [product])
 
 
 def purchases_by_user(events: DataFrame) -> DataFrame:
     """``user_id``, ``total_purchases``, ``avg_spend`` of purchase events, busiest first."""
-    result = (
-        events.where(F.col("event_type") == PURCHASE_EVENT)
-        .groupBy("user_id")
-        .agg(F.count("user_id").alias("total_purchases"), exact_avg("value").alias("avg_spend"))
+    result = money_summary(
+        events.where(F.col("event_type") == PURCHASE_EVENT), ["user_id"], "value",
+        count_as="total_purchases", count_of="user_id", avg_as="avg_spend",
     )
     return sorted_by(result, [F.col("total_purchases").desc()], ["user_id"])
 
 
 def completed_summary(orders: DataFrame, status: str = COMPLETED_STATUS) -> DataFrame:
     """Finished orders by priority: count, exact sum and average, load stamp."""
-    return (
-        orders.where(F.col("o_orderstatus") == status)
-        .groupBy(F.col("o_orderpriority").alias("category"))
-        .agg(
-            F.count("o_orderkey").alias("total_orders"),
-            exact_sum("o_totalprice").alias("total_revenue"),
-            exact_avg("o_totalprice").alias("avg_order_value"),
-        )
-        .withColumn("processed_at", F.current_timestamp())
+    summary = money_summary(
+        orders.where(F.col("o_orderstatus") == status),
+        [F.col("o_orderpriority").alias("category")], "o_totalprice",
+        count_as="total_orders", count_of="o_orderkey",
+        sum_as="total_revenue", avg_as="avg_order_value",
     )
+    return summary.withColumn("processed_at", F.current_timestamp())
 
 
-def customer_sales_report(orders: DataFrame, customer: DataFrame) -> DataFrame:
+def customer_sales_report(orders: DataFrame, customer: DataFrame, strategy: str | None = None) -> DataFrame:
     """``o_custkey``, ``c_name``, ``total_sales``, ``c_mktsegment``.
 
     Aggregate first, then join: the aggregate is already hash-partitioned on
     the customer key, so only the customer side is shuffled for the join (or
-    neither, if AQE finds one side small enough to broadcast).
+    neither, if AQE finds one side small enough to broadcast).  ``strategy``
+    is an optional join hint for the customer side (``merge``,
+    ``shuffle_hash``); the answer does not depend on it.
     """
     sales = total_sales_by_customer(orders)
     customers = customer.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    if strategy:
+        customers = customers.hint(strategy)
     return sales.join(customers, on="o_custkey", how="inner").select(
         "o_custkey", "c_name", "total_sales", "c_mktsegment"
     )

@@ -51,3 +51,32 @@ def test_shuffled_input_order(spark):
     a = sorted(tuple(r) for r in reports.total_sales_by_customer(orders).collect())
     b = sorted(tuple(r) for r in reports.total_sales_by_customer(orders.repartition(7).sortWithinPartitions("o_totalprice")).collect())
     assert a == b
+
+
+@pytest.mark.parametrize("strategy", ["merge", "shuffle_hash"])
+def test_join_hint_does_not_change_answer(spark, strategy):
+    from tallyframe.plans import reports
+    from tallyframe.plans.inspect import plan_text
+    from tallyframe.sources.tables import read_table
+
+    orders, customer = read_table(spark, SF_SMALL, "orders"), read_table(spark, SF_SMALL, "customer")
+    base = sorted(tuple(r) for r in reports.customer_sales_report(orders, customer).collect())
+    with conf(spark, spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1"):
+        df = reports.customer_sales_report(orders, customer, strategy)
+        plan = plan_text(df)
+        got = sorted(tuple(r) for r in df.collect())
+    assert got == base
+    assert ("SortMergeJoin" if strategy == "merge" else "ShuffledHashJoin") in plan
+
+
+def test_money_summary_on_reference_shaped_rows(spark):
+    from tallyframe.operators.aggregates import money_summary
+    from tallyframe.schemas import TRANSACTIONS
+
+    data = [(1, 7, 100, 10.5, 2, "EAST"), (2, 8, 100, 0.01, 1, "WEST"), (3, 7, 101, 0.02, 4, "WEST"),
+            (None, 9, 101, None, 1, "WEST")]
+    df = spark.createDataFrame(data, TRANSACTIONS)
+    got = {r["Region"]: tuple(r)[1:] for r in money_summary(
+        df, ["Region"], "Amount", count_as="orders", count_of="TransactionID",
+        sum_as="revenue", avg_as="avg_amount").collect()}
+    assert got == {"EAST": (1, 10.5, 10.5), "WEST": (2, 0.03, 0.02)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyframe.operators.eventlog import current_app_log, read_event_logs, stage_metrics
-from tallyframe.operators.layout import distribution_summary, partition_distribution
+from tallyframe.operators.layout import distribution_summary, hash_partition_distribution, partition_distribution
 from tallyframe.plans import reports
 from tallyframe.sinks.files import write_noop
 from tallyframe.sources.tables import read_table
@@ -40,3 +40,11 @@ def test_stage_metrics_from_event_log(spark):
     assert any(r["shuffle_write_bytes"] > 0 for r in got)
     assert all(r["tasks"] >= 1 and r["failed_tasks"] == 0 for r in got)
     assert all(r["stage_name"] for r in got)
+
+
+def test_predicted_hash_layout_equals_repartition(spark):
+    orders = read_table(spark, SF_SMALL, "orders")
+    for n in (3, 8, 200):
+        predicted = sorted(tuple(r) for r in hash_partition_distribution(orders, n, "o_custkey").collect())
+        actual = sorted(tuple(r) for r in partition_distribution(orders.repartition(n, "o_custkey")).collect())
+        assert predicted == actual
