@@ -52,8 +52,8 @@ def stage_metrics(events: DataFrame) -> DataFrame:
 
     Columns: ``log_file``, ``stage_id``, ``stage_attempt``, ``stage_name``,
     ``tasks``, ``failed_tasks``, ``run_time_ms``, ``input_bytes``,
-    ``shuffle_read_bytes``, ``shuffle_write_bytes``, ``memory_spill_bytes``,
-    ``disk_spill_bytes``.
+    ``shuffle_read_bytes``, ``shuffle_write_bytes``, ``shuffle_write_records``,
+    ``memory_spill_bytes``, ``disk_spill_bytes``.
     """
     m = F.col("Task Metrics")
     tasks = (
@@ -68,6 +68,7 @@ def stage_metrics(events: DataFrame) -> DataFrame:
                              + F.coalesce(m["Shuffle Read Metrics"]["Local Bytes Read"], F.lit(0))),
                        F.lit(0)).alias("shuffle_read_bytes"),
             F.coalesce(F.sum(m["Shuffle Write Metrics"]["Shuffle Bytes Written"]), F.lit(0)).alias("shuffle_write_bytes"),
+            F.coalesce(F.sum(m["Shuffle Write Metrics"]["Shuffle Records Written"]), F.lit(0)).alias("shuffle_write_records"),
             F.coalesce(F.sum(m["Memory Bytes Spilled"]), F.lit(0)).alias("memory_spill_bytes"),
             F.coalesce(F.sum(m["Disk Bytes Spilled"]), F.lit(0)).alias("disk_spill_bytes"),
         )
@@ -85,7 +86,8 @@ def stage_metrics(events: DataFrame) -> DataFrame:
     )
     return tasks.join(names, ["log_file", "stage_id", "stage_attempt"], "left").select(
         "log_file", "stage_id", "stage_attempt", "stage_name", "tasks", "failed_tasks", "run_time_ms",
-        "input_bytes", "shuffle_read_bytes", "shuffle_write_bytes", "memory_spill_bytes", "disk_spill_bytes",
+        "input_bytes", "shuffle_read_bytes", "shuffle_write_bytes", "shuffle_write_records",
+        "memory_spill_bytes", "disk_spill_bytes",
     )
 
 

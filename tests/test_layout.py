@@ -48,3 +48,27 @@ def test_predicted_hash_layout_equals_repartition(spark):
         predicted = sorted(tuple(r) for r in hash_partition_distribution(orders, n, "o_custkey").collect())
         actual = sorted(tuple(r) for r in partition_distribution(orders.repartition(n, "o_custkey")).collect())
         assert predicted == actual
+
+
+def test_hot_key_is_collapsed_before_the_shuffle(spark):
+    """A key holding a third of all rows adds one shuffle record per map task."""
+    from tallyframe.operators.aggregates import money_summary
+
+    path = current_app_log(spark)
+    n, tasks = 60_000, 6
+    df = spark.range(0, n, 1, tasks).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 500).alias("k"),
+        (F.col("id") % 1000 / 100).alias("amount"),
+    )
+    sc = spark.sparkContext
+    sc.setJobGroup("hot-key-test", "aggregate with a hot key")
+    try:
+        write_noop(money_summary(df, ["k"], "amount", count_as="n", sum_as="total"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stage_ids = [s for j in tracker.getJobIdsForGroup("hot-key-test") for s in tracker.getJobInfo(j).stageIds]
+    after = stage_metrics(read_event_logs(spark, path)).where(F.col("stage_id").isin(stage_ids))
+    written = after.agg(F.sum("shuffle_write_records")).first()[0]
+    distinct_keys = 1 + 500
+    assert 0 < written <= tasks * distinct_keys  # not ~n/3 rows for the hot key

@@ -107,3 +107,20 @@ def test_declared_table_schemas_match_files(spark):
     for name, schema in TABLES.items():
         on_disk = spark.read.parquet(table_path(SF_SMALL, name)).schema
         assert [(f.name, f.dataType) for f in on_disk] == [(f.name, f.dataType) for f in schema], name
+
+
+def test_sales_report_command_line(scratch, spark):
+    import os
+    import subprocess
+    import sys
+
+    out = scratch("cli")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    proc = subprocess.run(
+        [sys.executable, "-m", "tallyframe.jobs.sales_report", table_path(SF_SMALL, "lineitem"), out, "--preview", "3"],
+        cwd=repo, capture_output=True, text=True, timeout=300,
+    )
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    assert "l_partkey" in proc.stdout
+    expected = reports.product_sales_metrics(read_table(spark, SF_SMALL, "lineitem"))
+    assert rows(spark.read.parquet(out)) == rows(expected)
