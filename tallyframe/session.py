@@ -28,6 +28,31 @@ BASE_CONF = {
 }
 
 
+# Target bytes per shuffle partition after AQE coalescing, and the size from
+# which a join partition counts as skewed and is split.
+ADVISORY_PARTITION_BYTES = 128 * 1024 * 1024
+SKEWED_PARTITION_BYTES = 512 * 1024 * 1024
+
+
+def cluster_conf(total_cores: int, largest_shuffle_bytes: int) -> dict[str, str]:
+    """Settings sized for a cluster run.
+
+    The starting shuffle partition count is high enough that each reduce task
+    of the largest shuffle gets about ``ADVISORY_PARTITION_BYTES`` (so it
+    fits in executor memory without spilling much), and at least a few waves
+    over all cores; AQE then coalesces the small shuffles of the same job.
+    Scan splits stay at 128 MB.
+    """
+    by_size = -(-largest_shuffle_bytes // ADVISORY_PARTITION_BYTES)
+    partitions = max(2 * total_cores, by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_PARTITION_BYTES),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(SKEWED_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "tallyframe",

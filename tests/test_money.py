@@ -77,3 +77,12 @@ def test_property_matches_decimal_arithmetic(spark, data):
         avg = (total / len(values)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
         assert out[key][0] == float(total)
         assert out[key][1] == float(avg)
+
+
+def test_cluster_conf_sizes_partitions_by_shuffle_volume():
+    from tallyframe.session import ADVISORY_PARTITION_BYTES, cluster_conf
+
+    small = cluster_conf(total_cores=8, largest_shuffle_bytes=10)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = cluster_conf(total_cores=4000, largest_shuffle_bytes=10 * 1024**4)  # 10 TB shuffle
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-10 * 1024**4 // ADVISORY_PARTITION_BYTES)
