@@ -27,7 +27,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(app_name=f"report-{args.name}")
     try:
         report = QUERIES[args.name](spark, args.root)
-        write_parquet(report, args.output, source_paths=[args.root])
+        write_parquet(report, args.output, source_paths=[args.root], swap=True)
         return 0
     except Exception as exc:
         print(f"report {args.name} failed: {exc}", file=sys.stderr)

@@ -46,7 +46,7 @@ def run_sales_report(
     metrics = product_sales_metrics(load_input(spark, input_path, fmt))
     if output_path is None:
         return metrics
-    write_parquet(metrics, output_path, source_paths=[input_path])
+    write_parquet(metrics, output_path, source_paths=[input_path], swap=True)
     return spark.read.parquet(output_path).orderBy("l_partkey")
 
 

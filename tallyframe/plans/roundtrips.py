@@ -59,12 +59,12 @@ def q_sales_report(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_parquet_overwrite(spark: SparkSession, root: str) -> DataFrame:
-    """Category revenue written twice to one folder; one copy remains."""
+    """Category revenue written twice to one folder (plain, then swapped); one copy remains."""
     orders_path = table_path(root, "orders")
     report = reports.revenue_by_category(read_table(spark, root, "orders"))
     out = scratch_path(spark, "category-revenue")
     write_parquet(report, out, source_paths=[orders_path])
-    write_parquet(report, out, source_paths=[orders_path])
+    write_parquet(report, out, source_paths=[orders_path], swap=True)
     return spark.read.parquet(out)
 
 

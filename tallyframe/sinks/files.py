@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
@@ -19,12 +21,26 @@ def overlaps(a: str, b: str) -> bool:
     return na.startswith(nb) or nb.startswith(na)
 
 
+def _swap_into_place(df: DataFrame, staging: str, target: str) -> None:
+    """Replace ``target`` by the finished ``staging`` folder (Hadoop FS rename)."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target_path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = target_path.getFileSystem(conf)
+    if fs.exists(target_path) and not fs.delete(target_path, True):
+        raise IOError(f"could not remove the old {target}")
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target_path):
+        raise IOError(f"could not move {staging} to {target}")
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
     source_paths: list[str] | tuple[str, ...] = (),
+    swap: bool = False,
 ) -> str:
     """Write ``df`` as Parquet and return ``path``.
 
@@ -34,10 +50,23 @@ def write_parquet(
       replaced (dynamic partition overwrite); others are kept.
     * Files are committed by Spark's output committer, so a retried or
       speculative task never leaves a duplicate file behind.
+    * Spark's own ``overwrite`` deletes the old files before the job runs, so
+      a failed job leaves nothing.  With ``swap=True`` (whole-folder replace
+      only) the job writes a sibling staging folder and the old folder is
+      replaced only after the job has committed; a failed job leaves the old
+      output readable.  The swap is one delete and one rename: atomic on HDFS,
+      a copy on object stores.
     """
     for source in source_paths:
         if overlaps(path, source):
             raise ValueError(f"refusing to write {path!r}: it overlaps the input {source!r}")
+    if swap:
+        if partition_by or mode != "overwrite":
+            raise ValueError("swap replaces a whole folder: mode 'overwrite' without partition_by")
+        staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").parquet(staging)
+        _swap_into_place(df, staging, path)
+        return path
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)

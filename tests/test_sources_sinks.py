@@ -124,3 +124,24 @@ def test_sales_report_command_line(scratch, spark):
     assert "l_partkey" in proc.stdout
     expected = reports.product_sales_metrics(read_table(spark, SF_SMALL, "lineitem"))
     assert rows(spark.read.parquet(out)) == rows(expected)
+
+
+def test_failed_swap_write_keeps_old_output(spark, scratch):
+    out = scratch("parquet")
+    good = spark.createDataFrame([(1, 10), (2, 20)], "k int, v int")
+    write_parquet(good, out, swap=True)
+    failing = spark.range(5).select(F.col("id").alias("k"), (F.lit(1) / (F.col("id") - 3)).cast("int").alias("v"))
+    with conf_ansi(spark):
+        with pytest.raises(Exception):
+            write_parquet(failing, out, swap=True)
+    assert rows(spark.read.parquet(out)) == [(1, 10), (2, 20)]
+    write_parquet(spark.createDataFrame([(3, 30)], "k int, v int"), out, swap=True)
+    assert rows(spark.read.parquet(out)) == [(3, 30)]
+    with pytest.raises(ValueError):
+        write_parquet(good, out, partition_by=["k"], swap=True)
+
+
+def conf_ansi(spark):
+    from tests.test_plans import conf
+
+    return conf(spark, spark__sql__ansi__enabled="true")
