@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions import cents, cents_to_amount, lenient_number
 from tallyframe.operators.aggregates import money_summary
-from tallyframe.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast, rollup_through_dimension
+from tallyframe.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast, fits_broadcast, rollup_through_dimension
 from tallyframe.operators.ordering import sorted_by, top_n
 
 # The thresholds of the reports (amounts in the orders' currency).
@@ -156,19 +156,27 @@ def completed_summary(orders: DataFrame, status: str = COMPLETED_STATUS) -> Data
     return summary.withColumn("processed_at", F.current_timestamp())
 
 
-def customer_sales_report(orders: DataFrame, customer: DataFrame, strategy: str | None = None) -> DataFrame:
+def customer_sales_report(
+    orders: DataFrame,
+    customer: DataFrame,
+    strategy: str | None = None,
+    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+) -> DataFrame:
     """``o_custkey``, ``c_name``, ``total_sales``, ``c_mktsegment``.
 
-    Aggregate first, then join: the aggregate is already hash-partitioned on
-    the customer key, so only the customer side is shuffled for the join (or
-    neither, if AQE finds one side small enough to broadcast).  ``strategy``
-    is an optional join hint for the customer side (``merge``,
-    ``shuffle_hash``); the answer does not depend on it.
+    Aggregate first, then join.  A customer table within the broadcast bound
+    is broadcast; otherwise the aggregate, already hash-partitioned on the
+    customer key, is joined without a second shuffle and only the customer
+    side moves.  ``strategy`` forces a join hint for the customer side
+    (``merge``, ``shuffle_hash``, ``broadcast``); the answer does not depend
+    on it.
     """
     sales = total_sales_by_customer(orders)
     customers = customer.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
     if strategy:
         customers = customers.hint(strategy)
+    elif fits_broadcast(customer, max_broadcast_rows):
+        customers = F.broadcast(customers)
     return sales.join(customers, on="o_custkey", how="inner").select(
         "o_custkey", "c_name", "total_sales", "c_mktsegment"
     )

@@ -3,14 +3,16 @@
 The SQL form plans to the same operators as the DataFrame form; it exists for
 users who write SQL.  Views are registered with ``createOrReplaceTempView``;
 a dimension registered through ``checked_broadcast`` keeps its broadcast hint
-inside the view, so the SQL text needs no unchecked hint of its own.
+inside the view, so the SQL text needs no unchecked hint of its own.  Above
+the bound the customer view carries no hint and the join is a sort-merge join
+on the per-customer aggregate's own partitioning.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.operators.joins import checked_broadcast
+from tallyframe.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast
 from tallyframe.plans.reports import NATION_MAX_ROWS
 
 # Orders are summed per customer before the joins: the partial aggregation
@@ -45,7 +47,7 @@ def revenue_by_country_sql(
     """``country``, ``total_revenue`` from SQL text over temp views."""
     register_views({
         "orders": orders,
-        "customer": customer,
+        "customer": checked_broadcast(customer, BROADCAST_MAX_ROWS),
         "nation": checked_broadcast(nation, NATION_MAX_ROWS),
     })
     return spark.sql(REVENUE_BY_COUNTRY_SQL)

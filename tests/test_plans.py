@@ -75,7 +75,7 @@ def test_large_dimension_pre_aggregates_then_shuffle_joins(spark):
 def test_aggregate_then_join_reuses_partitioning(spark, orders):
     customer = read_table(spark, SF_SMALL, "customer")
     with conf(spark, **STATIC, spark__sql__autoBroadcastJoinThreshold="-1"):
-        plan = plan_text(reports.customer_sales_report(orders, customer))
+        plan = plan_text(reports.customer_sales_report(orders, customer, max_broadcast_rows=0))
     tree = plan.split("\n\n")[0]
     # one exchange for the aggregate, one for the customer side: the join
     # reuses the aggregate's hash partitioning
