@@ -97,3 +97,12 @@ def test_executed_adaptive_plan_after_action(spark, orders):
     df = reports.revenue_by_category(orders)
     df.collect()
     assert "isFinalPlan=true" in plan_text(df)
+
+
+def test_aqe_coalesces_many_small_shuffle_partitions(spark, orders):
+    with conf(spark, spark__sql__shuffle__partitions="200"):
+        df = reports.total_sales_by_customer(orders)
+        df.collect()
+        plan = plan_text(df)
+    assert "isFinalPlan=true" in plan
+    assert "AQEShuffleRead" in plan and "coalesced" in plan

@@ -145,3 +145,11 @@ def conf_ansi(spark):
     from tests.test_plans import conf
 
     return conf(spark, spark__sql__ansi__enabled="true")
+
+
+def test_jdbc_replace_requires_credentials(spark):
+    from tallyframe.sinks.jdbc import replace_table
+
+    df = spark.createDataFrame([(1,)], "k int")
+    with pytest.raises(ValueError):
+        replace_table(df, "jdbc:unused", "t", {"user": "u", "driver": "d"})  # no password
