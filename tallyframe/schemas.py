@@ -63,10 +63,3 @@ TRANSACTIONS = struct_of(
     ("TransactionID", INT), ("CustomerID", INT), ("ProductID", INT),
     ("Amount", DOUBLE), ("Quantity", INT), ("Region", STRING),
 )
-
-DB_ORDERS = T.StructType([
-    T.StructField("order_id", INT, False),
-    T.StructField("customer_name", T.StringType(), True),
-    T.StructField("amount", T.DecimalType(10, 2), True),
-    T.StructField("created_at", T.TimestampType(), True),
-])

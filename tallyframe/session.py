@@ -10,7 +10,6 @@ executor or a restarted driver can still see it.  Only local-mode sessions
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -121,12 +120,3 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh, never reused folder under the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark)
     return f"{root}/tallyframe/{kind}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str | None:
-    """The local file system path of ``path`` if it lives there, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):] if not path.startswith("file://") else path[len("file://"):]
-    if "://" in path:
-        return None
-    return os.path.abspath(path)
