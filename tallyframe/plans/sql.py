@@ -51,3 +51,98 @@ def revenue_by_country_sql(
         "nation": checked_broadcast(nation, NATION_MAX_ROWS),
     })
     return spark.sql(REVENUE_BY_COUNTRY_SQL)
+
+
+# SQL spellings of the exact money expressions of ``tallyframe.functions``.
+def _cents(x: str) -> str:
+    return f"CAST(ROUND({x} * 100) AS BIGINT)"
+
+
+def _exact_sum(x: str) -> str:
+    return f"CAST(SUM({_cents(x)}) AS DOUBLE) / 100"
+
+
+def _exact_avg(x: str) -> str:
+    s, n = f"SUM({_cents(x)})", f"COUNT({x})"
+    q = f"((2 * ABS({s}) + {n}) DIV (2 * {n}))"
+    return f"CAST(CASE WHEN {n} > 0 THEN CASE WHEN {s} < 0 THEN -{q} ELSE {q} END END AS DOUBLE) / 100"
+
+
+REPORT_SQL: dict[str, str] = {
+    "total_sales_by_customer": f"""
+SELECT o_custkey, {_exact_sum("o_totalprice")} AS total_sales
+FROM orders
+GROUP BY o_custkey
+""",
+    "revenue_by_category": f"""
+SELECT o_orderpriority AS category,
+       COUNT(o_orderkey) AS total_orders,
+       {_exact_sum("o_totalprice")} AS total_revenue
+FROM orders
+GROUP BY o_orderpriority
+ORDER BY total_revenue DESC, category NULLS LAST
+""",
+    "product_sales_metrics": f"""
+SELECT l_partkey,
+       {_exact_sum("l_extendedprice")} AS total_sales_amount,
+       CAST(SUM(l_quantity) AS BIGINT) AS total_quantity_sold,
+       {_exact_avg("l_extendedprice")} AS average_transaction_amount
+FROM lineitem
+GROUP BY l_partkey
+ORDER BY l_partkey NULLS LAST
+""",
+    "purchases_by_user": f"""
+SELECT user_id,
+       COUNT(user_id) AS total_purchases,
+       {_exact_avg("value")} AS avg_spend
+FROM events
+WHERE event_type = 'purchase'
+GROUP BY user_id
+ORDER BY total_purchases DESC, user_id NULLS LAST
+""",
+    "completed_summary": f"""
+SELECT o_orderpriority AS category,
+       COUNT(o_orderkey) AS total_orders,
+       {_exact_sum("o_totalprice")} AS total_revenue,
+       {_exact_avg("o_totalprice")} AS avg_order_value,
+       current_timestamp() AS processed_at
+FROM orders
+WHERE o_orderstatus = 'F'
+GROUP BY o_orderpriority
+""",
+    "customer_sales_report": f"""
+WITH sales AS (
+    SELECT o_custkey, {_exact_sum("o_totalprice")} AS total_sales
+    FROM orders
+    GROUP BY o_custkey
+)
+SELECT s.o_custkey, c.c_name, s.total_sales, c.c_mktsegment
+FROM sales s
+JOIN customer c ON s.o_custkey = c.c_custkey
+""",
+    "revenue_by_brand": f"""
+WITH per_part AS (
+    SELECT l_partkey, SUM({_cents("l_extendedprice")}) AS revenue_cents
+    FROM lineitem
+    GROUP BY l_partkey
+)
+SELECT p.p_brand, CAST(SUM(pp.revenue_cents) AS DOUBLE) / 100 AS total_revenue
+FROM per_part pp
+JOIN part p ON pp.l_partkey = p.p_partkey
+GROUP BY p.p_brand
+""",
+    "revenue_by_country": REVENUE_BY_COUNTRY_SQL,
+}
+
+# Dimension views get a broadcast hint only behind the row-count check.
+_DIMENSION_BOUNDS = {"customer": BROADCAST_MAX_ROWS, "part": BROADCAST_MAX_ROWS, "nation": NATION_MAX_ROWS}
+
+
+def sql_report(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """Run report ``name`` as SQL text over ``tables`` registered as temp views."""
+    views = {
+        t: checked_broadcast(df, _DIMENSION_BOUNDS[t]) if t in _DIMENSION_BOUNDS else df
+        for t, df in tables.items()
+    }
+    register_views(views)
+    return spark.sql(REPORT_SQL[name])

@@ -18,9 +18,14 @@ from tallyframe.plans.reports import PURCHASE_EVENT
 from tallyframe.schemas import TABLES
 
 PURCHASE_COLUMNS = ["event_id", "user_id", "value", "ts"]
+# Files per micro-batch: a large backlog is worked off in bounded batches, so a
+# failure repeats one batch, not the whole backlog.
+MAX_FILES_PER_TRIGGER = 1000
 
 
-def event_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def event_stream(
+    spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER
+) -> DataFrame:
     """Events arriving as Parquet files in ``input_dir`` (declared schema)."""
     reader = spark.readStream.schema(TABLES["events"])
     if max_files_per_trigger:
@@ -45,7 +50,7 @@ def run_purchase_copy(
     input_dir: str,
     output_dir: str,
     checkpoint_dir: str,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
 ) -> int:
     """Process every file not yet committed, then stop; returns rows read."""
     query = (

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.functions import cents_to_amount, sum_cents
-from tallyframe.streaming.purchases import _finish, event_stream
+from tallyframe.streaming.purchases import MAX_FILES_PER_TRIGGER, _finish, event_stream
 
 
 def event_totals(events: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def run_event_totals(
     input_dir: str,
     output_dir: str,
     checkpoint_dir: str,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
     state_partitions: int = STATE_PARTITIONS,
 ) -> int:
     """Fold every new file into the totals, publish, stop; returns rows read."""

@@ -153,3 +153,19 @@ def test_jdbc_replace_requires_credentials(spark):
     df = spark.createDataFrame([(1,)], "k int")
     with pytest.raises(ValueError):
         replace_table(df, "jdbc:unused", "t", {"user": "u", "driver": "d"})  # no password
+
+
+def test_report_job_command_line(scratch, spark):
+    import os
+    import subprocess
+    import sys
+
+    out = scratch("cli")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    proc = subprocess.run(
+        [sys.executable, "-m", "tallyframe.jobs.report", "revenue_by_category", SF_SMALL, out],
+        cwd=repo, capture_output=True, text=True, timeout=300,
+    )
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    expected = reports.revenue_by_category(read_table(spark, SF_SMALL, "orders"))
+    assert rows(spark.read.parquet(out)) == rows(expected)

@@ -62,3 +62,14 @@ def test_publishing_a_replayed_batch_is_idempotent(spark, scratch):
     publish(batch, 1)  # replay after a failure
     assert spark.read.parquet(out).count() == 2 * batch.count()
     assert latest_totals(spark, out).count() == batch.count()
+
+
+def test_backlog_in_bounded_batches(spark, scratch):
+    inbox, out, ck = _dirs(scratch)
+    events = read_table(spark, SF_SMALL, "events")
+    events.repartition(6).write.parquet(inbox)  # six files
+    assert run_event_totals(spark, inbox, out, ck, max_files_per_trigger=2) == events.count()
+    batches = spark.read.parquet(out).select("batch_id").distinct().count()
+    assert batches == 3
+    expected = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), exact_sum("value").alias("total_value"))
+    assert rows(latest_totals(spark, out)) == rows(expected)
