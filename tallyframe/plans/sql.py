@@ -3,22 +3,37 @@
 The SQL form plans to the same operators as the DataFrame form; it exists for
 users who write SQL.  Views are registered with ``createOrReplaceTempView``;
 a dimension registered through ``checked_broadcast`` keeps its broadcast hint
-inside the view, so the SQL text needs no unchecked hint of its own.  Above
-the bound the customer view carries no hint and the join is a sort-merge join
-on the per-customer aggregate's own partitioning.
+inside the view, so the SQL text needs no unchecked hint of its own.
+
+Reports that roll a fact table up through a dimension have two texts, picked
+by the same row-count check: a plain join-aggregate when the dimension is
+broadcast (the fact table is never shuffled), and a form that sums the fact
+table per join key first when it is not (a hot key is collapsed inside each
+map task, and one row per key meets the dimension in a sort-merge join).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyframe.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast
+from tallyframe.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast
 from tallyframe.plans.reports import NATION_MAX_ROWS
 
-# Orders are summed per customer before the joins: the partial aggregation
-# collapses a customer holding many orders inside each map task, and only one
-# row per customer meets the customer table.
+# Dimension within the broadcast bound: join, then aggregate.
 REVENUE_BY_COUNTRY_SQL = """
+SELECT n.n_name AS country,
+       CAST(SUM(CAST(ROUND(o.o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_revenue
+FROM orders o
+JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE o.o_totalprice > 100000
+GROUP BY n.n_name
+ORDER BY total_revenue DESC, country
+"""
+
+# Dimension above the bound: orders are summed per customer before the joins.
+REVENUE_BY_COUNTRY_PREAGG_SQL = """
 WITH per_customer AS (
     SELECT o_custkey,
            SUM(CAST(ROUND(o_totalprice * 100) AS BIGINT)) AS revenue_cents
@@ -42,15 +57,17 @@ def register_views(views: dict[str, DataFrame]) -> None:
 
 
 def revenue_by_country_sql(
-    spark: SparkSession, orders: DataFrame, customer: DataFrame, nation: DataFrame
+    spark: SparkSession,
+    orders: DataFrame,
+    customer: DataFrame,
+    nation: DataFrame,
+    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """``country``, ``total_revenue`` from SQL text over temp views."""
-    register_views({
-        "orders": orders,
-        "customer": checked_broadcast(customer, BROADCAST_MAX_ROWS),
-        "nation": checked_broadcast(nation, NATION_MAX_ROWS),
-    })
-    return spark.sql(REVENUE_BY_COUNTRY_SQL)
+    return sql_report(
+        spark, "revenue_by_country", {"orders": orders, "customer": customer, "nation": nation},
+        max_broadcast_rows,
+    )
 
 
 # SQL spellings of the exact money expressions of ``tallyframe.functions``.
@@ -121,6 +138,18 @@ FROM sales s
 JOIN customer c ON s.o_custkey = c.c_custkey
 """,
     "revenue_by_brand": f"""
+SELECT p.p_brand, {_exact_sum("l.l_extendedprice")} AS total_revenue
+FROM lineitem l
+JOIN part p ON l.l_partkey = p.p_partkey
+GROUP BY p.p_brand
+""",
+    "revenue_by_country": REVENUE_BY_COUNTRY_SQL,
+}
+
+# The forms for a dimension above the broadcast bound, and the dimension
+# whose size decides.
+PREAGGREGATED_SQL: dict[str, tuple[str, str]] = {
+    "revenue_by_brand": ("part", f"""
 WITH per_part AS (
     SELECT l_partkey, SUM({_cents("l_extendedprice")}) AS revenue_cents
     FROM lineitem
@@ -130,19 +159,28 @@ SELECT p.p_brand, CAST(SUM(pp.revenue_cents) AS DOUBLE) / 100 AS total_revenue
 FROM per_part pp
 JOIN part p ON pp.l_partkey = p.p_partkey
 GROUP BY p.p_brand
-""",
-    "revenue_by_country": REVENUE_BY_COUNTRY_SQL,
+"""),
+    "revenue_by_country": ("customer", REVENUE_BY_COUNTRY_PREAGG_SQL),
 }
 
-# Dimension views get a broadcast hint only behind the row-count check.
-_DIMENSION_BOUNDS = {"customer": BROADCAST_MAX_ROWS, "part": BROADCAST_MAX_ROWS, "nation": NATION_MAX_ROWS}
 
-
-def sql_report(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFrame:
-    """Run report ``name`` as SQL text over ``tables`` registered as temp views."""
-    views = {
-        t: checked_broadcast(df, _DIMENSION_BOUNDS[t]) if t in _DIMENSION_BOUNDS else df
-        for t, df in tables.items()
-    }
-    register_views(views)
-    return spark.sql(REPORT_SQL[name])
+def sql_report(
+    spark: SparkSession,
+    name: str,
+    tables: dict[str, DataFrame],
+    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """Run report ``name`` as SQL text over ``tables`` registered as temp views.
+
+    Customer and part views are broadcast only within ``max_broadcast_rows``
+    (nation within its own bound); see the module notes for the text chosen.
+    """
+    bounds = {"customer": max_broadcast_rows, "part": max_broadcast_rows, "nation": NATION_MAX_ROWS}
+    small = {t: fits_broadcast(df, bounds[t]) for t, df in tables.items() if t in bounds}
+    register_views({t: F.broadcast(df) if small.get(t) else df for t, df in tables.items()})
+    text = REPORT_SQL[name]
+    if name in PREAGGREGATED_SQL:
+        dimension, preaggregated = PREAGGREGATED_SQL[name]
+        if not small[dimension]:
+            text = preaggregated
+    return spark.sql(text)

@@ -38,3 +38,23 @@ def test_sql_equals_dataframe(spark, name):
     if not ordered:
         a, b = sorted(a, key=repr), sorted(b, key=repr)
     assert a == b and len(a) > 0
+
+
+@pytest.mark.parametrize("name", ["revenue_by_country", "revenue_by_brand"])
+def test_preaggregated_text_for_large_dimensions(spark, name):
+    from tallyframe.plans.inspect import plan_text
+    from tests.test_plans import conf
+
+    table_names, report, _ = FORMS[name]
+    tables = {t: read_table(spark, SF_ORACLE, t) for t in table_names}
+    with conf(spark, spark__sql__adaptive__enabled="false"):
+        large = sql_report(spark, name, tables, max_broadcast_rows=0)
+        small = sql_report(spark, name, tables)
+        large_plan, small_plan = plan_text(large), plan_text(small)
+        a = sorted((tuple(r) for r in large.collect()), key=repr)
+        b = sorted((tuple(r) for r in small.collect()), key=repr)
+    assert a == b
+    assert "SortMergeJoin" in large_plan
+    fact_key = "o_custkey" if name == "revenue_by_country" else "l_partkey"
+    assert f"hashpartitioning({fact_key}" in large_plan
+    assert f"hashpartitioning({fact_key}" not in small_plan and "BroadcastHashJoin" in small_plan
