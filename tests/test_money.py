@@ -86,3 +86,16 @@ def test_cluster_conf_sizes_partitions_by_shuffle_volume():
     assert small["spark.sql.shuffle.partitions"] == "16"
     big = cluster_conf(total_cores=4000, largest_shuffle_bytes=10 * 1024**4)  # 10 TB shuffle
     assert int(big["spark.sql.shuffle.partitions"]) == -(-10 * 1024**4 // ADVISORY_PARTITION_BYTES)
+
+
+def test_half_up_div_agrees_with_integer_arithmetic(spark):
+    cases = [(2**51 - 1, 3), (2**51 - 1, 2**40 + 7), (2**51, 3), (2**62 - 5, 7), (-(2**51) - 9, 4),
+             (4_503_599_627_370_495, 2), (7, 3), (1, 2), (-1, 2), (3, 1_000_000_007)]
+    df = spark.createDataFrame(cases, "n long, d long")
+    got = [r["q"] for r in df.select(half_up_div(F.col("n"), F.col("d")).alias("q")).collect()]
+
+    def ref(n, d):
+        q = (2 * abs(n) + d) // (2 * d)
+        return -q if n < 0 else q
+
+    assert got == [ref(n, d) for n, d in cases]
