@@ -175,7 +175,7 @@ def customer_sales_report(
     customers = customer.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
     if strategy:
         customers = customers.hint(strategy)
-    elif fits_broadcast(customer, max_broadcast_rows):
+    elif fits_broadcast(customers, max_broadcast_rows, size_probe=customer):
         customers = F.broadcast(customers)
     return sales.join(customers, on="o_custkey", how="inner").select(
         "o_custkey", "c_name", "total_sales", "c_mktsegment"

@@ -106,3 +106,17 @@ def test_aqe_coalesces_many_small_shuffle_partitions(spark, orders):
         plan = plan_text(df)
     assert "isFinalPlan=true" in plan
     assert "AQEShuffleRead" in plan and "coalesced" in plan
+
+
+def test_broadcast_check_bounds_rows_and_bytes(spark):
+    from tallyframe.operators.joins import fits_broadcast, row_bytes_bound
+
+    nation = read_table(spark, SF_SMALL, "nation")
+    names_bytes = sum(len(r["n_name"].encode()) + 8 for r in nation.collect())
+    assert row_bytes_bound(nation, 25) == 25 * (8 + 3 * 8) + names_bytes
+    assert row_bytes_bound(nation.select("n_nationkey"), 25) == 25 * 16
+    assert fits_broadcast(nation)
+    assert not fits_broadcast(nation, max_rows=24)
+    assert not fits_broadcast(nation, max_bytes=100)
+    nested = spark.createDataFrame([(1, [1, 2])], "k int, xs array<int>")
+    assert not fits_broadcast(nested)  # size of nested values is not measured
