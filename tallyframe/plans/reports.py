@@ -87,7 +87,10 @@ def lenient_threshold_filter(df: DataFrame, text_column: str, min_value: float,
     answer Spark 3 gave with ANSI off, now independent of the ANSI setting.
     """
     parsed = lenient_number(text_column)
-    return df.where(parsed > min_value).withColumn(out, parsed).drop(text_column)
+    kept = df.where(parsed > min_value)
+    if out.lower() == text_column.lower():  # names resolve case-insensitively
+        return kept.withColumn(out, parsed)
+    return kept.withColumn(out, parsed).drop(text_column)
 
 
 def high_value_orders_text(orders: DataFrame, min_price: float = TEXT_FILTER_MIN_PRICE) -> DataFrame:
@@ -101,21 +104,33 @@ def rejected_amounts(df: DataFrame, text_column: str) -> DataFrame:
     return df.agg(F.count(F.when(bad, F.lit(1))).alias("rejected"), F.count(F.lit(1)).alias("rows"))
 
 
-def filtered_order_count(orders: DataFrame, min_price: float = TEXT_FILTER_MIN_PRICE) -> DataFrame:
+def filtered_order_count(
+    orders: DataFrame, min_price: float = TEXT_FILTER_MIN_PRICE, amount: str = "o_totalprice"
+) -> DataFrame:
     """One row ``n``: orders priced above ``min_price``."""
-    return orders.where(F.col("o_totalprice") > min_price).agg(F.count(F.lit(1)).alias("n"))
+    return orders.where(F.col(amount) > min_price).agg(F.count(F.lit(1)).alias("n"))
+
 
+def total_sales_by_customer(
+    orders: DataFrame, customer: str = "o_custkey", amount: str = "o_totalprice"
+) -> DataFrame:
+    """``<customer>``, ``total_sales`` (exact)."""
+    return money_summary(orders, [customer], amount, sum_as="total_sales")
 
-def total_sales_by_customer(orders: DataFrame) -> DataFrame:
-    """``o_custkey``, ``total_sales`` (exact)."""
-    return money_summary(orders, ["o_custkey"], "o_totalprice", sum_as="total_sales")
 
+def revenue_by_category(
+    orders: DataFrame,
+    category: str = "o_orderpriority",
+    order_id: str = "o_orderkey",
+    amount: str = "o_totalprice",
+) -> DataFrame:
+    """``category``, ``total_orders``, ``total_revenue``, dearest first.
 
-def revenue_by_category(orders: DataFrame) -> DataFrame:
-    """``category``, ``total_orders``, ``total_revenue`` by order priority, dearest first."""
+    ``total_orders`` counts non-null ``order_id`` values, as ``count(col)`` does.
+    """
     result = money_summary(
-        orders, [F.col("o_orderpriority").alias("category")], "o_totalprice",
-        count_as="total_orders", count_of="o_orderkey", sum_as="total_revenue",
+        orders, [F.col(category).alias("category")], amount,
+        count_as="total_orders", count_of=order_id, sum_as="total_revenue",
     )
     return sorted_by(result, [F.col("total_revenue").desc()], ["category"])
 
@@ -136,21 +151,38 @@ def product_sales_metrics(
     return sorted_by(result, [], [product])
 
 
-def purchases_by_user(events: DataFrame) -> DataFrame:
-    """``user_id``, ``total_purchases``, ``avg_spend`` of purchase events, busiest first."""
+def purchases_by_user(
+    events: DataFrame,
+    by: str = "user_id",
+    amount: str = "value",
+    event_type: str = "event_type",
+    counted: str | None = None,
+    purchase: str = PURCHASE_EVENT,
+) -> DataFrame:
+    """``<by>``, ``total_purchases``, ``avg_spend`` of purchase events, busiest first.
+
+    ``total_purchases`` counts non-null ``counted`` values (default: ``by``).
+    """
     result = money_summary(
-        events.where(F.col("event_type") == PURCHASE_EVENT), ["user_id"], "value",
-        count_as="total_purchases", count_of="user_id", avg_as="avg_spend",
+        events.where(F.col(event_type) == purchase), [by], amount,
+        count_as="total_purchases", count_of=counted or by, avg_as="avg_spend",
     )
-    return sorted_by(result, [F.col("total_purchases").desc()], ["user_id"])
+    return sorted_by(result, [F.col("total_purchases").desc()], [by])
 
 
-def completed_summary(orders: DataFrame, status: str = COMPLETED_STATUS) -> DataFrame:
-    """Finished orders by priority: count, exact sum and average, load stamp."""
+def completed_summary(
+    orders: DataFrame,
+    status: str = COMPLETED_STATUS,
+    status_column: str = "o_orderstatus",
+    category: str = "o_orderpriority",
+    order_id: str = "o_orderkey",
+    amount: str = "o_totalprice",
+) -> DataFrame:
+    """Orders in ``status`` by category: count, exact sum and average, load stamp."""
     summary = money_summary(
-        orders.where(F.col("o_orderstatus") == status),
-        [F.col("o_orderpriority").alias("category")], "o_totalprice",
-        count_as="total_orders", count_of="o_orderkey",
+        orders.where(F.col(status_column) == status),
+        [F.col(category).alias("category")], amount,
+        count_as="total_orders", count_of=order_id,
         sum_as="total_revenue", avg_as="avg_order_value",
     )
     return summary.withColumn("processed_at", F.current_timestamp())
