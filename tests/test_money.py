@@ -99,3 +99,21 @@ def test_half_up_div_agrees_with_integer_arithmetic(spark):
         return -q if n < 0 else q
 
     assert got == [ref(n, d) for n, d in cases]
+
+
+finite = st.floats(min_value=-1e13, max_value=1e13, allow_nan=False, allow_infinity=False)
+ties = st.integers(min_value=-10**9, max_value=10**9).map(lambda k: (k + 0.5) / 100)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.one_of(finite, ties, money), min_size=1, max_size=50))
+def test_cents_equals_spark_round_half_up(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = df.select(cents("x").alias("a"), F.round(F.col("x") * 100).cast("bigint").alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in got)
+
+
+def test_cents_on_exact_binary_ties(spark):
+    df = spark.createDataFrame([(0.125,), (-0.125,), (0.375,), (-0.375,), (0.005,), (-0.005,), (2.675,)], "x double")
+    got = [r["c"] for r in df.select(cents("x").alias("c")).collect()]
+    assert got[:4] == [13, -13, 38, -38]
