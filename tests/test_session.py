@@ -1,0 +1,43 @@
+"""Scratch folders follow spark.checkpoint.dir; clusters never get a local folder."""
+
+from __future__ import annotations
+
+from types import SimpleNamespace
+
+import pytest
+
+from tallyframe.session import checkpoint_root, ensure_checkpoint_dir, scratch_path
+
+
+class _Conf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+def _stub(master, conf=None, current=None):
+    sc = SimpleNamespace(master=master, getCheckpointDir=lambda: current, setCheckpointDir=lambda p: None)
+    return SimpleNamespace(conf=_Conf(conf or {}), sparkContext=sc)
+
+
+def test_cluster_setting_wins():
+    stub = _stub("yarn", {"spark.checkpoint.dir": "hdfs://nn/ckpt/"})
+    assert ensure_checkpoint_dir(stub) == "hdfs://nn/ckpt"
+    assert scratch_path(stub, "x").startswith("hdfs://nn/ckpt/tallyframe/x-")
+
+
+def test_cluster_without_checkpoint_dir_is_an_error():
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_stub("k8s://https://api:443"))
+
+
+def test_context_checkpoint_dir_is_used_when_conf_is_absent():
+    assert checkpoint_root(_stub("yarn", current="s3a://b/ckpt/uuid")) == "s3a://b/ckpt/uuid"
+
+
+def test_real_session_scratch_is_under_its_checkpoint_root(spark):
+    root = checkpoint_root(spark)
+    assert root and scratch_path(spark, "t").startswith(root + "/tallyframe/t-")
+    assert scratch_path(spark, "t") != scratch_path(spark, "t")
