@@ -97,3 +97,33 @@ def current_app_log(spark: SparkSession) -> str | None:
         return None
     log_dir = spark.conf.get("spark.eventLog.dir", "/tmp/spark-events").rstrip("/")
     return f"{log_dir}/*{spark.sparkContext.applicationId}*"
+
+
+STAGE_COLUMNS = [
+    "log_file", "stage_id", "stage_attempt", "stage_name", "tasks", "failed_tasks", "run_time_ms",
+    "input_bytes", "shuffle_read_bytes", "shuffle_write_bytes", "shuffle_write_records",
+    "memory_spill_bytes", "disk_spill_bytes",
+]
+
+
+def tracked_stage_metrics(spark: SparkSession, stage_ids: list[int]) -> DataFrame:
+    """Per-stage task counts from the status tracker, for sessions without an event log.
+
+    Only what the tracker keeps is filled in (name, tasks, failed tasks);
+    byte figures are null.  One row per stage of the given ids, a handful of
+    rows built from job metadata, never from data.
+    """
+    tracker = spark.sparkContext.statusTracker()
+    rows = []
+    for sid in sorted(set(stage_ids)):
+        info = tracker.getStageInfo(sid)
+        if info is None:
+            continue
+        rows.append(("", sid, info.currentAttemptId, info.name, info.numTasks, info.numFailedTasks,
+                     None, None, None, None, None, None, None))
+    schema = T.StructType([
+        T.StructField("log_file", _S), T.StructField("stage_id", _I), T.StructField("stage_attempt", _I),
+        T.StructField("stage_name", _S), T.StructField("tasks", _L), T.StructField("failed_tasks", _L),
+        *[T.StructField(c, _L) for c in STAGE_COLUMNS[6:]],
+    ])
+    return spark.createDataFrame(rows, schema)

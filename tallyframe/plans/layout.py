@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.operators.eventlog import EVENT_LOG_SCHEMA, current_app_log, read_event_logs, stage_metrics
+from tallyframe.operators.eventlog import current_app_log, read_event_logs, stage_metrics, tracked_stage_metrics
 from tallyframe.operators.layout import distribution_summary, hash_partition_distribution
 from tallyframe.plans.reports import product_sales_metrics
 from tallyframe.sinks.files import write_noop
@@ -28,20 +30,27 @@ def q_partition_distribution(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_stage_metrics(spark: SparkSession, root: str) -> DataFrame:
-    """Per-stage figures of this application after a product-metrics run.
+    """Per-stage figures of a product-metrics run over the whole line items.
 
-    Needs ``spark.eventLog.enabled``; without an event log the result is empty.
+    The run gets its own job group, so exactly its stages are reported:
+    from the event log when the session writes one (readable while running
+    when ``spark.eventLog.compress`` is false), else task counts from the
+    status tracker with the byte columns null.
     """
-    write_noop(product_sales_metrics(read_table(spark, root, "lineitem")))
+    sc = spark.sparkContext
+    group = f"tallyframe-stage-metrics-{uuid.uuid4().hex}"
+    sc.setJobGroup(group, "product metrics measured by stage_metrics")
+    try:
+        write_noop(product_sales_metrics(read_table(spark, root, "lineitem")))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    tracker = sc.statusTracker()
+    stage_ids = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
     path = current_app_log(spark)
     if path is None:
-        return _empty_stage_metrics(spark)
-    return stage_metrics(read_event_logs(spark, path))
-
-
-def _empty_stage_metrics(spark: SparkSession) -> DataFrame:
-    empty = spark.createDataFrame([], EVENT_LOG_SCHEMA).withColumn("log_file", F.lit(""))
-    return stage_metrics(empty)
+        return tracked_stage_metrics(spark, stage_ids)
+    return stage_metrics(read_event_logs(spark, path)).where(F.col("stage_id").isin(stage_ids))
 
 
 QUERIES = {

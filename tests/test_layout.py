@@ -72,3 +72,28 @@ def test_hot_key_is_collapsed_before_the_shuffle(spark):
     written = after.agg(F.sum("shuffle_write_records")).first()[0]
     distinct_keys = 1 + 500
     assert 0 < written <= tasks * distinct_keys  # not ~n/3 rows for the hot key
+
+
+def test_stage_metrics_query_reports_only_its_own_stages(spark):
+    import __spark_entry__ as contract
+
+    got = contract.queries()["stage_metrics"](spark, SF_SMALL).collect()
+    assert 2 <= len(got) <= 8  # scan + aggregate, final aggregate, sort: not every stage of the session
+    assert sum(r["shuffle_write_bytes"] for r in got) > 0
+
+
+def test_status_tracker_fallback(spark):
+    from tallyframe.operators.eventlog import STAGE_COLUMNS, tracked_stage_metrics
+
+    sc = spark.sparkContext
+    sc.setJobGroup("tracker-test", "tracker test")
+    try:
+        write_noop(reports.total_sales_by_customer(read_table(spark, SF_SMALL, "orders")))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    t = sc.statusTracker()
+    ids = [s for j in t.getJobIdsForGroup("tracker-test") for s in t.getJobInfo(j).stageIds]
+    df = tracked_stage_metrics(spark, ids)
+    assert df.columns == STAGE_COLUMNS
+    got = df.collect()
+    assert got and all(r["tasks"] >= 1 and r["failed_tasks"] == 0 for r in got)
