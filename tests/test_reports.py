@@ -115,3 +115,40 @@ def test_replicate(spark):
     assert replicate(df, 0).count() == 0
     copies = rows(replicate(df.where("c_custkey = 10"), 3, "copy"), "copy")
     assert copies == [(1,), (2,), (3,)]
+
+
+def test_duplicated_customer_key_joins_like_sql(spark):
+    """A duplicated dimension key repeats the fact rows, in every form, as in SQL."""
+    from tallyframe.plans.sql import sql_report
+
+    o, n = fx.orders(spark), fx.nations(spark)
+    c = fx.customers(spark).unionByName(
+        spark.createDataFrame([(13, "Cust D again", 4, 1.0, "HOUSEHOLD")], fx.customers(spark).schema))
+    report = rows(reports.customer_sales_report(o, c))
+    assert [r for r in report if r[0] == 13] == [(13, "Cust D", 500_000.2, "HOUSEHOLD"),
+                                                 (13, "Cust D again", 500_000.2, "HOUSEHOLD")]
+    df_form = [tuple(r) for r in reports.revenue_by_country(o, c, n, 100_000.0).collect()]
+    shuffled = [tuple(r) for r in reports.revenue_by_country(o, c, n, 100_000.0, max_broadcast_rows=0).collect()]
+    sql_form = [tuple(r) for r in sql_report(spark, "revenue_by_country", {"orders": o, "customer": c, "nation": n}).collect()]
+    assert df_form == shuffled == sql_form
+    assert ("DELTA", 500_000.2) in df_form and ("CHARLIE", 500_000.2) in df_form
+
+
+def test_duplicated_order_rows_count_twice(spark):
+    o = fx.orders(spark)
+    doubled = o.unionByName(o.where("o_orderkey = 9"))
+    got = {r["category"]: (r["total_orders"], r["total_revenue"])
+           for r in reports.revenue_by_category(doubled).collect()}
+    assert got["4-NOT SPECIFIED"] == (3, 0.04)
+
+
+def test_empty_parquet_with_schema(spark, scratch):
+    from tallyframe.schemas import TABLES
+
+    path = scratch("empty")
+    spark.createDataFrame([], TABLES["orders"]).write.parquet(path)
+    empty = spark.read.schema(TABLES["orders"]).parquet(path)
+    assert reports.revenue_by_category(empty).count() == 0
+    assert reports.filtered_order_count(empty).first()["n"] == 0
+    assert reports.preview_top_n(empty).count() == 0
+    assert reports.completed_summary(empty).count() == 0
