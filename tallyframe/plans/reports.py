@@ -148,7 +148,7 @@ def product_sales_metrics(
         extra=(F.sum(quantity).cast("bigint").alias("total_quantity_sold"),),
         avg_as="average_transaction_amount",
     ).select(product, "total_sales_amount", "total_quantity_sold", "average_transaction_amount")
-    return sorted_by(result, [], [product])
+    return sorted_by(result, [], [product], materialize=True)
 
 
 def purchases_by_user(
@@ -167,7 +167,7 @@ def purchases_by_user(
         events.where(F.col(event_type) == purchase), [by], amount,
         count_as="total_purchases", count_of=counted or by, avg_as="avg_spend",
     )
-    return sorted_by(result, [F.col("total_purchases").desc()], [by])
+    return sorted_by(result, [F.col("total_purchases").desc()], [by], materialize=True)
 
 
 def completed_summary(

@@ -120,3 +120,11 @@ def test_broadcast_check_bounds_rows_and_bytes(spark):
     assert not fits_broadcast(nation, max_bytes=100)
     nested = spark.createDataFrame([(1, [1, 2])], "k int, xs array<int>")
     assert not fits_broadcast(nested)  # size of nested values is not measured
+
+
+def test_sorted_aggregate_is_materialized_before_the_range_exchange(spark):
+    li = read_table(spark, SF_SMALL, "lineitem")
+    tree = plan_text(reports.product_sales_metrics(li)).split("\n\n")[0]
+    full = plan_text(reports.product_sales_metrics(li))
+    assert tree.count("Exchange") == 3  # aggregate, rebalance, range
+    assert "REBALANCE_PARTITIONS_BY_NONE" in full and "rangepartitioning(l_partkey" in full
