@@ -70,6 +70,9 @@ def revenue_by_country_sql(
     )
 
 
+# The sorted reports over many groups carry a REBALANCE hint under the ORDER
+# BY, as ``sorted_by(materialize=True)`` does for the DataFrame forms.
+
 # SQL spellings of the exact money expressions of ``tallyframe.functions``.
 def _cents(x: str) -> str:
     return f"CAST(ROUND({x} * 100) AS BIGINT)"
@@ -100,21 +103,25 @@ GROUP BY o_orderpriority
 ORDER BY total_revenue DESC, category NULLS LAST
 """,
     "product_sales_metrics": f"""
-SELECT l_partkey,
-       {_exact_sum("l_extendedprice")} AS total_sales_amount,
-       CAST(SUM(l_quantity) AS BIGINT) AS total_quantity_sold,
-       {_exact_avg("l_extendedprice")} AS average_transaction_amount
-FROM lineitem
-GROUP BY l_partkey
+SELECT * FROM (
+    SELECT /*+ REBALANCE */ l_partkey,
+           {_exact_sum("l_extendedprice")} AS total_sales_amount,
+           CAST(SUM(l_quantity) AS BIGINT) AS total_quantity_sold,
+           {_exact_avg("l_extendedprice")} AS average_transaction_amount
+    FROM lineitem
+    GROUP BY l_partkey
+) metrics
 ORDER BY l_partkey NULLS LAST
 """,
     "purchases_by_user": f"""
-SELECT user_id,
-       COUNT(user_id) AS total_purchases,
-       {_exact_avg("value")} AS avg_spend
-FROM events
-WHERE event_type = 'purchase'
-GROUP BY user_id
+SELECT * FROM (
+    SELECT /*+ REBALANCE */ user_id,
+           COUNT(user_id) AS total_purchases,
+           {_exact_avg("value")} AS avg_spend
+    FROM events
+    WHERE event_type = 'purchase'
+    GROUP BY user_id
+) purchases
 ORDER BY total_purchases DESC, user_id NULLS LAST
 """,
     "completed_summary": f"""

@@ -58,3 +58,10 @@ def test_preaggregated_text_for_large_dimensions(spark, name):
     fact_key = "o_custkey" if name == "revenue_by_country" else "l_partkey"
     assert f"hashpartitioning({fact_key}" in large_plan
     assert f"hashpartitioning({fact_key}" not in small_plan and "BroadcastHashJoin" in small_plan
+
+
+def test_sorted_sql_reports_rebalance_before_the_sort(spark):
+    from tallyframe.plans.inspect import plan_text
+
+    tables = {"lineitem": read_table(spark, SF_ORACLE, "lineitem")}
+    assert "REBALANCE_PARTITIONS_BY_NONE" in plan_text(sql_report(spark, "product_sales_metrics", tables))
