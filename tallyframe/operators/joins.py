@@ -1,8 +1,8 @@
 """Joins of facts with dimensions.
 
 A broadcast hint skips the shuffle of the large side but ships the whole
-dimension to every executor, so it is only given after the dimension's row
-count has been checked against a bound.  Above the bound the fact side is
+dimension to every executor, so it is only given after the dimension's rows
+and bytes have been checked against bounds (see ``fits_broadcast``).  Above the bound the fact side is
 pre-aggregated on the join key (map-side partial aggregation collapses hot
 keys inside each task) and then joined with a shuffle; AQE may still turn
 that join into a broadcast at run time if the shuffled sides turn out small.

@@ -6,7 +6,7 @@ a dimension registered through ``checked_broadcast`` keeps its broadcast hint
 inside the view, so the SQL text needs no unchecked hint of its own.
 
 Reports that roll a fact table up through a dimension have two texts, picked
-by the same row-count check: a plain join-aggregate when the dimension is
+by the same size check: a plain join-aggregate when the dimension is
 broadcast (the fact table is never shuffled), and a form that sums the fact
 table per join key first when it is not (a hot key is collapsed inside each
 map task, and one row per key meets the dimension in a sort-merge join).

@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 # Settings every session of ours wants, whatever the cluster size.
 # Static auto-broadcast is off: it decides from file-size estimates, which
 # can be far below the decoded size.  Broadcasts happen either behind an
-# explicit row-count check (``operators.joins``) or at run time through AQE,
+# explicit row and byte check (``operators.joins``) or at run time through AQE,
 # which measures the actual size of a finished shuffle stage.
 BASE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
