@@ -128,3 +128,26 @@ def test_sorted_aggregate_is_materialized_before_the_range_exchange(spark):
     full = plan_text(reports.product_sales_metrics(li))
     assert tree.count("Exchange") == 3  # aggregate, rebalance, range
     assert "REBALANCE_PARTITIONS_BY_NONE" in full and "rangepartitioning(l_partkey" in full
+
+
+def test_aqe_splits_a_hot_join_key(spark):
+    """A raw sort-merge join where one key holds a third of the rows: AQE's skew join splits it."""
+    from pyspark.sql import functions as F
+
+    n = 600_000
+    fact = spark.range(0, n, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 3000).alias("k"), F.col("id").alias("v"))
+    dim = spark.range(0, 3000, 1, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1",
+              spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+              spark__sql__shuffle__partitions="8",
+              spark__sql__adaptive__coalescePartitions__enabled="false",
+              spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+              spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10240",
+              spark__sql__adaptive__advisoryPartitionSizeInBytes="65536"):
+        joined = fact.join(dim, "k").groupBy().agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w"))
+        got = joined.collect()[0]
+        plan = plan_text(joined)
+    assert "SortMergeJoin(skew=true)" in plan
+    expected_w = sum(2 * (7 if i % 3 == 0 else i % 3000) for i in range(n))
+    assert (got["n"], got["w"]) == (n, expected_w)
