@@ -22,16 +22,29 @@ def overlaps(a: str, b: str) -> bool:
 
 
 def _swap_into_place(df: DataFrame, staging: str, target: str) -> None:
-    """Replace ``target`` by the finished ``staging`` folder (Hadoop FS rename)."""
+    """Replace ``target`` by the finished ``staging`` folder (Hadoop FS renames).
+
+    The old folder is renamed aside first and deleted only after the new one
+    is in place; if moving the new one in fails, the old one is put back.
+    No step leaves the data without a copy.
+    """
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    target_path = jvm.org.apache.hadoop.fs.Path(target)
+    Path = jvm.org.apache.hadoop.fs.Path
+    target_path = Path(target)
     fs = target_path.getFileSystem(conf)
-    if fs.exists(target_path) and not fs.delete(target_path, True):
-        raise IOError(f"could not remove the old {target}")
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target_path):
+    backup = None
+    if fs.exists(target_path):
+        backup = Path(f"{target.rstrip('/')}.previous-{uuid.uuid4().hex}")
+        if not fs.rename(target_path, backup):
+            raise IOError(f"could not move the old {target} aside")
+    if not fs.rename(Path(staging), target_path):
+        if backup is not None:
+            fs.rename(backup, target_path)
         raise IOError(f"could not move {staging} to {target}")
+    if backup is not None:
+        fs.delete(backup, True)
 
 
 def write_parquet(
@@ -54,8 +67,8 @@ def write_parquet(
       a failed job leaves nothing.  With ``swap=True`` (whole-folder replace
       only) the job writes a sibling staging folder and the old folder is
       replaced only after the job has committed; a failed job leaves the old
-      output readable.  The swap is one delete and one rename: atomic on HDFS,
-      a copy on object stores.
+      output readable.  The swap is two renames and a delete of the old
+      folder: renames are atomic on HDFS, copies on object stores.
     """
     for source in source_paths:
         if overlaps(path, source):
