@@ -29,6 +29,9 @@ def _swap_into_place(df: DataFrame, staging: str, target: str) -> None:
     No step leaves the data without a copy.
     """
     spark = df.sparkSession
+    # PySpark has no public file-system API; the session's Hadoop FileSystem
+    # (same credentials and scheme handling as the writer) is reached through
+    # the JVM gateway.
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path

@@ -45,6 +45,9 @@ def replace_table(
     loaded = staged_count(spark, url, staging, properties)
     if loaded != expected:
         raise RuntimeError(f"staging table {staging} has {loaded} rows, expected {expected}")
+    # The swap runs as one transaction on a single driver-side connection;
+    # PySpark has no public JDBC connection API, so the JVM's DriverManager
+    # (with the same driver jar the executors use) is reached via the gateway.
     jvm = spark.sparkContext._jvm
     jprops = jvm.java.util.Properties()
     for key, value in properties.items():
