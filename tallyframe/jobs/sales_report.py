@@ -1,6 +1,7 @@
 """Per-product sales metrics from a path given to the job.
 
     python -m tallyframe.jobs.sales_report INPUT [OUTPUT] [--format csv|parquet]
+        [--product COL --amount COL --quantity COL] [--schema DDL | --infer]
 
 INPUT may be any Hadoop file system URI (local, ``hdfs://``, ``s3a://``; the
 latter needs the ``hadoop-aws`` package on the classpath).  Without OUTPUT the
@@ -29,25 +30,47 @@ def detect_format(path: str) -> str:
     return "parquet"
 
 
-def load_input(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """Line items from CSV (declared schema, no inference pass) or Parquet."""
+def load_input(
+    spark: SparkSession,
+    path: str,
+    fmt: str | None = None,
+    schema: str | None = None,
+    infer: bool = False,
+) -> DataFrame:
+    """Input rows from CSV or Parquet.
+
+    ``schema`` is a DDL string (``"ProductID INT, Amount DOUBLE, ..."``); by
+    default the line-item schema is declared.  ``infer=True`` lets Spark infer
+    CSV types instead, at the cost of an extra pass over the input.
+    """
     fmt = fmt or detect_format(path)
+    declared = None if infer else (schema or TABLES["lineitem"])
     if fmt == "csv":
-        return read_csv_typed(spark, path, TABLES["lineitem"])
+        return read_csv_typed(spark, path, declared, infer=infer)
     if fmt == "parquet":
-        return spark.read.schema(TABLES["lineitem"]).parquet(path)
+        reader = spark.read if declared is None else spark.read.schema(declared)
+        return reader.parquet(path)
     raise ValueError(f"unknown input format {fmt!r}")
 
 
 def run_sales_report(
-    spark: SparkSession, input_path: str, output_path: str | None = None, fmt: str | None = None
+    spark: SparkSession,
+    input_path: str,
+    output_path: str | None = None,
+    fmt: str | None = None,
+    product: str = "l_partkey",
+    amount: str = "l_extendedprice",
+    quantity: str = "l_quantity",
+    schema: str | None = None,
+    infer: bool = False,
 ) -> DataFrame:
-    """Metrics as a DataFrame; written as Parquet first when ``output_path`` is set."""
-    metrics = product_sales_metrics(load_input(spark, input_path, fmt))
+    """Metrics per ``product``; written as Parquet first when ``output_path`` is set."""
+    rows = load_input(spark, input_path, fmt, schema, infer)
+    metrics = product_sales_metrics(rows, product, amount, quantity)
     if output_path is None:
         return metrics
     write_parquet(metrics, output_path, source_paths=[input_path], swap=True)
-    return spark.read.parquet(output_path).orderBy("l_partkey")
+    return spark.read.parquet(output_path).orderBy(product)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -55,13 +78,21 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("input")
     parser.add_argument("output", nargs="?")
     parser.add_argument("--format", choices=["csv", "parquet"])
+    parser.add_argument("--product", default="l_partkey")
+    parser.add_argument("--amount", default="l_extendedprice")
+    parser.add_argument("--quantity", default="l_quantity")
+    parser.add_argument("--schema", help="DDL of the input columns, e.g. 'ProductID INT, Amount DOUBLE'")
+    parser.add_argument("--infer", action="store_true", help="infer CSV types (an extra pass over the input)")
     parser.add_argument("--preview", type=int, default=20)
     args = parser.parse_args(argv)
     from tallyframe.session import build_session
 
     spark = build_session(app_name="sales_report")
     try:
-        report = run_sales_report(spark, args.input, args.output, args.format)
+        report = run_sales_report(
+            spark, args.input, args.output, args.format,
+            args.product, args.amount, args.quantity, args.schema, args.infer,
+        )
         report.show(args.preview, truncate=False)
         return 0
     except Exception as exc:  # report and fail the job with a non-zero code

@@ -31,11 +31,13 @@ def read_csv_text(spark: SparkSession, path: str, columns: list[str] | None = No
 def read_csv_typed(
     spark: SparkSession,
     path: str,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     infer: bool = False,
 ) -> DataFrame:
     """Header CSV with types: declared (preferred) or inferred (extra pass).
 
+    ``schema`` is a ``StructType`` or a DDL string.
+
     Cells that do not parse under the declared type become null (PERMISSIVE).
     """
     if schema is None and not infer:

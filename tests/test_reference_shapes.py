@@ -68,3 +68,19 @@ def test_completed_summary_with_status_text(spark):
         "order_id string, customer_id string, category string, amount double, status string, order_date string")
     got = reports.completed_summary(replicate(base, 200), "COMPLETED", "status", "category", "order_id", "amount")
     assert rows(got.drop("processed_at")) == [("GARDEN", 200, 4050.0, 20.25), ("TOOLS", 200, 20000.0, 100.0)]
+
+
+def test_sales_report_job_on_transaction_csv(spark, scratch):
+    from tallyframe.jobs.sales_report import run_sales_report
+
+    src = scratch("csv")
+    _write_text(spark, src, [
+        "TransactionID,CustomerID,ProductID,Amount,Quantity,Region",
+        "1,7,100,10.5,2,EAST", "2,8,100,0.5,1,WEST", "3,7,101,3.25,4,EAST", "4,9,9,1.00,1,WEST",
+    ])
+    ddl = "TransactionID INT, CustomerID INT, ProductID INT, Amount DOUBLE, Quantity INT, Region STRING"
+    expected = [(9, 1.0, 1, 1.0), (100, 11.0, 3, 5.5), (101, 3.25, 4, 3.25)]
+    declared = run_sales_report(spark, src, scratch("out"), "csv", "ProductID", "Amount", "Quantity", schema=ddl)
+    assert [tuple(r) for r in declared.collect()] == expected  # ordered by product, numerically
+    inferred = run_sales_report(spark, src, None, "csv", "ProductID", "Amount", "Quantity", infer=True)
+    assert [tuple(r) for r in inferred.collect()] == expected
