@@ -43,8 +43,19 @@ EVENT_LOG_SCHEMA = _fields(
 
 
 def read_event_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Event log lines under ``path`` (a file, a folder or a glob)."""
-    return spark.read.schema(EVENT_LOG_SCHEMA).json(path).withColumn("log_file", F.input_file_name())
+    """Event log lines under ``path`` (a file, a folder or a glob).
+
+    Rolling logs live in one sub-folder per application
+    (``eventlog_v2_<app id>/events_<n>_<app id>[.zstd]``), so folders are
+    searched recursively.  Compressed logs of finished applications are
+    decompressed by the reader.
+    """
+    return (
+        spark.read.schema(EVENT_LOG_SCHEMA)
+        .option("recursiveFileLookup", "true")
+        .json(path)
+        .withColumn("log_file", F.input_file_name())
+    )
 
 
 def stage_metrics(events: DataFrame) -> DataFrame:

@@ -97,3 +97,26 @@ def test_status_tracker_fallback(spark):
     assert df.columns == STAGE_COLUMNS
     got = df.collect()
     assert got and all(r["tasks"] >= 1 and r["failed_tasks"] == 0 for r in got)
+
+
+def test_finished_applications_compressed_log(spark, scratch):
+    """A separate application writes a zstd-compressed log; once it ends, the log reads in full."""
+    import os
+    import subprocess
+    import sys
+    import tempfile
+
+    log_dir = tempfile.mkdtemp(prefix="tallyframe-child-events-")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYSPARK_SUBMIT_ARGS=(
+        f"--conf spark.eventLog.enabled=true --conf spark.eventLog.dir={log_dir} pyspark-shell"))
+    proc = subprocess.run(
+        [sys.executable, "-m", "tallyframe.jobs.report", "total_sales_by_customer", SF_SMALL, scratch("child")],
+        cwd=repo, env=env, capture_output=True, text=True, timeout=300,
+    )
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    logs = [n for n in os.listdir(log_dir) if not n.startswith(".")]
+    assert logs
+    got = stage_metrics(read_event_logs(spark, log_dir)).collect()
+    assert got and sum(r["shuffle_write_bytes"] for r in got) > 0
+    assert all(r["log_file"].endswith(".zstd") for r in got)  # Spark 4's default codec
