@@ -120,3 +120,11 @@ def test_finished_applications_compressed_log(spark, scratch):
     got = stage_metrics(read_event_logs(spark, log_dir)).collect()
     assert got and sum(r["shuffle_write_bytes"] for r in got) > 0
     assert all(r["log_file"].endswith(".zstd") for r in got)  # Spark 4's default codec
+
+
+def test_predicted_layout_with_several_keys(spark):
+    orders = read_table(spark, SF_SMALL, "orders")
+    keys = ("o_custkey", "o_orderstatus")
+    predicted = sorted(tuple(r) for r in hash_partition_distribution(orders, 8, *keys).collect())
+    actual = sorted(tuple(r) for r in partition_distribution(orders.repartition(8, *keys)).collect())
+    assert predicted == actual
