@@ -106,6 +106,7 @@ def current_app_log(spark: SparkSession) -> str | None:
     """Glob of this application's event log, or None when logging is off."""
     if spark.conf.get("spark.eventLog.enabled", "false").lower() != "true":
         return None
+    # Spark's own default when logging is on and no folder is named.
     log_dir = spark.conf.get("spark.eventLog.dir", "/tmp/spark-events").rstrip("/")
     return f"{log_dir}/*{spark.sparkContext.applicationId}*"
 
