@@ -21,7 +21,10 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("name", choices=sorted(QUERIES))
     parser.add_argument("root")
     parser.add_argument("output")
-    args = parser.parse_args(argv)
+    try:
+        args = parser.parse_args(argv)
+    except SystemExit as exc:  # usage errors exit 1, like other failures
+        return 0 if exc.code == 0 else 1
     from tallyframe.session import build_session
 
     spark = build_session(app_name=f"report-{args.name}")

@@ -84,7 +84,10 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--schema", help="DDL of the input columns, e.g. 'ProductID INT, Amount DOUBLE'")
     parser.add_argument("--infer", action="store_true", help="infer CSV types (an extra pass over the input)")
     parser.add_argument("--preview", type=int, default=20)
-    args = parser.parse_args(argv)
+    try:
+        args = parser.parse_args(argv)
+    except SystemExit as exc:  # usage errors exit 1, like other failures
+        return 0 if exc.code == 0 else 1
     from tallyframe.session import build_session
 
     spark = build_session(app_name="sales_report")
