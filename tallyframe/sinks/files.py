@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 def _norm(path: str) -> str:
@@ -90,6 +92,17 @@ def write_parquet(
     return path
 
 
+def write_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Run ``write`` on ``df`` and return how many rows it wrote.
+
+    The count is an observed metric of the write itself (``Observation``),
+    so the plan runs once; a separate ``count()`` would compute it twice.
+    """
+    observation = Observation("rows_written")
+    write(df.observe(observation, F.count(F.lit(1)).alias("rows")))
+    return int(observation.get["rows"])
+
+
 def write_noop(df: DataFrame) -> None:
     """Run the whole plan and discard the rows (benchmarks, plan inspection)."""
     df.write.mode("overwrite").format("noop").save()

@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyframe.sinks.files import write_counted
+
 
 def staged_count(spark: SparkSession, url: str, table: str, properties: dict[str, str]) -> int:
     row = spark.read.jdbc(url, f"(SELECT COUNT(*) AS n FROM {table}) staged", properties=properties).first()
@@ -39,9 +41,13 @@ def replace_table(
             raise ValueError(f"JDBC property {key!r} is required")
     spark = df.sparkSession
     staging = staging_table or f"{table}_staging"
-    expected = df.count()
-    # Bounded number of concurrent connections into the database.
-    df.coalesce(num_partitions).write.jdbc(url, staging, mode="overwrite", properties=properties)
+    # ``num_partitions`` bounds the concurrent connections into the database.
+    # A repartition (not coalesce) keeps the stages that compute ``df`` at
+    # full parallelism; the row count is observed during the write itself.
+    expected = write_counted(
+        df,
+        lambda d: d.repartition(num_partitions).write.jdbc(url, staging, mode="overwrite", properties=properties),
+    )
     loaded = staged_count(spark, url, staging, properties)
     if loaded != expected:
         raise RuntimeError(f"staging table {staging} has {loaded} rows, expected {expected}")

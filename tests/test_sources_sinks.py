@@ -167,3 +167,12 @@ def test_report_job_command_line(scratch, spark):
     assert proc.returncode == 0, proc.stderr[-2000:]
     expected = reports.revenue_by_category(read_table(spark, SF_SMALL, "orders"))
     assert rows(spark.read.parquet(out)) == rows(expected)
+
+
+def test_write_counted_observes_rows_during_the_write(spark, scratch):
+    from tallyframe.sinks.files import write_counted
+
+    orders = read_table(spark, SF_SMALL, "orders").where("o_totalprice > 100000")
+    out = scratch("counted")
+    n = write_counted(orders, lambda d: d.write.parquet(out))
+    assert n == orders.count() == spark.read.parquet(out).count()
