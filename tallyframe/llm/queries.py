@@ -13,13 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import (
+    decontaminate,
     html_extract,
+    jaccard_join,
     language_id,
     mixing,
     quality_rules,
     sharding,
     token_counts,
     toxicity,
+    url_rules,
 )
 from tallyframe.llm.common import id_crc32
 from tallyframe.sources.tables import read_table
@@ -38,12 +41,30 @@ def op1_language_id(spark: SparkSession, root: str) -> DataFrame:
                       F.col("language.score").alias("score"))
 
 
+def op2_url_filters(spark: SparkSession, root: str) -> DataFrame:
+    pages = read_table(spark, root, "pages").select("page_id", "url")
+    out, info = url_rules.with_verdicts(pages)
+    v = F.col(info)
+    return out.select("page_id", *[v[c].alias(c) for c in ("host", "path", "rule", "verdict", "template")])
+
+
 def op3_html_extraction(spark: SparkSession, root: str) -> DataFrame:
     pages = read_table(spark, root, "pages").select("page_id", "url", "html")
     out = html_extract.with_main_text(pages)
     return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op4_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    benchmark = read_table(spark, root, "benchmark").select("item_id", "text")
+    out, info = decontaminate.with_hits(docs, benchmark)
+    h = F.col(info)
+    listed = F.sha2(F.concat_ws(",", h["item_ids"]).cast("binary"), 256)
+    return out.select("doc_id", h["n_words"].alias("n_words"), h["n_hit"].alias("n_hit"),
+                      F.size(h["item_ids"]).cast("bigint").alias("n_items"), listed.alias("items_sha256"),
+                      h["contaminated"].alias("contaminated"))
+
+
 def op5_token_counts(spark: SparkSession, root: str) -> DataFrame:
     docs = read_table(spark, root, "documents").select("doc_id", "text")
     out = token_counts.with_token_counts(docs, public_tokenizers.path(TOKENIZER))
@@ -76,6 +97,12 @@ def op8_mixing(spark: SparkSession, root: str) -> DataFrame:
                       m["target"].alias("target"), m["taken"].alias("taken"))
 
 
+def op9_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    out = jaccard_join.component_rows(docs)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op10_quality_rules(spark: SparkSession, root: str) -> DataFrame:
     docs = read_table(spark, root, "documents").select("doc_id", "text")
     out, ledger = quality_rules.with_ledger(docs)
@@ -90,17 +117,48 @@ def op10_quality_rules(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
+    "op2_url_filters": op2_url_filters,
     "op3_html_extraction": op3_html_extraction,
+    "op4_decontamination": op4_decontamination,
     "op5_token_counts": op5_token_counts,
     "op6_sharding": op6_sharding,
     "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
+_BENCH_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL: dict[str, str] = {
+    "op4_decontamination": rf"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all({_LOWER_AZ}, '{_BENCH_WORDS}') AS w FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all({_LOWER_AZ}, '{_BENCH_WORDS}') AS w FROM benchmark
+), iw AS (
+    SELECT DISTINCT item_id, len, array_to_string(w[i:i + len - 1], ' ') AS win
+    FROM (SELECT item_id, w, least(len(w), 13) AS len, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i
+          FROM b WHERE len(w) > 0)
+), dw AS (
+    SELECT doc_id, i, l.len, array_to_string(w[i:i + l.len - 1], ' ') AS win
+    FROM (SELECT DISTINCT len FROM iw) l, d, unnest(range(1, len(w) - l.len + 2)) AS u(i)
+), hit AS (
+    SELECT doc_id, i, dw.len, item_id FROM dw JOIN iw ON dw.win = iw.win AND dw.len = iw.len
+), h AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + len)) AS p FROM hit) GROUP BY doc_id
+), it AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+    FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)
+""",
     "op8_mixing": rf"""
 WITH d AS (
     SELECT doc_id, source, len(coalesce(regexp_extract_all(text, '{_WORDS}'), []))::BIGINT AS size,
@@ -137,6 +195,26 @@ SELECT doc_id, size, source_size, target,
        (CASE WHEN source_size = 0 THEN 0
              ELSE words // source_size * size + greatest(0, least(size, words % source_size - before)) END)::BIGINT AS taken
 FROM b
+""",
+    "op9_jaccard_join": rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all({_LOWER_AZ}, '{_WORDS}') AS w FROM documents
+), sh AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), n AS (
+    SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), p AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), e AS (
+    SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)
+), r(doc_id, reach) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reach
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)
 """,
     "op10_quality_rules": rf"""
 WITH d AS (
