@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import mixing, quality_rules, sharding
+from tallyframe.llm import decontaminate, jaccard_join, mixing, quality_rules, sharding
 from tallyframe.session import scratch_path
 from tallyframe.sources.tables import read_table
 
@@ -22,6 +22,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_passing(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id."""
+    return jaccard_join.keep_first(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no more of the benchmark than the contamination rule allows."""
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of the sources takes them."""
     return mixing.take_mix(docs)
@@ -34,6 +44,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality),
+    ("jaccard_join", near_duplicates),
+    ("decontamination", decontamination),
     ("mixing", mix),
     ("sharding", shard),
 ]
