@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 # Word pattern of several contracts: runs of anything but these six bytes.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -116,11 +116,13 @@ class TextChunk:
 
 def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[TextChunk]:
     """The texts of an Arrow string array in runs of about ``limit`` bytes; null counts as empty."""
-    texts = pc.fill_null(texts, "")
-    if not pa.types.is_large_string(texts.type):
-        texts = texts.cast(pa.large_string())
+    if texts.null_count:
+        texts = pc.fill_null(texts, "")
     _, offs, data = texts.buffers()
-    offsets = np.frombuffer(offs, dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    if len(texts) == 0:
+        return
+    offsets = np.frombuffer(offs, dtype=wide)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     i, n = 0, len(texts)
     while i < n:
@@ -130,6 +132,17 @@ def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[TextChunk
         i = j
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values in ascending order."""
+    if len(values) == 0:
+        return values
+    ordered = np.sort(values)
+    keep = np.empty(len(ordered), dtype=bool)
+    keep[0] = True
+    np.not_equal(ordered[1:], ordered[:-1], out=keep[1:])
+    return ordered[keep]
+
+
 @dataclass
 class Words:
     """The words of a chunk in order: text index, byte span and 64-bit hash."""

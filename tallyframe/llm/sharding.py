@@ -35,6 +35,8 @@ from tallyframe.llm.mixing import word_count
 N_SHARDS = 8
 BUNDLES = 4096
 PIECES = 64
+# Emphasis of bytes, tokens and rows in the dot product.
+EMPHASIS = (4.0, 2.0, 1.0)
 ROWS_PER_PART = 20_000
 
 
@@ -46,9 +48,10 @@ def place(vectors: np.ndarray, n_shards: int) -> np.ndarray:
     total = vectors.sum(axis=0)
     share = vectors / np.where(total > 0, total, 1)
     left = np.full((n_shards, vectors.shape[1]), 1.0 / n_shards)
+    emphasis = np.array(EMPHASIS)
     shard = np.zeros(len(vectors), dtype=np.int64)
     for i in np.lexsort((np.arange(len(vectors)), -share.max(axis=1))):
-        best = int(np.argmax(left @ share[i]))
+        best = int(np.argmax(left @ (emphasis * share[i])))
         shard[i] = best
         left[best] -= share[i]
     return shard

@@ -6,11 +6,10 @@ keeps a learning rate per slot and an L1 term, so most weights are exactly
 zero and the model is a short list of (slot, weight).
 
 Training uses labelled rows only, at most about ``max_rows`` of them (chosen
-by the hash of the id, a documented bound).  They are dealt to ``shards``
-groups by that hash; each group runs its own passes in a task and the weights
-are averaged, so neither the driver nor one task sees the training texts
-together.  The averaged nonzero weights (at most ``2**BITS``) are sent with
-the scoring function.
+by the hash of the id, a documented bound).  They are dealt to groups of about
+``ROWS_PER_SHARD`` rows by that hash; each group runs its own passes in a task
+and the weights are averaged.  The averaged nonzero weights (at most
+``2**BITS``) are sent with the scoring function.
 
 Defined cases: a null or empty text, or one without words, has no features and
 scores the model's base rate; rows with a null label or id are not trained on;
@@ -28,13 +27,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import hash_fraction, mix64, separator_table, text_chunks, words_of
+from tallyframe.llm.common import distinct, hash_fraction, mix64, separator_table, text_chunks, words_of
 
 BITS = 20
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.5, 0.1
-EPOCHS = 4
+ALPHA, BETA, L2 = 1.0, 1.0, 0.1
+# The L1 term grows as the noise of a slot's gradient sum does, with the root of the rows.
+L1_PER_ROOT_ROW = 3.0 / 8000**0.5
+EPOCHS = 6
+# A slot is learned from its MIN_SEEN-th text on (fewer for small samples), so
+# words of a single text cannot stand in for its label.
+MIN_SEEN = 5
 MAX_ROWS = 24_000
-SHARDS = 4
+ROWS_PER_SHARD = 9_000
 # Everything but ASCII letters and digits and the bytes of non-ASCII characters separates words.
 BREAKS = [b for b in range(128) if not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122)]
 
@@ -53,32 +57,38 @@ def _features(texts: pa.Array) -> Iterator[np.ndarray]:
                 grams.append((pair[same], w.doc[:-gap][same]))
         slots = np.concatenate([g & mask for g, _ in grams]).astype(np.int64)
         docs = np.concatenate([d for _, d in grams])
-        both = np.unique((docs.astype(np.int64) << BITS) | slots)
+        both = distinct((docs.astype(np.int64) << BITS) | slots)
         cut = np.searchsorted(both, np.arange(len(chunk) + 1, dtype=np.int64) << BITS)
         both &= (1 << BITS) - 1
         for i in range(len(chunk)):
             yield both[cut[i]:cut[i + 1]]
 
 
-def _ftrl(texts: list, labels: np.ndarray, order: np.ndarray, base: float) -> tuple[np.ndarray, np.ndarray]:
-    """Passes of FTRL-proximal over one group of rows; the nonzero slots and their weights."""
-    rows = [f.copy() for f in _features(pa.array(texts, pa.large_string()))]
+def _ftrl(texts: list, labels: np.ndarray, base: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Passes of FTRL-proximal over one group of rows: nonzero slots, weights and squared gradient sums."""
+    rows = [f.astype(np.int32) for f in _features(pa.array(texts, pa.large_string()))]
+    seen = np.zeros(1 << BITS, np.int32)
+    for x in rows:
+        seen[x] += 1
+    least = max(2, min(MIN_SEEN, len(rows) // 1000))
+    rows = [x[seen[x] >= least] for x in rows]
+    l1 = L1_PER_ROOT_ROW * len(rows) ** 0.5
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for _ in range(EPOCHS):
-        for i in order:
-            x = rows[i]
-            w = _weights(z[x], n[x])
+        for x, y in zip(rows, labels, strict=True):
+            w = _weights(z[x], n[x], l1)
             p = 1.0 / (1.0 + np.exp(-np.clip(base + w.sum(), -35, 35)))
-            g = p - labels[i]
+            g = p - y
             sigma = (np.sqrt(n[x] + g * g) - np.sqrt(n[x])) / ALPHA
             z[x] += g - sigma * w
             n[x] += g * g
-    slots = np.flatnonzero(np.abs(z) > L1)
-    return slots, _weights(z[slots], n[slots])
+    slots = np.flatnonzero(n > 0)
+    weights = _weights(z[slots], n[slots], l1)
+    return slots, weights, n[slots]
 
 
-def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
-    shrunk = np.sign(z) * np.maximum(np.abs(z) - L1, 0.0)
+def _weights(z: np.ndarray, n: np.ndarray, l1: float) -> np.ndarray:
+    shrunk = np.sign(z) * np.maximum(np.abs(z) - l1, 0.0)
     return -shrunk / ((BETA + np.sqrt(n)) / ALPHA + L2)
 
 
@@ -98,7 +108,7 @@ class Model:
 
 def train(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-    max_rows: int = MAX_ROWS, shards: int = SHARDS,
+    max_rows: int = MAX_ROWS,
 ) -> Model:
     """Fit on the rows of ``docs`` that ``labels`` marks 0 or 1."""
     usable = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).filter(
@@ -112,20 +122,21 @@ def train(
         return Model(base, np.zeros(0, np.int64), np.zeros(0))
     usable = usable.withColumn("u", hash_fraction("id")).filter(F.col("u") < min(1.0, max_rows / n))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    # Equal ids with equal texts count once; the group is fixed by the id.
+    # About ROWS_PER_SHARD rows a group, whatever max_rows; the id fixes the group.
+    shards = -(-min(n, max_rows) // ROWS_PER_SHARD)
     rows = texts.join(usable, "id").withColumn("shard", (F.col("u") * 1e9).cast("bigint") % shards)
-    rows = rows.repartition(shards, "shard")
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["u", "id"], kind="stable").reset_index(drop=True)
-        slots, weights = _ftrl(list(group["text"]), group["y"].to_numpy(float), np.arange(len(group)), base)
-        return pd.DataFrame({"slot": slots, "weight": weights})
-
-    fitted = rows.groupBy("shard").applyInPandas(fit, "slot bigint, weight double")
-    # At most 2**BITS slots come back, whatever the size of the corpus.
-    mean = fitted.groupBy("slot").agg((F.sum("weight") / F.lit(float(shards))).alias("weight")).collect()
-    mean.sort(key=lambda r: r["slot"])
-    return Model(base, np.array([r["slot"] for r in mean], np.int64), np.array([r["weight"] for r in mean]))
+        group = group.sort_values(["u", "id"], kind="stable")
+        slots, weights, seen = _ftrl(list(group["text"]), group["y"].to_numpy(float), base)
+        return pd.DataFrame({"slot": slots, "weight": weights, "seen": seen})
+
+    fitted = rows.groupBy("shard").applyInPandas(fit, "slot bigint, weight double, seen double")
+    # A group's say in a slot is the gradient it has seen there.  At most
+    # 2**BITS slots come back, whatever the size of the corpus.
+    mean = fitted.groupBy("slot").agg((F.sum(F.col("weight") * F.col("seen")) / F.sum("seen")).alias("weight"))
+    nonzero = sorted(mean.filter("weight <> 0").collect(), key=lambda r: r["slot"])
+    return Model(base, np.array([r["slot"] for r in nonzero], np.int64), np.array([r["weight"] for r in nonzero]))
 
 
 def with_score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
