@@ -1,25 +1,29 @@
 """Column-expression helpers (all JVM-side, no Python UDFs)."""
 
 from tallyframe.functions.money import (
-    CENTS_PER_UNIT,
-    cents,
-    cents_to_amount,
     exact_avg,
+    exact_mean,
     exact_sum,
+    exact_total,
     half_up_div,
     lenient_number,
-    round_money,
-    sum_cents,
+    micro_part,
+    money_parts,
+    parts_amount,
+    parts_total,
+    whole_part,
 )
 
 __all__ = [
-    "CENTS_PER_UNIT",
-    "cents",
-    "cents_to_amount",
     "exact_avg",
+    "exact_mean",
     "exact_sum",
+    "exact_total",
     "half_up_div",
     "lenient_number",
-    "round_money",
-    "sum_cents",
+    "micro_part",
+    "money_parts",
+    "parts_amount",
+    "parts_total",
+    "whole_part",
 ]

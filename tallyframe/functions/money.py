@@ -1,11 +1,14 @@
 """Exact money arithmetic as built-in column expressions.
 
-Amounts arrive as doubles (or text) carrying at most two decimals.  Summing
-doubles gives answers that depend on row order, i.e. on partitioning; so every
-amount is turned into whole cents (a ``bigint``) before it is aggregated.
-Long sums are exact, associative and stay inside whole-stage codegen; they
-measured about twice as fast as ``decimal(18,2)`` sums.  Overflow of a sum
-raises under ANSI mode instead of wrapping.
+Summing doubles gives answers that depend on row order, i.e. on partitioning.
+So every amount is split into a whole part and millionths, both ``bigint``;
+the two are summed as longs (exact, associative, inside whole-stage codegen),
+put together as a decimal and only then rounded, once.  Amounts carry up to
+six decimals; a sum is bounded by the range of a long in whole units, and an
+overflow raises under ANSI mode instead of wrapping.
+
+Text amounts are converted leniently: what does not parse counts as null, and
+``reports.rejected_amounts`` counts those rows.
 
 All helpers return ``Column`` objects, so Catalyst sees plain ``Sum`` /
 ``Count`` aggregates and plans the usual partial + final aggregation.
@@ -13,13 +16,19 @@ All helpers return ``Column`` objects, so Catalyst sees plain ``Sum`` /
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-# Fixed value: money carries two decimals, so one unit is 100 cents.
-CENTS_PER_UNIT = 100
+# Amounts carry six decimals inside a sum, results two.
+MICROS_PER_UNIT = 1_000_000
+RESULT_DECIMALS = 2
+# Below this a double's millionths are computed in doubles (its spacing is
+# finer than a millionth); above, through the decimal of its text.
+_FAST_BELOW = float(1 << 32)
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -27,65 +36,84 @@ def _col(c: ColumnOrName) -> Column:
 
 
 def lenient_number(c: ColumnOrName) -> Column:
-    """Text (or any type) to double; unparseable text becomes null.
+    """Text (or any type) to double; unparseable text, NaN and infinities become null.
 
     Same answer with ANSI mode on or off, unlike an implicit cast.
     """
-    return _col(c).try_cast("double")
+    number = _col(c).try_cast("double")
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
-def cents(c: ColumnOrName) -> Column:
-    """An amount as whole cents, rounded half away from zero.
+def whole_part(c: ColumnOrName) -> Column:
+    """Largest integer not above the amount, as ``bigint``."""
+    x = lenient_number(c)
+    return F.when(F.abs(x) < _FAST_BELOW, F.floor(x)).otherwise(F.floor(x.cast("decimal(38,6)")).cast("bigint"))
+
+
+def micro_part(c: ColumnOrName) -> Column:
+    """Millionths above the whole part, 0 to 1,000,000, as ``bigint``."""
+    x = lenient_number(c)
+    exact = x.cast("decimal(38,6)")
+    fast = F.rint((x - F.floor(x)) * MICROS_PER_UNIT)
+    slow = (exact - F.floor(exact)) * MICROS_PER_UNIT
+    return F.when(F.abs(x) < _FAST_BELOW, fast.cast("bigint")).otherwise(slow.cast("bigint"))
+
+
+def money_parts(c: ColumnOrName, name: str) -> dict[str, Column]:
+    """The two per-row measures of an amount, to be summed under these names."""
+    return {f"{name}_whole": whole_part(c), f"{name}_micros": micro_part(c)}
 
-    Same result as ``round(x * 100)``, which Spark computes through a
-    ``BigDecimal`` per row; here ``rint`` (a CPU instruction) rounds and an
-    exact tie (``y - rint(y) == ±0.5``, where ``rint`` picked the even
-    neighbour toward zero) is moved away from zero.  Measured 2.4x faster on
-    a 30M-row projection and 15% faster on a 1M-group aggregate.
-    """
-    y = _col(c).cast("double") * CENTS_PER_UNIT
-    nearest = F.rint(y)
-    off = y - nearest
-    tie_fix = F.when((y > 0) & (off == 0.5), 1.0).when((y < 0) & (off == -0.5), -1.0).otherwise(0.0)
-    return (nearest + tie_fix).cast("bigint")
 
+def _micros(whole: Column, micros: Column) -> Column:
+    """Summed parts as one count of millionths, ``decimal(29,0)``."""
+    scaled = whole.cast("decimal(20,0)") * F.lit(Decimal(MICROS_PER_UNIT))
+    return (scaled + micros.cast("decimal(20,0)")).cast("decimal(29,0)")
 
-def sum_cents(c: ColumnOrName) -> Column:
-    """Exact aggregate: the sum of an amount in cents (``bigint``)."""
-    return F.sum(cents(c))
 
+def parts_total(whole: ColumnOrName, micros: ColumnOrName) -> Column:
+    """Summed parts as an exact decimal with six decimals."""
+    return _micros(_col(whole), _col(micros)) * F.lit(Decimal("0.000001"))
 
-def cents_to_amount(c: ColumnOrName) -> Column:
-    """Cents back to a double amount (the nearest double to the exact value)."""
-    return _col(c).cast("double") / float(CENTS_PER_UNIT)
+
+def parts_amount(whole: ColumnOrName, micros: ColumnOrName) -> Column:
+    """Summed parts as a double, rounded half up to two decimals."""
+    return F.round(parts_total(whole, micros), RESULT_DECIMALS).cast("double")
+
+
+def exact_total(c: ColumnOrName) -> Column:
+    """Aggregate: the unrounded sum of an amount, as a decimal."""
+    return parts_total(F.sum(whole_part(c)), F.sum(micro_part(c)))
 
 
 def exact_sum(c: ColumnOrName) -> Column:
-    """Aggregate: sum of an amount, exact to the cent, as double."""
-    return cents_to_amount(sum_cents(c))
+    """Aggregate: sum of an amount, rounded once to two decimals, as double."""
+    return F.round(exact_total(c), RESULT_DECIMALS).cast("double")
+
+
+def exact_mean(c: ColumnOrName) -> Column:
+    """Aggregate: unrounded average, the exact sum over the count, as double."""
+    return exact_total(c).cast("double") / F.count(lenient_number(c))
 
 
 def half_up_div(numerator: Column, denominator: Column) -> Column:
     """``numerator / denominator`` rounded half away from zero to an integer.
 
-    Computed as floor((2|n| + d) / 2d) in decimal(38,18), which is exact for
-    any bigint inputs; null when the denominator is zero.
+    Computed as floor((2|n| + d) / 2d) on whole decimals: the remainder is
+    taken off first, so the division is exact.  Null when the denominator is
+    not positive.
     """
-    num = (F.abs(numerator).cast("decimal(20,0)") * 2 + denominator.cast("decimal(20,0)"))
-    den = denominator.cast("decimal(20,0)") * 2
-    magnitude = F.floor(num / den).cast("bigint")
-    return F.when(denominator > 0, F.when(numerator < 0, -magnitude).otherwise(magnitude))
+    d = F.when(denominator > 0, denominator).cast("decimal(25,0)")
+    top = F.abs(numerator).cast("decimal(29,0)") * 2 + d
+    bottom = d * 2
+    magnitude = ((top - top % bottom) / bottom).cast("bigint")
+    return F.when(numerator < 0, -magnitude).otherwise(magnitude)
 
 
 def exact_avg(c: ColumnOrName) -> Column:
-    """Aggregate: average of an amount rounded half-up to the cent, as double.
+    """Aggregate: average of an amount rounded half up to the cent, as double.
 
     Null values are skipped, as ``avg`` does; a group with no values gives null.
     """
-    amount = _col(c)
-    return cents_to_amount(half_up_div(sum_cents(amount), F.count(amount)))
-
-
-def round_money(c: ColumnOrName) -> Column:
-    """Half-up rounding to the cent of an already computed double."""
-    return F.round(_col(c), 2)
+    micros = _micros(F.sum(whole_part(c)), F.sum(micro_part(c)))
+    per_cent = MICROS_PER_UNIT // 10**RESULT_DECIMALS
+    return half_up_div(micros, F.count(lenient_number(c)) * per_cent).cast("double") / float(10**RESULT_DECIMALS)

@@ -18,16 +18,21 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.plans.reports import product_sales_metrics
-from tallyframe.schemas import TABLES
-from tallyframe.sinks.files import write_parquet
+from tallyframe.sinks.files import data_file_name, write_parquet
 from tallyframe.sources.csv import read_csv_typed
 
 
-def detect_format(path: str) -> str:
-    lowered = path.rstrip("/").lower()
-    if lowered.endswith(".csv") or lowered.endswith(".csv.gz"):
+def detect_format(spark: SparkSession, path: str) -> str:
+    """``csv`` or ``parquet``, from the names of the input's own files."""
+    name = data_file_name(spark, path)
+    if name is None:
+        raise ValueError(f"{path!r} holds no data file; give --format")
+    parts = name.lower().split(".")
+    if "parquet" in parts:
+        return "parquet"
+    if "csv" in parts or "txt" in parts:
         return "csv"
-    return "parquet"
+    raise ValueError(f"cannot tell the format of {name!r}; give --format")
 
 
 def load_input(
@@ -39,16 +44,17 @@ def load_input(
 ) -> DataFrame:
     """Input rows from CSV or Parquet.
 
-    ``schema`` is a DDL string (``"ProductID INT, Amount DOUBLE, ..."``); by
-    default the line-item schema is declared.  ``infer=True`` lets Spark infer
-    CSV types instead, at the cost of an extra pass over the input.
+    CSV needs ``schema``, a DDL string (``"ProductID INT, Amount DOUBLE, ..."``)
+    whose columns are found in the header by name, or ``infer=True``, which
+    costs an extra pass.  Parquet brings its own schema.
     """
-    fmt = fmt or detect_format(path)
-    declared = None if infer else (schema or TABLES["lineitem"])
+    fmt = fmt or detect_format(spark, path)
     if fmt == "csv":
-        return read_csv_typed(spark, path, declared, infer=infer)
+        if schema is None and not infer:
+            raise ValueError("CSV input needs a schema (--schema) or inference (--infer)")
+        return read_csv_typed(spark, path, None if infer else schema, infer=infer)
     if fmt == "parquet":
-        reader = spark.read if declared is None else spark.read.schema(declared)
+        reader = spark.read if schema is None else spark.read.schema(schema)
         return reader.parquet(path)
     raise ValueError(f"unknown input format {fmt!r}")
 
@@ -64,13 +70,20 @@ def run_sales_report(
     schema: str | None = None,
     infer: bool = False,
 ) -> DataFrame:
-    """Metrics per ``product``; written as Parquet first when ``output_path`` is set."""
+    """Metrics per ``product``; written as Parquet, in order, when ``output_path`` is set.
+
+    The frame returned for an output reads the written files and is not sorted
+    again.
+    """
     rows = load_input(spark, input_path, fmt, schema, infer)
+    missing = [c for c in (product, amount, quantity) if c.lower() not in {x.lower() for x in rows.columns}]
+    if missing:
+        raise ValueError(f"the input has no column {', '.join(missing)}; it has {', '.join(rows.columns)}")
     metrics = product_sales_metrics(rows, product, amount, quantity)
     if output_path is None:
         return metrics
     write_parquet(metrics, output_path, source_paths=[input_path], swap=True)
-    return spark.read.parquet(output_path).orderBy(product)
+    return spark.read.parquet(output_path)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -81,7 +94,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--product", default="l_partkey")
     parser.add_argument("--amount", default="l_extendedprice")
     parser.add_argument("--quantity", default="l_quantity")
-    parser.add_argument("--schema", help="DDL of the input columns, e.g. 'ProductID INT, Amount DOUBLE'")
+    parser.add_argument("--schema", help="DDL of the columns to read, found by name, e.g. 'ProductID INT, Amount DOUBLE'")
     parser.add_argument("--infer", action="store_true", help="infer CSV types (an extra pass over the input)")
     parser.add_argument("--preview", type=int, default=20)
     try:
@@ -96,7 +109,7 @@ def main(argv: list[str] | None = None) -> int:
             spark, args.input, args.output, args.format,
             args.product, args.amount, args.quantity, args.schema, args.infer,
         )
-        report.show(args.preview, truncate=False)
+        report.orderBy(args.product).limit(args.preview).show(args.preview, truncate=False)
         return 0
     except Exception as exc:  # report and fail the job with a non-zero code
         print(f"sales_report failed: {exc}", file=sys.stderr)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions import exact_avg, exact_sum
+from tallyframe.functions import exact_avg, exact_mean, exact_sum
 
 ColumnOrName = Column | str
 
@@ -25,9 +25,10 @@ def money_summary(
     count_of: ColumnOrName | None = None,
     sum_as: str | None = None,
     avg_as: str | None = None,
+    mean_as: str | None = None,
     extra: tuple[Column, ...] = (),
 ) -> DataFrame:
-    """Per group of ``by``: optional count, exact sum and half-up average.
+    """Per group of ``by``: optional count, exact sum (rounded once), rounded or unrounded average.
 
     ``count_of`` counts non-null values of a column (``count(col)``); without
     it every row counts (``count(*)``).
@@ -40,7 +41,9 @@ def money_summary(
         aggs.append(exact_sum(amount).alias(sum_as))
     if avg_as:
         aggs.append(exact_avg(amount).alias(avg_as))
+    if mean_as:
+        aggs.append(exact_mean(amount).alias(mean_as))
     aggs.extend(extra)
     if not aggs:
-        raise ValueError("ask for at least one of count_as, sum_as, avg_as or extra")
+        raise ValueError("ask for at least one of count_as, sum_as, avg_as, mean_as or extra")
     return df.groupBy(*by).agg(*aggs)

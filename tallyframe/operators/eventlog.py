@@ -55,13 +55,25 @@ def read_event_logs(spark: SparkSession, path: str) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .json(path)
         .withColumn("log_file", F.input_file_name())
+        .withColumn("app", _application("log_file"))
     )
 
 
+def _application(path: str):
+    """The application a log file belongs to, from its name.
+
+    A rolled log is a folder ``eventlog_v2_<app>`` whose files belong
+    together; a single log is a file named after the application.
+    """
+    rolled = F.regexp_extract(path, r"/eventlog_v2_([^/]+)/[^/]*$", 1)
+    single = F.regexp_extract(path, r"([^/]+?)(?:\.(?:zstd|lz4|lzf|snappy|inprogress|compact))*$", 1)
+    return F.when(rolled != "", rolled).otherwise(single)
+
+
 def stage_metrics(events: DataFrame) -> DataFrame:
-    """One row per (log file, stage, attempt) with task and shuffle figures.
+    """One row per (application, stage, attempt) with task and shuffle figures.
 
-    Columns: ``log_file``, ``stage_id``, ``stage_attempt``, ``stage_name``,
+    Columns: ``app``, ``stage_id``, ``stage_attempt``, ``stage_name``,
     ``tasks``, ``failed_tasks``, ``run_time_ms``, ``input_bytes``,
     ``shuffle_read_bytes``, ``shuffle_write_bytes``, ``shuffle_write_records``,
     ``memory_spill_bytes``, ``disk_spill_bytes``.
@@ -69,7 +81,7 @@ def stage_metrics(events: DataFrame) -> DataFrame:
     m = F.col("Task Metrics")
     tasks = (
         events.where(F.col("Event") == "SparkListenerTaskEnd")
-        .groupBy("log_file", F.col("Stage ID").alias("stage_id"), F.col("Stage Attempt ID").alias("stage_attempt"))
+        .groupBy("app", F.col("Stage ID").alias("stage_id"), F.col("Stage Attempt ID").alias("stage_attempt"))
         .agg(
             F.count(F.lit(1)).alias("tasks"),
             F.count(F.when(F.col("Task Info.Failed") | F.col("Task Info.Killed"), 1)).alias("failed_tasks"),
@@ -88,54 +100,27 @@ def stage_metrics(events: DataFrame) -> DataFrame:
     names = (
         events.where(F.col("Event") == "SparkListenerStageCompleted")
         .select(
-            "log_file",
+            "app",
             info["Stage ID"].alias("stage_id"),
             info["Stage Attempt ID"].alias("stage_attempt"),
             info["Stage Name"].alias("stage_name"),
         )
-        .dropDuplicates(["log_file", "stage_id", "stage_attempt"])
+        .dropDuplicates(["app", "stage_id", "stage_attempt"])
     )
-    return tasks.join(names, ["log_file", "stage_id", "stage_attempt"], "left").select(
-        "log_file", "stage_id", "stage_attempt", "stage_name", "tasks", "failed_tasks", "run_time_ms",
+    return tasks.join(names, ["app", "stage_id", "stage_attempt"], "left").select(
+        "app", "stage_id", "stage_attempt", "stage_name", "tasks", "failed_tasks", "run_time_ms",
         "input_bytes", "shuffle_read_bytes", "shuffle_write_bytes", "shuffle_write_records",
         "memory_spill_bytes", "disk_spill_bytes",
     )
 
 
 def current_app_log(spark: SparkSession) -> str | None:
-    """Glob of this application's event log, or None when logging is off."""
+    """Glob of this application's event log, or None when logging is off or has no named folder."""
     if spark.conf.get("spark.eventLog.enabled", "false").lower() != "true":
         return None
-    # Spark's own default when logging is on and no folder is named.
-    log_dir = spark.conf.get("spark.eventLog.dir", "/tmp/spark-events").rstrip("/")
-    return f"{log_dir}/*{spark.sparkContext.applicationId}*"
-
-
-STAGE_COLUMNS = [
-    "log_file", "stage_id", "stage_attempt", "stage_name", "tasks", "failed_tasks", "run_time_ms",
-    "input_bytes", "shuffle_read_bytes", "shuffle_write_bytes", "shuffle_write_records",
-    "memory_spill_bytes", "disk_spill_bytes",
-]
-
-
-def tracked_stage_metrics(spark: SparkSession, stage_ids: list[int]) -> DataFrame:
-    """Per-stage task counts from the status tracker, for sessions without an event log.
-
-    Only what the tracker keeps is filled in (name, tasks, failed tasks);
-    byte figures are null.  One row per stage of the given ids, a handful of
-    rows built from job metadata, never from data.
-    """
-    tracker = spark.sparkContext.statusTracker()
-    rows = []
-    for sid in sorted(set(stage_ids)):
-        info = tracker.getStageInfo(sid)
-        if info is None:
-            continue
-        rows.append(("", sid, info.currentAttemptId, info.name, info.numTasks, info.numFailedTasks,
-                     None, None, None, None, None, None, None))
-    schema = T.StructType([
-        T.StructField("log_file", _S), T.StructField("stage_id", _I), T.StructField("stage_attempt", _I),
-        T.StructField("stage_name", _S), T.StructField("tasks", _L), T.StructField("failed_tasks", _L),
-        *[T.StructField(c, _L) for c in STAGE_COLUMNS[6:]],
-    ])
-    return spark.createDataFrame(rows, schema)
+    log_dir = spark.conf.get("spark.eventLog.dir", None)
+    if not log_dir:
+        return None
+    # The id may be followed by an attempt or a suffix, never by more of an id.
+    app = spark.sparkContext.applicationId
+    return f"{log_dir.rstrip('/')}/{{{app},{app}[._]*,eventlog_v2_{app},eventlog_v2_{app}_*}}"

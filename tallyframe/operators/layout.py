@@ -19,20 +19,6 @@ def partition_distribution(df: DataFrame) -> DataFrame:
     )
 
 
-def hash_partition_distribution(df: DataFrame, num_partitions: int, *keys: str) -> DataFrame:
-    """``partition_id``, ``count`` that ``df.repartition(num_partitions, *keys)`` would give.
-
-    Spark's hash partitioner sends a row to ``pmod(murmur3(keys), n)``; the
-    same expression is evaluated here and counted with a partial aggregation,
-    so a hot key is found before any data is moved: one scan, one small
-    shuffle of per-task counts, at any ``num_partitions``.
-    """
-    if not keys:
-        raise ValueError("give at least one key column")
-    pid = F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(num_partitions))
-    return df.select(pid.alias("partition_id")).groupBy("partition_id").agg(F.count(F.lit(1)).alias("count"))
-
-
 def distribution_summary(distribution: DataFrame) -> DataFrame:
     """One row: partitions, total rows, largest, smallest and the skew ratio."""
     return distribution.agg(

@@ -3,8 +3,8 @@
 ``QUERIES[name](spark, root)`` loads the tables it needs from ``root`` and
 returns the report.  ``ORACLE_SQL[name]`` is an independent plain-SQL
 statement of the same result for DuckDB over the same Parquet files; it sums
-money as ``DECIMAL(18,2)`` and rounds averages in integer cents, so it checks
-our cents arithmetic and our join/aggregation rewrites, not just the syntax.
+money as ``DECIMAL(38,6)`` and rounds once, so it checks our split sums and our
+join/aggregation rewrites, not just the syntax.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.plans import layout, reports, roundtrips, streams
-from tallyframe.plans.sql import revenue_by_country_sql
+from tallyframe.plans.sql import revenue_by_country_sql, sql_report
 from tallyframe.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,21 @@ def q_total_sales_by_customer(spark: SparkSession, root: str) -> DataFrame:
     return reports.total_sales_by_customer(read_table(spark, root, "orders"))
 
 
+def q_revenue_by_country_text_sql(spark: SparkSession, root: str) -> DataFrame:
+    """SQL over a view with text amounts: the casts are in the SQL."""
+    orders, customer, nation = _t(spark, root, "orders", "customer", "nation")
+    tables = {"orders_text": reports.amount_as_text(orders), "customer": customer, "nation": nation}
+    return sql_report(spark, "revenue_by_country_text", tables)
+
+
+def q_total_sales_by_customer_text(spark: SparkSession, root: str) -> DataFrame:
+    return reports.total_sales_by_customer_text(read_table(spark, root, "orders"))
+
+
+def q_rejected_amounts(spark: SparkSession, root: str) -> DataFrame:
+    return reports.rejected_amounts(reports.amount_as_text(read_table(spark, root, "orders")), "amount_text")
+
+
 def q_revenue_by_category(spark: SparkSession, root: str) -> DataFrame:
     return reports.revenue_by_category(read_table(spark, root, "orders"))
 
@@ -86,6 +101,9 @@ QUERIES: dict[str, Query] = {
     "high_value_orders_text": q_high_value_orders_text,
     "filtered_order_count": q_filtered_order_count,
     "total_sales_by_customer": q_total_sales_by_customer,
+    "total_sales_by_customer_text": q_total_sales_by_customer_text,
+    "rejected_amounts": q_rejected_amounts,
+    "revenue_by_country_text_sql": q_revenue_by_country_text_sql,
     "revenue_by_category": q_revenue_by_category,
     "product_sales_metrics": q_product_sales_metrics,
     "purchases_by_user": q_purchases_by_user,
@@ -101,7 +119,7 @@ QUERIES: dict[str, Query] = {
 
 _REVENUE_BY_COUNTRY = """
 SELECT n.n_name AS country,
-       CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+       CAST(ROUND(SUM(CAST(o.o_totalprice AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_revenue
 FROM orders o
 JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -113,7 +131,7 @@ ORDER BY total_revenue DESC, country
 _REVENUE_BY_CATEGORY = """
 SELECT o_orderpriority AS category,
        COUNT(o_orderkey) AS total_orders,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+       CAST(ROUND(SUM(CAST(o_totalprice AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_revenue
 FROM orders
 GROUP BY o_orderpriority
 ORDER BY total_revenue DESC, category
@@ -121,10 +139,10 @@ ORDER BY total_revenue DESC, category
 
 _PRODUCT_SALES_METRICS = """
 SELECT l_partkey,
-       CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_sales_amount,
-       CAST(SUM(l_quantity) AS BIGINT) AS total_quantity_sold,
-       CAST((2 * CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) * 100 AS BIGINT)
-             + COUNT(l_extendedprice)) // (2 * COUNT(l_extendedprice)) AS DOUBLE) / 100.0
+       CAST(ROUND(SUM(CAST(l_extendedprice AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_sales_amount,
+       CAST(SUM(CAST(l_quantity AS DECIMAL(38,6))) AS DOUBLE) AS total_quantity_sold,
+       CAST((2 * CAST(SUM(CAST(l_extendedprice AS DECIMAL(38,6))) * 1000000 AS HUGEINT)
+             + 10000 * COUNT(l_extendedprice)) // (20000 * COUNT(l_extendedprice)) AS DOUBLE) / 100.0
            AS average_transaction_amount
 FROM lineitem
 GROUP BY l_partkey
@@ -133,7 +151,7 @@ ORDER BY l_partkey
 
 _TOTAL_SALES_BY_CUSTOMER = """
 SELECT o_custkey,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_sales
+       CAST(ROUND(SUM(CAST(o_totalprice AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_sales
 FROM orders
 GROUP BY o_custkey
 """
@@ -161,13 +179,33 @@ WHERE TRY_CAST(amount_text AS DOUBLE) > 150000
 SELECT COUNT(*) AS n FROM orders WHERE o_totalprice > 150000
 """,
     "total_sales_by_customer": _TOTAL_SALES_BY_CUSTOMER,
+    "total_sales_by_customer_text": f"""
+SELECT o_custkey,
+       CAST(ROUND(SUM(TRY_CAST(amount_text AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_sales
+FROM ({_AMOUNT_TEXT}) t
+GROUP BY o_custkey
+""",
+    "rejected_amounts": f"""
+SELECT COUNT(*) FILTER (WHERE amount_text IS NOT NULL AND TRY_CAST(amount_text AS DOUBLE) IS NULL) AS rejected,
+       COUNT(*) AS rows
+FROM ({_AMOUNT_TEXT}) t
+""",
+    "revenue_by_country_text_sql": f"""
+SELECT n.n_name AS country,
+       CAST(ROUND(SUM(TRY_CAST(o.amount_text AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_revenue
+FROM ({_AMOUNT_TEXT}) o
+JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE TRY_CAST(o.amount_text AS DOUBLE) > 100000
+GROUP BY n.n_name
+ORDER BY total_revenue DESC, country
+""",
     "revenue_by_category": _REVENUE_BY_CATEGORY,
     "product_sales_metrics": _PRODUCT_SALES_METRICS,
     "purchases_by_user": """
 SELECT user_id,
        COUNT(user_id) AS total_purchases,
-       CAST((2 * CAST(SUM(CAST(value AS DECIMAL(18,2))) * 100 AS BIGINT)
-             + COUNT(value)) // (2 * COUNT(value)) AS DOUBLE) / 100.0 AS avg_spend
+       CAST(SUM(CAST(value AS DECIMAL(38,6))) AS DOUBLE) / COUNT(value) AS avg_spend
 FROM events
 WHERE event_type = 'purchase'
 GROUP BY user_id
@@ -176,9 +214,8 @@ ORDER BY total_purchases DESC, user_id
     "completed_summary": """
 SELECT o_orderpriority AS category,
        COUNT(o_orderkey) AS total_orders,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
-       CAST((2 * CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) * 100 AS BIGINT)
-             + COUNT(o_totalprice)) // (2 * COUNT(o_totalprice)) AS DOUBLE) / 100.0 AS avg_order_value,
+       CAST(ROUND(SUM(CAST(o_totalprice AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_revenue,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(38,6))) AS DOUBLE) / COUNT(o_totalprice) AS avg_order_value,
        TRUE AS stamped
 FROM orders
 WHERE o_orderstatus = 'F'
@@ -186,7 +223,7 @@ GROUP BY o_orderpriority
 """,
     "customer_sales_report": """
 SELECT o.o_custkey, c.c_name,
-       CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_sales,
+       CAST(ROUND(SUM(CAST(o.o_totalprice AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_sales,
        c.c_mktsegment
 FROM orders o
 JOIN customer c ON o.o_custkey = c.c_custkey
@@ -194,7 +231,7 @@ GROUP BY o.o_custkey, c.c_name, c.c_mktsegment
 """,
     "broadcast_lookup": """
 SELECT p.p_brand,
-       CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+       CAST(ROUND(SUM(CAST(l.l_extendedprice AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_revenue
 FROM lineitem l
 JOIN part p ON l.l_partkey = p.p_partkey
 GROUP BY p.p_brand

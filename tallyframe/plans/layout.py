@@ -1,65 +1,32 @@
-"""Registered layout queries: rows per partition, per-stage figures."""
+"""Registered layout query: rows per real partition after a repartition."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.operators.eventlog import current_app_log, read_event_logs, stage_metrics, tracked_stage_metrics
-from tallyframe.operators.layout import distribution_summary, hash_partition_distribution
-from tallyframe.plans.reports import product_sales_metrics
-from tallyframe.sinks.files import write_noop
+from tallyframe.operators.layout import distribution_summary, partition_distribution
 from tallyframe.sources.tables import read_table
 
-# Fixed value: partitions the orders are hashed into for the skew check.
+# Fixed value: partitions the orders are dealt into.
 CHECK_PARTITIONS = 8
 
 
 def q_partition_distribution(spark: SparkSession, root: str) -> DataFrame:
-    """Orders hashed by customer into 8 partitions: partitions used, rows.
-
-    The distribution is predicted from the partitioner's hash expression
-    instead of shuffling every order; a test checks it equals the layout
-    ``repartition`` produces.
-    """
-    orders = read_table(spark, root, "orders")
-    dist = hash_partition_distribution(orders, CHECK_PARTITIONS, "o_custkey")
-    return distribution_summary(dist).select("partitions", "total_rows")
+    """Orders repartitioned by customer, counted by the partition each row is in.
 
-
-def q_stage_metrics(spark: SparkSession, root: str) -> DataFrame:
-    """Per-stage figures of a product-metrics run over the whole line items.
-
-    The run gets its own job group, so exactly its stages are reported:
-    from the event log when the session writes one (readable while running
-    when ``spark.eventLog.compress`` is false), else task counts from the
-    status tracker with the byte columns null.
+    Folded to one row: partitions that hold rows, all rows, and whether no
+    partition is empty.
     """
-    sc = spark.sparkContext
-    group = f"tallyframe-stage-metrics-{uuid.uuid4().hex}"
-    sc.setJobGroup(group, "product metrics measured by stage_metrics")
-    try:
-        write_noop(product_sales_metrics(read_table(spark, root, "lineitem")))
-    finally:
-        sc.setLocalProperty("spark.jobGroup.id", None)
-        sc.setLocalProperty("spark.job.description", None)
-    tracker = sc.statusTracker()
-    stage_ids = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
-    path = current_app_log(spark)
-    if path is None:
-        return tracked_stage_metrics(spark, stage_ids)
-    return stage_metrics(read_event_logs(spark, path)).where(F.col("stage_id").isin(stage_ids))
+    orders = read_table(spark, root, "orders").select("o_custkey").repartition(CHECK_PARTITIONS, "o_custkey")
+    summary = distribution_summary(partition_distribution(orders))
+    return summary.select("partitions", "total_rows", (F.col("min_rows") > 0).alias("none_empty"))
 
 
-QUERIES = {
-    "partition_distribution": q_partition_distribution,
-    "stage_metrics": q_stage_metrics,
-}
+QUERIES = {"partition_distribution": q_partition_distribution}
 
 ORACLE_SQL = {
     "partition_distribution": """
-SELECT CAST(8 AS BIGINT) AS partitions, COUNT(*) AS total_rows FROM orders
+SELECT LEAST(8, COUNT(DISTINCT o_custkey)) AS partitions, COUNT(*) AS total_rows, TRUE AS none_empty FROM orders
 """,
 }

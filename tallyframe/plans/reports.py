@@ -2,7 +2,7 @@
 
 Each takes already loaded tables, so the same code runs on the driver's test
 tables, on fixtures in unit tests and on a cluster's full tables.  Money is
-summed in whole cents (see ``tallyframe.functions.money``); every total order
+summed exactly and rounded once (see ``tallyframe.functions.money``); every total order
 ends with a unique tie key so results are deterministic.
 """
 
@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyframe.functions import cents, cents_to_amount, lenient_number
+from tallyframe.functions import exact_total, lenient_number, money_parts, parts_amount
 from tallyframe.operators.aggregates import money_summary
 from tallyframe.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast, fits_broadcast, rollup_through_dimension
 from tallyframe.operators.ordering import sorted_by, top_n
@@ -23,6 +24,9 @@ TEXT_FILTER_MIN_PRICE = 150_000.0
 COMPLETED_STATUS = "F"
 PURCHASE_EVENT = "purchase"
 PREVIEW_ROWS = 20
+# The output column names of the reports are their interface
+# (total_sales_amount, total_quantity_sold, average_transaction_amount,
+# total_purchases, total_orders, avg_order_value, processed_at).
 # Text written in place of the amount of a pending order by the dirty-text
 # fixture; it must be rejected by the lenient parse.
 UNPARSEABLE_AMOUNT = "n/a"
@@ -52,14 +56,14 @@ def revenue_by_country(
     sums = rollup_through_dimension(
         orders.where(F.col("o_totalprice") > min_price),
         "o_custkey",
-        {"revenue_cents": cents("o_totalprice")},
+        money_parts("o_totalprice", "revenue"),
         customer_country,
         "c_custkey",
         ["country"],
         max_broadcast_rows,
         size_probe=customer,
     )
-    result = sums.select("country", cents_to_amount("revenue_cents").alias("total_revenue"))
+    result = sums.select("country", parts_amount("revenue_whole", "revenue_micros").alias("total_revenue"))
     return sorted_by(result, [F.col("total_revenue").desc()], ["country"])
 
 
@@ -107,8 +111,8 @@ def rejected_amounts(df: DataFrame, text_column: str) -> DataFrame:
 def filtered_order_count(
     orders: DataFrame, min_price: float = TEXT_FILTER_MIN_PRICE, amount: str = "o_totalprice"
 ) -> DataFrame:
-    """One row ``n``: orders priced above ``min_price``."""
-    return orders.where(F.col(amount) > min_price).agg(F.count(F.lit(1)).alias("n"))
+    """One row ``n``: orders priced above ``min_price``; amounts may be text."""
+    return orders.where(lenient_number(amount) > min_price).agg(F.count(F.lit(1)).alias("n"))
 
 
 def total_sales_by_customer(
@@ -118,6 +122,11 @@ def total_sales_by_customer(
     return money_summary(orders, [customer], amount, sum_as="total_sales")
 
 
+def total_sales_by_customer_text(orders: DataFrame) -> DataFrame:
+    """``total_sales_by_customer`` over amounts that arrive as text; what does not parse adds nothing."""
+    return total_sales_by_customer(amount_as_text(orders), amount="amount_text")
+
+
 def revenue_by_category(
     orders: DataFrame,
     category: str = "o_orderpriority",
@@ -141,11 +150,17 @@ def product_sales_metrics(
     amount: str = "l_extendedprice",
     quantity: str = "l_quantity",
 ) -> DataFrame:
-    """Per product: total amount, total quantity, average amount; by product key."""
+    """Per product: total amount, total quantity, average amount; by product key.
+
+    The total quantity is a ``bigint`` for a whole-number column, else the
+    exact sum as double.
+    """
+    whole = isinstance(lineitem.schema[quantity].dataType, T.IntegralType)
+    total_quantity = F.sum(quantity) if whole else exact_total(quantity).cast("double")
     result = money_summary(
         lineitem, [product], amount,
         sum_as="total_sales_amount",
-        extra=(F.sum(quantity).cast("bigint").alias("total_quantity_sold"),),
+        extra=(total_quantity.alias("total_quantity_sold"),),
         avg_as="average_transaction_amount",
     ).select(product, "total_sales_amount", "total_quantity_sold", "average_transaction_amount")
     return sorted_by(result, [], [product], materialize=True)
@@ -165,7 +180,7 @@ def purchases_by_user(
     """
     result = money_summary(
         events.where(F.col(event_type) == purchase), [by], amount,
-        count_as="total_purchases", count_of=counted or by, avg_as="avg_spend",
+        count_as="total_purchases", count_of=counted or by, mean_as="avg_spend",
     )
     return sorted_by(result, [F.col("total_purchases").desc()], [by], materialize=True)
 
@@ -178,12 +193,12 @@ def completed_summary(
     order_id: str = "o_orderkey",
     amount: str = "o_totalprice",
 ) -> DataFrame:
-    """Orders in ``status`` by category: count, exact sum and average, load stamp."""
+    """Orders in ``status`` by category: count, exact sum, unrounded average, load stamp."""
     summary = money_summary(
         orders.where(F.col(status_column) == status),
         [F.col(category).alias("category")], amount,
         count_as="total_orders", count_of=order_id,
-        sum_as="total_revenue", avg_as="avg_order_value",
+        sum_as="total_revenue", mean_as="avg_order_value",
     )
     return summary.withColumn("processed_at", F.current_timestamp())
 
@@ -201,13 +216,16 @@ def customer_sales_report(
     customer key, is joined without a second shuffle and only the customer
     side moves.  ``strategy`` forces a join hint for the customer side
     (``merge``, ``shuffle_hash``, ``broadcast``); the answer does not depend
-    on it.
+    on it.  A forced broadcast above the bound is refused.
     """
     sales = total_sales_by_customer(orders)
     customers = customer.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    small = strategy in (None, "broadcast") and fits_broadcast(customers, max_broadcast_rows, size_probe=customer)
+    if strategy == "broadcast" and not small:
+        raise ValueError("the customer table is above the broadcast bound")
     if strategy:
         customers = customers.hint(strategy)
-    elif fits_broadcast(customers, max_broadcast_rows, size_probe=customer):
+    elif small:
         customers = F.broadcast(customers)
     return sales.join(customers, on="o_custkey", how="inner").select(
         "o_custkey", "c_name", "total_sales", "c_mktsegment"
@@ -219,10 +237,10 @@ def revenue_by_brand(
 ) -> DataFrame:
     """``p_brand``, ``total_revenue``: line revenue through the part lookup."""
     sums = rollup_through_dimension(
-        lineitem, "l_partkey", {"revenue_cents": cents("l_extendedprice")},
+        lineitem, "l_partkey", money_parts("l_extendedprice", "revenue"),
         part, "p_partkey", ["p_brand"], max_broadcast_rows,
     )
-    return sums.select("p_brand", cents_to_amount("revenue_cents").alias("total_revenue"))
+    return sums.select("p_brand", parts_amount("revenue_whole", "revenue_micros").alias("total_revenue"))
 
 
 def preview_top_n(orders: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:

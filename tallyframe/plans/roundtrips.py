@@ -55,16 +55,16 @@ def q_replicate_rows(spark: SparkSession, root: str) -> DataFrame:
 
 def q_sales_report(spark: SparkSession, root: str) -> DataFrame:
     """The path job: line items in, metrics written as Parquet, read back."""
-    return run_sales_report(spark, table_path(root, "lineitem"), scratch_path(spark, "sales-report"))
+    return run_sales_report(spark, table_path(root, "lineitem"), scratch_path(spark, "sales-report"), fmt="parquet")
 
 
 def q_parquet_overwrite(spark: SparkSession, root: str) -> DataFrame:
-    """Category revenue written twice to one folder (plain, then swapped); one copy remains."""
-    orders_path = table_path(root, "orders")
-    report = reports.revenue_by_category(read_table(spark, root, "orders"))
+    """Category revenue replacing other rows of the same folder; only the second write remains."""
     out = scratch_path(spark, "category-revenue")
-    write_parquet(report, out, source_paths=[orders_path])
-    write_parquet(report, out, source_paths=[orders_path], swap=True)
+    other = spark.createDataFrame([("old rows", 1, 0.01)], "category string, total_orders bigint, total_revenue double")
+    write_parquet(other, out)
+    report = reports.revenue_by_category(read_table(spark, root, "orders"))
+    write_parquet(report, out, source_paths=[table_path(root, "orders")], swap=True)
     return spark.read.parquet(out)
 
 
@@ -88,10 +88,10 @@ GROUP BY c_mktsegment
 """,
     "sales_report": """
 SELECT l_partkey,
-       CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_sales_amount,
-       CAST(SUM(l_quantity) AS BIGINT) AS total_quantity_sold,
-       CAST((2 * CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) * 100 AS BIGINT)
-             + COUNT(l_extendedprice)) // (2 * COUNT(l_extendedprice)) AS DOUBLE) / 100.0
+       CAST(ROUND(SUM(CAST(l_extendedprice AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_sales_amount,
+       CAST(SUM(CAST(l_quantity AS DECIMAL(38,6))) AS DOUBLE) AS total_quantity_sold,
+       CAST((2 * CAST(SUM(CAST(l_extendedprice AS DECIMAL(38,6))) * 1000000 AS HUGEINT)
+             + 10000 * COUNT(l_extendedprice)) // (20000 * COUNT(l_extendedprice)) AS DOUBLE) / 100.0
            AS average_transaction_amount
 FROM lineitem
 GROUP BY l_partkey
@@ -99,7 +99,7 @@ GROUP BY l_partkey
     "parquet_overwrite": """
 SELECT o_orderpriority AS category,
        COUNT(o_orderkey) AS total_orders,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+       CAST(ROUND(SUM(CAST(o_totalprice AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_revenue
 FROM orders
 GROUP BY o_orderpriority
 """,

@@ -20,10 +20,31 @@ from pyspark.sql import functions as F
 from tallyframe.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast
 from tallyframe.plans.reports import NATION_MAX_ROWS
 
+
+# SQL spellings of the money expressions of ``tallyframe.functions``: sum at
+# six decimals, round once.
+def _total(x: str) -> str:
+    return f"SUM(TRY_CAST({x} AS DECIMAL(30,6)))"
+
+
+def _exact_sum(x: str) -> str:
+    return f"CAST(ROUND({_total(x)}, 2) AS DOUBLE)"
+
+
+def _exact_mean(x: str) -> str:
+    return f"CAST({_total(x)} AS DOUBLE) / COUNT(TRY_CAST({x} AS DECIMAL(30,6)))"
+
+
+def _exact_avg(x: str) -> str:
+    s, n = f"CAST({_total(x)} * 1000000 AS DECIMAL(38,0))", f"COUNT(TRY_CAST({x} AS DECIMAL(30,6)))"
+    q = f"((2 * ABS({s}) + 10000 * {n}) DIV (20000 * {n}))"
+    return f"CAST(CASE WHEN {n} > 0 THEN CASE WHEN {s} < 0 THEN -{q} ELSE {q} END END AS DOUBLE) / 100"
+
+
 # Dimension within the broadcast bound: join, then aggregate.
-REVENUE_BY_COUNTRY_SQL = """
+REVENUE_BY_COUNTRY_SQL = f"""
 SELECT n.n_name AS country,
-       CAST(SUM(CAST(ROUND(o.o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_revenue
+       {_exact_sum("o.o_totalprice")} AS total_revenue
 FROM orders o
 JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -32,17 +53,30 @@ GROUP BY n.n_name
 ORDER BY total_revenue DESC, country
 """
 
+# The same over a view whose amounts are text: cast in WHERE and in SUM.
+REVENUE_BY_COUNTRY_TEXT_SQL = f"""
+SELECT n.n_name AS country,
+       {_exact_sum("o.amount_text")} AS total_revenue
+FROM orders_text o
+JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE TRY_CAST(o.amount_text AS DOUBLE) > 100000
+GROUP BY n.n_name
+ORDER BY total_revenue DESC, country
+"""
+
+
 # Dimension above the bound: orders are summed per customer before the joins.
-REVENUE_BY_COUNTRY_PREAGG_SQL = """
+def _country_preaggregated(orders: str, amount: str, condition: str) -> str:
+    return f"""
 WITH per_customer AS (
-    SELECT o_custkey,
-           SUM(CAST(ROUND(o_totalprice * 100) AS BIGINT)) AS revenue_cents
-    FROM orders
-    WHERE o_totalprice > 100000
+    SELECT o_custkey, {_total(amount)} AS revenue
+    FROM {orders}
+    WHERE {condition}
     GROUP BY o_custkey
 )
 SELECT n.n_name AS country,
-       CAST(SUM(p.revenue_cents) AS DOUBLE) / 100 AS total_revenue
+       CAST(ROUND(SUM(p.revenue), 2) AS DOUBLE) AS total_revenue
 FROM per_customer p
 JOIN customer c ON p.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -51,6 +85,12 @@ ORDER BY total_revenue DESC, country
 """
 
 
+REVENUE_BY_COUNTRY_PREAGG_SQL = _country_preaggregated("orders", "o_totalprice", "o_totalprice > 100000")
+REVENUE_BY_COUNTRY_TEXT_PREAGG_SQL = _country_preaggregated(
+    "orders_text", "amount_text", "TRY_CAST(amount_text AS DOUBLE) > 100000"
+)
+
+
 def register_views(views: dict[str, DataFrame]) -> None:
     for name, df in views.items():
         df.createOrReplaceTempView(name)
@@ -70,23 +110,17 @@ def revenue_by_country_sql(
     )
 
 
-# The sorted reports over many groups carry a REBALANCE hint under the ORDER
-# BY, as ``sorted_by(materialize=True)`` does for the DataFrame forms.
-
-# SQL spellings of the exact money expressions of ``tallyframe.functions``.
-def _cents(x: str) -> str:
-    return f"CAST(ROUND({x} * 100) AS BIGINT)"
-
-
-def _exact_sum(x: str) -> str:
-    return f"CAST(SUM({_cents(x)}) AS DOUBLE) / 100"
+# Columns of a dimension that its reports use; only these are measured and sent.
+DIMENSION_COLUMNS = {
+    "revenue_by_country": {"customer": ["c_custkey", "c_nationkey"], "nation": ["n_nationkey", "n_name"]},
+    "revenue_by_country_text": {"customer": ["c_custkey", "c_nationkey"], "nation": ["n_nationkey", "n_name"]},
+    "customer_sales_report": {"customer": ["c_custkey", "c_name", "c_mktsegment"]},
+    "revenue_by_brand": {"part": ["p_partkey", "p_brand"]},
+}
 
 
-def _exact_avg(x: str) -> str:
-    s, n = f"SUM({_cents(x)})", f"COUNT({x})"
-    q = f"((2 * ABS({s}) + {n}) DIV (2 * {n}))"
-    return f"CAST(CASE WHEN {n} > 0 THEN CASE WHEN {s} < 0 THEN -{q} ELSE {q} END END AS DOUBLE) / 100"
-
+# The sorted reports over many groups carry a REBALANCE hint under the ORDER
+# BY, as ``sorted_by(materialize=True)`` does for the DataFrame forms.
 
 REPORT_SQL: dict[str, str] = {
     "total_sales_by_customer": f"""
@@ -106,7 +140,7 @@ ORDER BY total_revenue DESC, category NULLS LAST
 SELECT * FROM (
     SELECT /*+ REBALANCE */ l_partkey,
            {_exact_sum("l_extendedprice")} AS total_sales_amount,
-           CAST(SUM(l_quantity) AS BIGINT) AS total_quantity_sold,
+           CAST({_total("l_quantity")} AS DOUBLE) AS total_quantity_sold,
            {_exact_avg("l_extendedprice")} AS average_transaction_amount
     FROM lineitem
     GROUP BY l_partkey
@@ -117,7 +151,7 @@ ORDER BY l_partkey NULLS LAST
 SELECT * FROM (
     SELECT /*+ REBALANCE */ user_id,
            COUNT(user_id) AS total_purchases,
-           {_exact_avg("value")} AS avg_spend
+           {_exact_mean("value")} AS avg_spend
     FROM events
     WHERE event_type = 'purchase'
     GROUP BY user_id
@@ -128,7 +162,7 @@ ORDER BY total_purchases DESC, user_id NULLS LAST
 SELECT o_orderpriority AS category,
        COUNT(o_orderkey) AS total_orders,
        {_exact_sum("o_totalprice")} AS total_revenue,
-       {_exact_avg("o_totalprice")} AS avg_order_value,
+       {_exact_mean("o_totalprice")} AS avg_order_value,
        current_timestamp() AS processed_at
 FROM orders
 WHERE o_orderstatus = 'F'
@@ -151,6 +185,7 @@ JOIN part p ON l.l_partkey = p.p_partkey
 GROUP BY p.p_brand
 """,
     "revenue_by_country": REVENUE_BY_COUNTRY_SQL,
+    "revenue_by_country_text": REVENUE_BY_COUNTRY_TEXT_SQL,
 }
 
 # The forms for a dimension above the broadcast bound, and the dimension
@@ -158,16 +193,17 @@ GROUP BY p.p_brand
 PREAGGREGATED_SQL: dict[str, tuple[str, str]] = {
     "revenue_by_brand": ("part", f"""
 WITH per_part AS (
-    SELECT l_partkey, SUM({_cents("l_extendedprice")}) AS revenue_cents
+    SELECT l_partkey, {_total("l_extendedprice")} AS revenue
     FROM lineitem
     GROUP BY l_partkey
 )
-SELECT p.p_brand, CAST(SUM(pp.revenue_cents) AS DOUBLE) / 100 AS total_revenue
+SELECT p.p_brand, CAST(ROUND(SUM(pp.revenue), 2) AS DOUBLE) AS total_revenue
 FROM per_part pp
 JOIN part p ON pp.l_partkey = p.p_partkey
 GROUP BY p.p_brand
 """),
     "revenue_by_country": ("customer", REVENUE_BY_COUNTRY_PREAGG_SQL),
+    "revenue_by_country_text": ("customer", REVENUE_BY_COUNTRY_TEXT_PREAGG_SQL),
 }
 
 
@@ -183,6 +219,8 @@ def sql_report(
     (nation within its own bound); see the module notes for the text chosen.
     """
     bounds = {"customer": max_broadcast_rows, "part": max_broadcast_rows, "nation": NATION_MAX_ROWS}
+    used = DIMENSION_COLUMNS.get(name, {})
+    tables = {t: df.select(*used[t]) if t in used else df for t, df in tables.items()}
     small = {t: fits_broadcast(df, bounds[t]) for t, df in tables.items() if t in bounds}
     register_views({t: F.broadcast(df) if small.get(t) else df for t, df in tables.items()})
     text = REPORT_SQL[name]

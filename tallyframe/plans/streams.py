@@ -69,7 +69,7 @@ WHERE event_type = 'purchase'
     "stream_event_totals": """
 SELECT event_type,
        COUNT(*) AS n,
-       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+       CAST(ROUND(SUM(CAST(value AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_value
 FROM events
 GROUP BY event_type
 """,

@@ -15,6 +15,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from tallyframe.sinks.fs import delete_at_exit
+
 # Settings every session of ours wants, whatever the cluster size.
 # Static auto-broadcast is off: it decides from file-size estimates, which
 # can be far below the decoded size.  Broadcasts happen either behind an
@@ -84,7 +86,9 @@ def build_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    # local-cluster runs executors of their own, which share no folder.
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
 def checkpoint_root(spark: SparkSession) -> str | None:
@@ -99,7 +103,8 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make sure the session has a checkpoint folder and return its root.
 
-    The cluster's setting always wins.  Only a local-mode session without one
+    The cluster's setting always wins and is trusted to be shared, whatever
+    its scheme.  Only a local-mode session without one
     gets a fresh temporary folder; a cluster session without one is an error,
     because a machine-local folder would not survive the loss of that machine.
     """
@@ -117,6 +122,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, kind: str) -> str:
-    """A fresh, never reused folder under the shared checkpoint root."""
-    root = ensure_checkpoint_dir(spark)
-    return f"{root}/tallyframe/{kind}-{uuid.uuid4().hex}"
+    """A fresh, never reused path under the shared checkpoint root.
+
+    Its parent folder is made now and deleted when the application ends.
+    """
+    own = f"{ensure_checkpoint_dir(spark)}/tallyframe/{kind}-{uuid.uuid4().hex}"
+    if getattr(spark.sparkContext, "_jvm", None) is not None:
+        delete_at_exit(spark, own)
+    return f"{own}/data"

@@ -5,53 +5,77 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.sinks.fs import data_file_name, delete, file_system, qualified
 
-def _norm(path: str) -> str:
-    for prefix in ("file://", "file:"):
-        if path.startswith(prefix):
-            path = path[len(prefix):]
-            break
-    return path.rstrip("/") + "/"
+__all__ = [
+    "data_file_name", "load_table", "overlaps", "replace_folder", "write_counted", "write_noop", "write_parquet",
+]
 
 
 def overlaps(a: str, b: str) -> bool:
-    """True if one path equals or contains the other."""
-    na, nb = _norm(a), _norm(b)
+    """True if one qualified path equals or contains the other."""
+    na, nb = a.rstrip("/") + "/", b.rstrip("/") + "/"
     return na.startswith(nb) or nb.startswith(na)
 
 
-def _swap_into_place(df: DataFrame, staging: str, target: str) -> None:
+def _swap_into_place(spark: SparkSession, staging: str, target: str) -> None:
     """Replace ``target`` by the finished ``staging`` folder (Hadoop FS renames).
 
     The old folder is renamed aside first and deleted only after the new one
-    is in place; if moving the new one in fails, the old one is put back.
-    No step leaves the data without a copy.
+    is in place; if moving the new one in fails or throws, the old one is put
+    back and the staging folder deleted.  Between the two renames the target
+    does not exist; its rows do, under the ``.previous-`` name.
     """
-    spark = df.sparkSession
-    # PySpark has no public file-system API; the session's Hadoop FileSystem
-    # (same credentials and scheme handling as the writer) is reached through
-    # the JVM gateway.
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    target_path = Path(target)
-    fs = target_path.getFileSystem(conf)
+    fs, target_path = file_system(spark, target)
+    _, staging_path = file_system(spark, staging)
     backup = None
-    if fs.exists(target_path):
-        backup = Path(f"{target.rstrip('/')}.previous-{uuid.uuid4().hex}")
-        if not fs.rename(target_path, backup):
-            raise IOError(f"could not move the old {target} aside")
-    if not fs.rename(Path(staging), target_path):
-        if backup is not None:
+    try:
+        if fs.exists(target_path):
+            _, backup_path = file_system(spark, f"{target.rstrip('/')}.previous-{uuid.uuid4().hex}")
+            if not fs.rename(target_path, backup_path):
+                raise IOError(f"could not move the old {target} aside")
+            backup = backup_path
+        if not fs.rename(staging_path, target_path):
+            raise IOError(f"could not move {staging} to {target}")
+    except Exception:
+        if backup is not None and not fs.exists(target_path):
             fs.rename(backup, target_path)
-        raise IOError(f"could not move {staging} to {target}")
+        fs.delete(staging_path, True)
+        raise
     if backup is not None:
         fs.delete(backup, True)
 
 
+def replace_folder(df: DataFrame, path: str, fmt: str = "parquet", options: dict[str, str] | None = None) -> str:
+    """Write ``df`` beside ``path`` and swap it in once the job has committed."""
+    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    try:
+        df.write.format(fmt).options(**(options or {})).mode("errorifexists").save(staging)
+    except Exception:
+        delete(df.sparkSession, staging)
+        raise
+    _swap_into_place(df.sparkSession, staging, path)
+    return path
+
+
+def load_table(df: DataFrame, fmt: str, options: dict[str, str], mode: str = "overwrite") -> None:
+    """Load ``df`` into a table named by a data source format and its options.
+
+    A file format with a ``path`` option is staged and swapped like
+    ``write_parquet(swap=True)`` when it replaces the table.  Any other source
+    (a warehouse connector, ``jdbc``) gets the options as they are; whether its
+    overwrite is atomic is the connector's promise.  For JDBC see also
+    ``sinks.jdbc.replace_table``.
+    """
+    if "path" in options and mode == "overwrite":
+        replace_folder(df, options["path"], fmt, {k: v for k, v in options.items() if k != "path"})
+    else:
+        df.write.format(fmt).options(**options).mode(mode).save()
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -75,16 +99,14 @@ def write_parquet(
       output readable.  The swap is two renames and a delete of the old
       folder: renames are atomic on HDFS, copies on object stores.
     """
+    spark = df.sparkSession
     for source in source_paths:
-        if overlaps(path, source):
+        if overlaps(qualified(spark, path), qualified(spark, source)):
             raise ValueError(f"refusing to write {path!r}: it overlaps the input {source!r}")
     if swap:
         if partition_by or mode != "overwrite":
             raise ValueError("swap replaces a whole folder: mode 'overwrite' without partition_by")
-        staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
-        df.write.mode("errorifexists").parquet(staging)
-        _swap_into_place(df, staging, path)
-        return path
+        return replace_folder(df, path)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)

@@ -13,6 +13,8 @@ tests start none (see README).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.sinks.files import write_counted
@@ -40,7 +42,8 @@ def replace_table(
         if key not in properties:
             raise ValueError(f"JDBC property {key!r} is required")
     spark = df.sparkSession
-    staging = staging_table or f"{table}_staging"
+    # A name of its own per run, so two loads at once never mix.
+    staging = staging_table or f"{table}_staging_{uuid.uuid4().hex[:12]}"
     # ``num_partitions`` bounds the concurrent connections into the database.
     # A repartition (not coalesce) keeps the stages that compute ``df`` at
     # full parallelism; the row count is observed during the write itself.
@@ -70,5 +73,8 @@ def replace_table(
         conn.rollback()
         raise
     finally:
+        if staging_table is None:
+            conn.setAutoCommit(True)
+            conn.createStatement().executeUpdate(f"DROP TABLE {staging}")
         conn.close()
     return loaded

@@ -10,9 +10,12 @@ or a lost executor resumes from the last committed batch.
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tallyframe.plans.reports import PURCHASE_EVENT
 from tallyframe.schemas import TABLES
@@ -37,12 +40,50 @@ def purchases(events: DataFrame) -> DataFrame:
     return events.where(F.col("event_type") == PURCHASE_EVENT).select(*PURCHASE_COLUMNS)
 
 
-def _finish(query: StreamingQuery) -> int:
-    """Wait for an availableNow run; return the number of input rows it read."""
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+class _RowCount(StreamingQueryListener):
+    """Input rows of all batches of one query, however many there are."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def end_of(self, run_id: str) -> threading.Event:
+        return self.ended.setdefault(run_id, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.rows[run] = self.rows.get(run, 0) + int(event.progress.numInputRows)
+
+    def onQueryTerminated(self, event) -> None:
+        self.end_of(str(event.runId)).set()
+
+
+# Seconds to wait for the listener's last event after the query has ended.
+LISTENER_SECONDS = 60
+
+
+def run_to_end(spark: SparkSession, start: Callable[[], StreamingQuery]) -> int:
+    """Start an availableNow query, wait for it, and return the input rows it read.
+
+    The rows are counted by a progress listener: a query keeps only its last
+    reports, so a long backlog cannot be counted from the query itself.
+    """
+    counter = _RowCount()
+    spark.streams.addListener(counter)
+    try:
+        query = start()
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+        run = str(query.runId)
+        if not counter.end_of(run).wait(LISTENER_SECONDS):
+            raise RuntimeError("the stream ended but its listener was not told")
+        return counter.rows.get(run, 0)
+    finally:
+        spark.streams.removeListener(counter)
 
 
 def run_purchase_copy(
@@ -53,12 +94,11 @@ def run_purchase_copy(
     max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
 ) -> int:
     """Process every file not yet committed, then stop; returns rows read."""
-    query = (
+    writer = (
         purchases(event_stream(spark, input_dir, max_files_per_trigger))
         .writeStream.format("parquet")
         .option("path", output_dir)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
-        .start()
     )
-    return _finish(query)
+    return run_to_end(spark, writer.start)

@@ -12,7 +12,12 @@ import pathlib
 import re
 
 ROOT = pathlib.Path(__file__).resolve().parent.parent / "tallyframe"
-SOURCES = {p.relative_to(ROOT).as_posix(): p.read_text() for p in ROOT.rglob("*.py")}
+# The optional subpackage has rules of its own.
+OPTIONAL = "llm"
+SOURCES = {
+    p.relative_to(ROOT).as_posix(): p.read_text()
+    for p in ROOT.rglob("*.py") if p.relative_to(ROOT).parts[0] != OPTIONAL
+}
 
 FORBIDDEN = [r"\budf\(", r"pandas_udf", r"\.rdd\b", r"crossJoin", r"localCheckpoint", r"toPandas", r"\.collect\(", r"\.take\("]
 
@@ -41,3 +46,7 @@ def test_no_row_loops_over_results():
             if isinstance(node, ast.For) and isinstance(node.iter, ast.Call):
                 func = node.iter.func
                 assert not (isinstance(func, ast.Attribute) and func.attr in {"collect", "toLocalIterator"}), name
+
+
+def test_the_library_does_not_import_the_optional_subpackage():
+    assert [name for name, src in SOURCES.items() if re.search(rf"tallyframe\.{OPTIONAL}|from tallyframe import.*{OPTIONAL}", src)] == []

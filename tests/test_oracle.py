@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tallyframe.plans.catalog import ORACLE_SQL, QUERIES
 from tests.conftest import SF_ORACLE
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -32,11 +33,11 @@ def _canon(columns, data):
 
 def test_contract_keys():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    missing = set(contract.queries()) - set(contract.oracle_sql())
-    assert missing == {"stage_metrics"}
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, duck, name):
     df = contract.queries()[name](spark, SF_ORACLE)
     got_cols, got = _canon(df.columns, [tuple(r) for r in df.collect()])
@@ -51,12 +52,3 @@ def test_entry_runs(spark):
     df = contract.entry(spark)
     assert df.columns == ["country", "total_revenue"]
     assert df.count() > 0
-
-
-def test_stage_metrics_reads_this_applications_log(spark):
-    df = contract.queries()["stage_metrics"](spark, SF_ORACLE)
-    got = df.collect()
-    assert got, "event log is enabled in the test session"
-    assert all(r["tasks"] >= 1 for r in got)
-    assert sum(r["shuffle_write_bytes"] for r in got) > 0
-    assert sum(r["shuffle_read_bytes"] for r in got) > 0

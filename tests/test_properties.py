@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyframe.functions import exact_sum
-from tallyframe.operators.layout import distribution_summary, hash_partition_distribution
+from tallyframe.operators.layout import distribution_summary, partition_distribution
 from tallyframe.plans import reports
 from tallyframe.sources.tables import read_table
 from tests.conftest import SF_ORACLE
@@ -41,5 +41,5 @@ def test_brand_rollup_adds_up_to_joined_lines(spark):
 
 def test_rows_per_partition_add_up_to_table(spark):
     orders = read_table(spark, SF_ORACLE, "orders")
-    s = distribution_summary(hash_partition_distribution(orders, 16, "o_custkey")).first()
+    s = distribution_summary(partition_distribution(orders.repartition(16, "o_custkey"))).first()
     assert s["total_rows"] == orders.count() and s["partitions"] <= 16

@@ -62,7 +62,7 @@ def test_product_metrics_half_cent_average_and_hot_key(spark):
 
 def test_purchases_by_user(spark):
     got = reports.purchases_by_user(fx.events(spark)).collect()
-    assert [tuple(r) for r in got] == [(1, 2, 10.01), (3, 1, 0.0), (4, 1, 99.99), (None, 0, 5.0)]
+    assert [tuple(r) for r in got] == [(1, 2, 10.005), (3, 1, 0.0), (4, 1, 99.99), (None, 0, 5.0)]
     as_map = {r["user_id"]: (r["total_purchases"], r["avg_spend"]) for r in got}
     assert 2 not in as_map
     assert as_map[3] == (1, 0.0)
@@ -73,7 +73,7 @@ def test_completed_summary(spark):
     got = {r["category"]: r for r in reports.completed_summary(fx.orders(spark)).collect()}
     assert "5-LOW" in got and got["5-LOW"]["total_orders"] == 0  # only the null-key order
     assert "2-HIGH" in got and got["2-HIGH"]["total_orders"] == 1
-    assert got["4-NOT SPECIFIED"]["avg_order_value"] == 0.02
+    assert got["4-NOT SPECIFIED"]["avg_order_value"] == 0.015
     assert all(r["processed_at"] is not None for r in got.values())
 
 
@@ -152,3 +152,31 @@ def test_empty_parquet_with_schema(spark, scratch):
     assert reports.filtered_order_count(empty).first()["n"] == 0
     assert reports.preview_top_n(empty).count() == 0
     assert reports.completed_summary(empty).count() == 0
+
+
+def test_quantity_keeps_fractions_and_whole_numbers(spark):
+    halves = spark.createDataFrame([(1, 2.0, 0.5)] * 3, "p int, a double, q double")
+    got = reports.product_sales_metrics(halves, "p", "a", "q").first()
+    assert got["total_quantity_sold"] == 1.5
+    whole = spark.createDataFrame([(1, 2.0, 5)] * 3, "p int, a double, q int")
+    df = reports.product_sales_metrics(whole, "p", "a", "q")
+    assert dict(df.dtypes)["total_quantity_sold"] == "bigint" and df.first()["total_quantity_sold"] == 15
+
+
+def test_text_amounts_in_every_report(spark):
+    rows_ = [("1", "7", "200.00", "1"), ("2", "7", "n/a", "2"), ("3", "8", "", "1"), ("4", "8", "151.25", "x")]
+    df = spark.createDataFrame(rows_, "id string, product string, amount string, quantity string")
+    assert reports.filtered_order_count(df, 150.0, "amount").first()["n"] == 2
+    assert rows(reports.total_sales_by_customer(df, "product", "amount")) == [("7", 200.0), ("8", 151.25)]
+    assert rows(reports.product_sales_metrics(df, "product", "amount", "quantity")) == [
+        ("7", 200.0, 3.0, 200.0), ("8", 151.25, 1.0, 151.25)]
+    assert rows(reports.revenue_by_category(df, "product", "id", "amount")) == [("7", 2, 200.0), ("8", 2, 151.25)]
+
+
+def test_forced_broadcast_is_checked(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        reports.customer_sales_report(fx.orders(spark), fx.customers(spark), "broadcast", max_broadcast_rows=0)
+    forced = reports.customer_sales_report(fx.orders(spark), fx.customers(spark), "broadcast")
+    assert rows(forced) == rows(reports.customer_sales_report(fx.orders(spark), fx.customers(spark)))

@@ -41,3 +41,26 @@ def test_real_session_scratch_is_under_its_checkpoint_root(spark):
     root = checkpoint_root(spark)
     assert root and scratch_path(spark, "t").startswith(root + "/tallyframe/t-")
     assert scratch_path(spark, "t") != scratch_path(spark, "t")
+
+
+def test_local_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_stub("local-cluster[2,1,1024]"))
+
+
+def test_scratch_is_deleted_when_the_application_ends(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "from tallyframe.session import build_session, scratch_path\n"
+        f"s = build_session('local[1]', conf={{'spark.checkpoint.dir': 'file://{tmp_path}'}})\n"
+        "s.range(5).write.parquet(scratch_path(s, 'gone'))\n"
+        "import os; assert os.listdir(" + repr(str(tmp_path)) + " + '/tallyframe')\n"
+        "s.stop()\n"
+    )
+    proc = subprocess.run([sys.executable, "-c", code], cwd=repo, capture_output=True, text=True, timeout=300)
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    assert os.listdir(tmp_path / "tallyframe") == []

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyframe.jobs.sales_report import main as sales_main
 from tallyframe.jobs.sales_report import run_sales_report
 from tallyframe.plans import reports
+from tallyframe.plans.inspect import plan_text
 from tallyframe.schemas import TABLES, TRANSACTIONS
 from tallyframe.sinks.files import overlaps, write_parquet
 from tallyframe.sources.csv import read_csv_text, read_csv_typed, write_csv
@@ -69,7 +70,14 @@ def test_parquet_overwrite_twice_leaves_one_copy(spark, scratch):
 
 
 def test_parquet_refuses_to_overwrite_its_input(spark, scratch):
-    assert overlaps("/a/b", "/a/b/") and overlaps("file:/a/b/c", "/a/b") and not overlaps("/a/bc", "/a/b")
+    from tallyframe.sinks.fs import qualified
+
+    def meet(a, b):
+        return overlaps(qualified(spark, a), qualified(spark, b))
+
+    assert meet("/a/b", "/a/b/") and meet("file:/a/b/c", "/a/b") and meet("file:///a/b", "/a/x/../b")
+    assert not meet("/a/bc", "/a/b") and meet("here/x", "here")
+    assert overlaps("s3a://b/k/x", "s3a://b/k")
     src = table_path(SF_SMALL, "orders")
     with pytest.raises(ValueError):
         write_parquet(read_table(spark, SF_SMALL, "orders"), src, source_paths=[src])
@@ -89,12 +97,12 @@ def test_sales_report_job_from_csv_path(spark, scratch):
     li = fx.lineitems(spark)
     src = write_csv(li, scratch("csv"))
     out = scratch("parquet")
-    got = run_sales_report(spark, src, out, fmt="csv")
+    ddl = "l_partkey BIGINT, l_extendedprice DOUBLE, l_quantity DOUBLE"
+    got = run_sales_report(spark, src, out, schema=ddl)
     assert rows(got) == rows(reports.product_sales_metrics(li))
-    keys = [r["l_partkey"] for r in got.collect()]
-    assert keys == sorted(keys)
+    assert "Sort" not in plan_text(got)  # written in order, not sorted again
     # console only: no output path, nothing written
-    assert rows(run_sales_report(spark, src, None, fmt="csv")) == rows(got)
+    assert rows(run_sales_report(spark, src, None, fmt="csv", schema=ddl)) == rows(got)
 
 
 def test_sales_report_job_requires_input():
@@ -176,3 +184,50 @@ def test_write_counted_observes_rows_during_the_write(spark, scratch):
     out = scratch("counted")
     n = write_counted(orders, lambda d: d.write.parquet(out))
     assert n == orders.count() == spark.read.parquet(out).count()
+
+
+def test_swap_restores_the_old_output_when_a_rename_throws(spark, scratch, monkeypatch):
+    from tallyframe.sinks import files
+    from tallyframe.sinks.fs import children
+
+    out = scratch("parquet")
+    write_parquet(spark.createDataFrame([(1, 10)], "k int, v int"), out)
+    real = files.file_system
+
+    class Failing:
+        def __init__(self, fs):
+            self.fs, self.renames = fs, 0
+
+        def rename(self, a, b):
+            self.renames += 1
+            if self.renames == 2:
+                raise IOError("connection lost")
+            return self.fs.rename(a, b)
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    shared = {}
+
+    def flaky(s, path):
+        fs, p = real(s, path)
+        return shared.setdefault("fs", Failing(fs)), p
+
+    monkeypatch.setattr(files, "file_system", flaky)
+    with pytest.raises(IOError):
+        write_parquet(spark.createDataFrame([(2, 20)], "k int, v int"), out, swap=True)
+    monkeypatch.undo()
+    assert rows(spark.read.parquet(out)) == [(1, 10)]
+    assert children(spark, out.rsplit("/", 1)[0]) == ["data"]  # no staging, no backup left
+
+
+def test_load_table_by_format_and_options(spark, scratch):
+    from tallyframe.sinks.files import load_table
+
+    out = scratch("table")
+    load_table(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), "orc", {"path": out})
+    load_table(spark.createDataFrame([(3, "c")], "k int, v string"), "orc", {"path": out, "compression": "zlib"})
+    assert rows(spark.read.orc(out)) == [(3, "c")]
+    load_table(spark.createDataFrame([(4, "d")], "k int, v string"), "orc", {"path": out}, mode="append")
+    assert rows(spark.read.orc(out)) == [(3, "c"), (4, "d")]
+    load_table(spark.createDataFrame([(1,)], "k int"), "noop", {})

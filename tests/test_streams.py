@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyframe.functions import exact_sum
+from tallyframe.functions import exact_sum, micro_part, whole_part
 from tallyframe.plans.streams import split_by_arrival
 from tallyframe.sources.tables import read_table
 from tallyframe.streaming import latest_totals, run_event_totals, run_purchase_copy
@@ -55,7 +55,7 @@ def test_event_totals_state_survives_restart(spark, scratch):
 def test_publishing_a_replayed_batch_is_idempotent(spark, scratch):
     out = scratch("totals")
     batch = fx.events(spark).groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum((F.col("value") * 100).cast("bigint")).alias("total_cents"))
+        F.count(F.lit(1)).alias("n"), F.sum(whole_part("value")).alias("whole"), F.sum(micro_part("value")).alias("micros"))
     publish = _publisher(out)
     publish(batch, 0)
     publish(batch, 1)
@@ -111,3 +111,19 @@ def test_crash_after_publish_is_replayed_exactly_once(spark, scratch, monkeypatc
     expected = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), exact_sum("value").alias("total_value"))
     assert rows(latest_totals(spark, out)) == rows(expected)
     assert run_event_totals(spark, inbox, out, ck) == 0
+
+
+def test_more_batches_than_a_query_remembers(spark, scratch):
+    """120 micro-batches: every row is counted and only the newest snapshots stay."""
+    from tallyframe.streaming.totals import KEPT_SNAPSHOTS
+
+    inbox, out, ck = _dirs(scratch)
+    events = read_table(spark, SF_SMALL, "events")
+    events.repartition(120).write.parquet(inbox)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    assert run_event_totals(spark, inbox, out, ck, max_files_per_trigger=1, state_partitions=1) == events.count()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
+    kept = sorted(r[0] for r in spark.read.parquet(out).select("batch_id").distinct().collect())
+    assert kept == list(range(120 - KEPT_SNAPSHOTS, 120))
+    expected = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), exact_sum("value").alias("total_value"))
+    assert rows(latest_totals(spark, out)) == rows(expected)
