@@ -133,7 +133,67 @@ _WORDS = r"[^\x20\x09-\x0D]+"
 _BENCH_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _url_level(level: int) -> str:
+    """The tree of path templates with one more level merged: table t<level + 1> from t<level>."""
+    return f"""
+nodes{level} AS (
+    SELECT host, array_to_string(template[1:{level}], '/') AS prefix, template[{level + 1}] AS child,
+           coalesce(template[{level + 2}], '') AS below, sum(b) AS b, sum(l) AS l
+    FROM t{level} WHERE len(template) > {level} AND template[{level + 1}] <> '**' GROUP BY ALL
+), branches{level} AS (
+    SELECT host, prefix, child, sum(b) AS b, sum(l) AS l,
+           CASE WHEN count(*) > 16 THEN '*' ELSE string_agg(below, '/' ORDER BY below) END AS kids
+    FROM nodes{level} GROUP BY host, prefix, child
+), named{level} AS (
+    SELECT host, prefix, child,
+           CASE WHEN count(*) OVER w = 1 THEN child WHEN count(*) OVER w > 16 THEN '*' ELSE '*~' || min(child) OVER w END AS name
+    FROM (SELECT *, kids || ':' || CASE WHEN l = 0 THEN 'none' ELSE round(4 * (b + 2.0) / (l + 4.0))::INT::VARCHAR END AS look
+          FROM branches{level})
+    WINDOW w AS (PARTITION BY host, prefix, look)
+), t{level + 1} AS (
+    SELECT t.host, shape, n, b, l,
+           CASE WHEN name IS NULL THEN template
+                ELSE list_concat(list_concat(template[1:{level}], [name]), template[{level + 2}:]) END AS template
+    FROM t{level} t LEFT JOIN named{level} m
+      ON t.host = m.host AND array_to_string(template[1:{level}], '/') = m.prefix AND template[{level + 1}] = m.child
+)"""
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_url_filters": rf"""
+WITH a AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM a
+), r AS (
+    SELECT *, CASE
+        WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+        WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+        WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule,
+        [CASE WHEN regexp_matches(x, '^[0-9a-fA-F-]{{16,}}$') THEN '{{hex}}' ELSE regexp_replace(x, '[0-9]+', '{{n}}', 'g') END
+         FOR x IN string_split(path, '/') IF x <> ''] AS parts
+    FROM p
+), s AS (
+    SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS ruled,
+           CASE WHEN len(parts) > 3 THEN list_concat(parts[1:3], ['**']) ELSE parts END AS shape
+    FROM r
+), t0 AS (
+    SELECT host, shape, shape AS template, count(*) AS n, count(*) FILTER (WHERE ruled = 'block') AS b, count(ruled) AS l
+    FROM s GROUP BY host, shape
+), {_url_level(0)}, {_url_level(1)}, {_url_level(2)},
+judged AS (
+    SELECT host, shape, template, (sum(b) OVER w + 2.0) / (sum(l) OVER w + 4.0) >= 0.75 AS rejected
+    FROM t3 WINDOW w AS (PARTITION BY host, template)
+)
+SELECT page_id, s.host, path, rule, coalesce(ruled, CASE WHEN rejected THEN 'block' ELSE 'allow' END) AS verdict,
+       '/' || array_to_string(template, '/') AS template
+FROM s JOIN judged j ON s.host = j.host AND s.shape = j.shape
+""",
     "op4_decontamination": rf"""
 WITH d AS (
     SELECT doc_id, regexp_extract_all({_LOWER_AZ}, '{_BENCH_WORDS}') AS w FROM documents

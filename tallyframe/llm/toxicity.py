@@ -30,13 +30,13 @@ from pyspark.sql import functions as F
 from tallyframe.llm.common import distinct, hash_fraction, mix64, separator_table, text_chunks, words_of
 
 BITS = 20
-ALPHA, BETA, L2 = 1.0, 1.0, 0.1
+ALPHA, BETA, L2 = 1.5, 1.0, 0.1
 # The L1 term grows as the noise of a slot's gradient sum does, with the root of the rows.
-L1_PER_ROOT_ROW = 3.0 / 8000**0.5
-EPOCHS = 6
+L1_PER_ROOT_ROW = 0.08
+EPOCHS = 8
 # A slot is learned from its MIN_SEEN-th text on (fewer for small samples), so
 # words of a single text cannot stand in for its label.
-MIN_SEEN = 5
+MIN_SEEN = 4
 MAX_ROWS = 24_000
 ROWS_PER_SHARD = 9_000
 # Everything but ASCII letters and digits and the bytes of non-ASCII characters separates words.
@@ -70,7 +70,7 @@ def _ftrl(texts: list, labels: np.ndarray, base: float) -> tuple[np.ndarray, np.
     seen = np.zeros(1 << BITS, np.int32)
     for x in rows:
         seen[x] += 1
-    least = max(2, min(MIN_SEEN, len(rows) // 1000))
+    least = max(2, min(MIN_SEEN, len(rows) // 2000))
     rows = [x[seen[x] >= least] for x in rows]
     l1 = L1_PER_ROOT_ROW * len(rows) ** 0.5
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)

@@ -1,0 +1,95 @@
+"""Language identification and toxicity: held-out accuracy and defined cases."""
+
+from __future__ import annotations
+
+import zlib
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tallyframe.llm import language_id, queries, toxicity
+from tests.conftest import SF_ORACLE
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_language_held_out_accuracy(spark):
+    got = {r["doc_id"]: r for r in queries.op1_language_id(spark, SF_ORACLE).collect()}
+    truth = duckdb.sql(f"SELECT doc_id, lang, text FROM '{SF_ORACLE}/documents.parquet'").fetchall()
+    assert len(got) == len(truth)
+    assert all(r["held_out"] == (zlib.crc32(str(d).encode()) % 4 == 2) for d, r in got.items())
+    held = [(lang, got[d]) for d, lang, _ in truth if got[d]["held_out"]]
+    assert np.mean([lang == r["lang_pred"] for lang, r in held]) > 0.98
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+
+
+def test_language_ignores_everything_but_the_text(spark, make_docs):
+    train = make_docs([(i, "the fox and the dog " * 5, "en") for i in range(20)]
+                      + [(100 + i, "der hund und die katze " * 5, "de") for i in range(20)] + [(900, "x y z", None)])
+    profiles = language_id.train(train)
+    assert profiles.languages == ["de", "en"]
+    docs = make_docs([(1, "the dog and fox", "de"), (1, "the dog and fox", None), (None, "und der hund", "en"), (2, None), (3, ""),
+                      (4, "123 ... !?"), (5, "\u0394\u03b5\u03bd"), (6, "the " * 50_000)], clashing=True)
+    got = language_id.with_language(docs.drop("language"), profiles).select("doc_id", "text", "language").collect()
+    found = [(r["language"]["lang"], r["language"]["score"]) for r in got]
+    assert [f[0] for f in found] == ["en", "en", "de", "und", "und", "und", found[6][0], "en"]
+    assert found[0] == found[1] and [f[1] for f in found[3:6]] == [0.0] * 3
+    assert found[6][0] in ("de", "en")  # letters that no profile has: a tie, the smaller name
+    assert language_id.with_language(docs.limit(0), profiles, name="l").count() == 0
+    nothing = language_id.train(train.filter("lang IS NULL"))
+    assert nothing.predict(pa.array(["the"])).to_pylist() == [{"lang": "und", "score": 0.0}]
+
+
+def test_profile_counts_equal_brute_force(make_docs):
+    from collections import Counter
+
+    texts = ["Ab, ab! ba", "aab  b", "éa"]
+    counts = Counter()
+    for t in texts:
+        for word in "".join(c if c.isalpha() else " " for c in t.lower()).split():
+            padded = f" {word} "
+            counts.update(word)
+            counts.update(padded[i:i + 2] for i in range(len(padded) - 1))
+            counts.update(padded[i:i + 3] for i in range(len(padded) - 2))
+    codes = np.concatenate([language_id.gram_codes(t) for t in texts])
+    _, n = np.unique(codes, return_counts=True)
+    assert sorted(n) == sorted(counts.values())
+
+
+@pytest.fixture(scope="module")
+def toxic_result(spark):
+    return {r["doc_id"]: r for r in queries.op7_toxicity(spark, SF).collect()}
+
+
+def test_toxicity_held_out(toxic_result):
+    labels = dict(duckdb.sql(f"SELECT doc_id, toxic FROM '{SF}/labels.parquet'").fetchall())
+    held = [(labels[d], r) for d, r in toxic_result.items() if d in labels and r["held_out"]]
+    toxic, clean = [r for y, r in held if y], [r for y, r in held if not y]
+    assert np.mean([r["predicted"] for r in toxic]) > 0.75
+    assert np.mean([r["predicted"] for r in clean]) < 0.01
+    scores = np.array([r["score"] for _, r in held])
+    order = scores.argsort().argsort() + 1
+    y = np.array([y for y, _ in held])
+    auc = (order[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (len(y) - y.sum()))
+    assert auc > 0.97
+    assert all(r["predicted"] == (r["score"] >= 0.5) and 0 <= r["score"] <= 1 for r in toxic_result.values())
+
+
+def test_toxicity_cases(spark, make_docs):
+    rng = np.random.default_rng(0)
+    plain = [" ".join(rng.choice(["sun", "rain", "tree", "house", "river", "stone"], 12)) for _ in range(200)]
+    docs = make_docs([(i, t + (" vile" if i % 4 == 0 else "")) for i, t in enumerate(plain)])
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)] + [(None, 1), (3, None), (77777, 1)], "doc_id bigint, toxic int")
+    model = toxicity.train(docs, labels)
+    assert 0 < len(model.slots) < 2000
+    probe = make_docs([(1, "VILE river"), (1, "VILE river"), (2, "sun, rain"), (3, None), (4, ""), (5, " .,! "), (6, "tree " * 40_000)], clashing=True)
+    got = toxicity.with_score(probe.drop("score"), model).select("score").collect()
+    s = [r["score"] for r in got]
+    assert s[0] == s[1] > 0.5 > s[2] and s[3] == s[4] == s[5] and 0 <= s[6] <= 1
+    one_class = toxicity.train(docs, labels.filter("toxic = 0"))
+    assert len(one_class.slots) == 0 and one_class.scores(pa.array(["vile", None])).to_pylist()[0] < 0.5
+    empty = toxicity.train(docs.limit(0), labels.limit(0))
+    assert empty.scores(pa.array(["x"])).to_pylist() == [0.5]
+    assert toxicity.with_score(probe.limit(0), model, name="toxicity").count() == 0

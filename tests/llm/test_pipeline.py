@@ -1,0 +1,106 @@
+"""The pipeline: stages, columns, and a brute-force version of the filtering stages."""
+
+from __future__ import annotations
+
+import pathlib
+import re
+
+import pytest
+
+import corpus_pipeline
+
+from tests.conftest import SF_SMALL
+from tests.llm import test_decontaminate, test_jaccard_join, test_mixing_sharding, test_quality_rules
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def brute_quality(rows):
+    def fails(text):
+        n, chars, symbols, dup, repeat, lines, letters, upper = test_quality_rules.brute(text)
+        return n < 20 or 100 * repeat > 30 * n or 2 * symbols > n or 2 * upper > letters or 10 * dup > 6 * lines or chars < 2 * n or chars > 15 * n
+    return [r for r in rows if not fails(r[1])]
+
+
+def brute_pipeline(rows, items):
+    rows = brute_quality(rows)
+    component = {d: c for d, _, c in test_jaccard_join.brute([(r[0], r[1]) for r in rows])}
+    rows = [r for r in rows if component[r[0]] == r[0]]
+    bad = {d for d, _, _, _, b in test_decontaminate.brute([(r[0], r[1]) for r in rows], items) if b}
+    rows = [r for r in rows if r[0] not in bad]
+    taken = test_mixing_sharding.brute_mix([(r[0], r[1], r[3]) for r in rows])
+    out = []
+    for r in rows:
+        n = len(r[1].split())
+        out += [r] * -(-taken[r[0], r[1], r[3]] // n)
+    return out
+
+
+@pytest.fixture(scope="module")
+def result(spark):
+    return corpus_pipeline.run(spark, SF_SMALL).collect()
+
+
+def test_rows_equal_the_brute_force_version(spark, result):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(*COLUMNS).collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    want = brute_pipeline(docs, items)
+    got = [tuple(r[c] for c in COLUMNS) for r in result]
+    assert sorted(got) == sorted(want) and 0 < len(got)
+
+
+def test_shards_of_the_result(result):
+    assert {r["shard"] for r in result} <= set(range(8))
+    for s in {r["shard"] for r in result}:
+        slots = sorted(r["slot"] for r in result if r["shard"] == s)
+        assert slots == list(range(len(slots)))
+    load = [sum(len(r["text"].encode()) + 1 for r in result if r["shard"] == s) for s in range(8)]
+    assert max(load) < 1.1 * min(load)
+
+
+def test_stages_keep_the_columns_of_documents(spark, make_docs):
+    docs = make_docs([(i, f"Document {i} has " + " ".join(f"w{i}x{k}" for k in range(30)), "en", "ab"[i % 2]) for i in range(30)]
+                     + [(40, None), (None, "few words"), (41, "")])
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "jaccard_join", "decontamination", "mixing", "sharding"]
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, SF_SMALL)
+        assert out.columns[:5] == COLUMNS and (out.columns == COLUMNS or i == 4)
+        assert stage(spark, docs.limit(0), SF_SMALL).count() == 0
+        if i < 3:
+            assert {r["doc_id"] for r in out.collect()} >= set(range(30))  # clean documents stay
+
+
+def test_query_set_and_rules_of_the_subpackage():
+    import __spark_entry__ as contract
+
+    names = contract.queries()
+    for n in range(1, 11):
+        assert sum(name.startswith(f"op{n}_") for name in names) == 1
+    assert "pipeline" in names
+    root = pathlib.Path(corpus_pipeline.__file__).parent
+    for path in [root / "corpus_pipeline.py", *(root / "tallyframe" / "llm").glob("*.py")]:
+        text = path.read_text()
+        assert not re.search(r"localCheckpoint|crossJoin|except ImportError|\.rdd\b|toPandas|tempfile", text), path
+    for native in ("decontaminate", "url_rules"):
+        assert not re.search(r"udf|pandas|arrow|mapIn|applyIn", (root / "tallyframe/llm" / f"{native}.py").read_text(), re.I)
+
+
+SQL_QUERIES = ["op2_url_filters", "op4_decontamination", "op8_mixing", "op9_jaccard_join", "op10_quality_rules"]
+
+
+@pytest.mark.parametrize("name", SQL_QUERIES)
+def test_query_equals_its_sql(spark, name):
+    import duckdb
+
+    import __spark_entry__ as contract
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    got = contract.queries()[name](spark, SF_SMALL)
+    res = con.execute(contract.oracle_sql()[name])
+    order = sorted(got.columns)
+    names = [d[0] for d in res.description]
+    assert order == sorted(names)
+    want = sorted(repr(tuple(r[names.index(c)] for c in order)) for r in res.fetchall())
+    assert sorted(repr(tuple(r[c] for c in order)) for r in got.collect()) == want
