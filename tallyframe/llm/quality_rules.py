@@ -31,7 +31,7 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 RULES: list[tuple[str, str]] = [
     ("few_words", "{n_words} < 20"),
     ("repeated_windows", "100 * {n_repeat_words} > 30 * {n_words}"),
-    ("many_symbols", "{n_symbols} * 2 > {n_words}"),
+    ("many_symbols", "{n_symbols} * 10 > {n_words}"),
     ("shouting", "{n_upper_az} * 2 > {n_letters_az}"),
     ("repeated_lines", "{n_dup_lines} * 10 > {n_lines} * 6"),
     ("odd_word_length", "{word_chars} < 2 * {n_words} OR {word_chars} > 15 * {n_words}"),

@@ -302,7 +302,7 @@ WITH d AS (
 ), b AS (
     SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END
              + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
-             + CASE WHEN 2 * n_symbols > n_words THEN 4 ELSE 0 END
+             + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END
              + CASE WHEN 2 * upper_az > letters_az THEN 8 ELSE 0 END
              + CASE WHEN 10 * n_dup_lines > 6 * n_lines THEN 16 ELSE 0 END
              + CASE WHEN word_chars < 2 * n_words OR word_chars > 15 * n_words THEN 32 ELSE 0 END)::BIGINT AS failures

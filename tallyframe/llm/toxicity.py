@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import distinct, hash_fraction, mix64, separator_table, text_chunks, words_of
+from tallyframe.operators.joins import checked_broadcast
 
 BITS = 20
 ALPHA, BETA, L2 = 1.5, 1.0, 0.1
@@ -124,7 +125,7 @@ def train(
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     # About ROWS_PER_SHARD rows a group, whatever max_rows; the id fixes the group.
     shards = -(-min(n, max_rows) // ROWS_PER_SHARD)
-    rows = texts.join(usable, "id").withColumn("shard", (F.col("u") * 1e9).cast("bigint") % shards)
+    rows = texts.join(checked_broadcast(usable), "id").withColumn("shard", (F.col("u") * 1e9).cast("bigint") % shards)
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["u", "id"], kind="stable")

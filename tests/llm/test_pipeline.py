@@ -18,7 +18,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def brute_quality(rows):
     def fails(text):
         n, chars, symbols, dup, repeat, lines, letters, upper = test_quality_rules.brute(text)
-        return n < 20 or 100 * repeat > 30 * n or 2 * symbols > n or 2 * upper > letters or 10 * dup > 6 * lines or chars < 2 * n or chars > 15 * n
+        return n < 20 or 100 * repeat > 30 * n or 10 * symbols > n or 2 * upper > letters or 10 * dup > 6 * lines or chars < 2 * n or chars > 15 * n
     return [r for r in rows if not fails(r[1])]
 
 
