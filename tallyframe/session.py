@@ -10,12 +10,15 @@ executor or a restarted driver can still see it.  Only local-mode sessions
 
 from __future__ import annotations
 
+import io
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
-from tallyframe.sinks.fs import delete_at_exit
+from tallyframe.sinks.fs import delete_at_exit, qualified, write_bytes
 
 # Settings every session of ours wants, whatever the cluster size.
 # Static auto-broadcast is off: it decides from file-size estimates, which
@@ -130,3 +133,23 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     if getattr(spark.sparkContext, "_jvm", None) is not None:
         delete_at_exit(spark, own)
     return f"{own}/data"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application.
+
+    Functions that run in Python workers are found there by import, whatever
+    the workers' own path holds.  The zip goes through the shared folder.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tallyframe_shipped", None) == sc.applicationId:
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+        for path in sorted(root.rglob("*.py")):
+            archive.write(path, path.relative_to(root.parent).as_posix())
+    path = scratch_path(spark, "package") + "/tallyframe.zip"
+    write_bytes(spark, path, buffer.getvalue())
+    sc.addPyFile(qualified(spark, path))
+    sc._tallyframe_shipped = sc.applicationId

@@ -56,6 +56,13 @@ def data_file_name(spark: SparkSession, path: str) -> str | None:
     return None
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    fs, p = file_system(spark, path)
+    out = fs.create(p)
+    out.write(data)
+    out.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = file_system(spark, path)
     fs.delete(p, True)
