@@ -11,18 +11,20 @@ all of them is verified:
    document passes only if all but a quarter of its size of these tokens occur
    in another document too.  This removes most documents from the join.
 2. Order by frequency among the documents left, rare tokens first, with the
-   shortest prefix: a token no other document has is spent first, passages
-   that very many documents share come last.  Documents that share a prefix
-   token are candidates.
+   shortest prefix: tokens no other document has come first, passages that
+   very many documents share come last.  Documents are candidates if they
+   share a token that stands early enough in both for the overlap that their
+   two sizes demand.
 3. Before the sets are compared, a candidate pair must also share enough of
    the long hash prefix of each, and a token of the prefix under the reversed
    hash order.
 
 Documents with equal sets are one node.  Links are wanted for the classes they
-form, so pairs already connected are not compared again: each node is first
-compared with the candidate that shares most prefix tokens with it, the links
-are contracted to components, and then every candidate pair across components
-is compared.  A large group of near copies thus costs about one comparison per
+form, so pairs already connected are not compared again.  Each bucket of a
+prefix token is led by the node where the token stands earliest, the one with
+the fewest tokens of its own; each node is first compared with the lead that it
+shares most buckets with, the links are contracted to components, and then
+every candidate pair across components is compared.  A large group of near copies thus costs about one comparison per
 member, and no link between different components is lost.
 
 Defined cases: a null or empty text, or one without words, has an empty set,
@@ -43,7 +45,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.common import (
     Words,
-    free_name,
+    distinct,
     free_prefix,
     gram_hashes,
     mix64,
@@ -78,7 +80,7 @@ def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
                 own = Words(np.zeros(n_words, np.int64), words.start, words.end, words.hash[word_cut[i]:word_cut[i + 1]], words.counts)
                 key = mix64(gram_hashes(own, int(n_words))[0] ^ _SEED)
             # The second hash is a bijection, so it serves as the token itself.
-            yield np.unique(key)
+            yield distinct(key)
 
 
 def _node(tokens: np.ndarray) -> int:
@@ -154,15 +156,28 @@ def _passing_nodes(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _prefix_rows(sets: DataFrame) -> DataFrame:
-    """``(token, node)``: the shared tokens in the rare-first prefix of every set that can still link."""
+    """``(token, node, n, place)``: the shared tokens in the rare-first prefix of every set that can still link.
+
+    ``place`` counts from 1 and includes the tokens nobody else has, which
+    come first.
+    """
     tokens = sets.select("node", "n", F.explode("tokens").alias("token"))
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     shared = tokens.join(counts, "token")
     rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "token"))
-    total = F.count(F.lit(1)).over(Window.partitionBy("node"))
-    # Tokens that nobody else has come first and take their places.
-    left = _misses(F.col("n")) + 1 - (F.col("n") - F.col("held"))
-    return shared.withColumn("held", total).withColumn("rank", rank).filter(F.col("rank") <= left).select("token", "node")
+    held = F.count(F.lit(1)).over(Window.partitionBy("node"))
+    placed = shared.withColumn("place", rank + F.col("n") - held)
+    return placed.filter(F.col("place") <= _misses(F.col("n")) + 1).select("token", "node", "n", "place")
+
+
+def _early_enough(n: str, place: str, m: str, other_place: str) -> Column:
+    """Whether a token at these places can be the first shared one of two linked sets of sizes n and m.
+
+    A link shares at least 3/7 of both sizes together, and nothing before its
+    first shared token.
+    """
+    need = 3 * (F.col(n) + F.col(m))
+    return (7 * (F.col(n) - F.col(place) + 1) >= need) & (7 * (F.col(m) - F.col(other_place) + 1) >= need)
 
 
 def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -216,25 +231,33 @@ def _saved(df: DataFrame, kind: str) -> DataFrame:
 
 
 def find_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``(id, n, node)`` of every row, and ``(node, component)`` of every non-empty set."""
+    """``(id, hash, n, node)`` of every row, and ``(node, component)`` of every non-empty set.
+
+    ``hash`` is the text's xxhash64; with the id it finds the row again.
+    """
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     describe = F.arrow_udf(_describe, "struct<n: bigint, node: bigint, low: bigint>")
-    rows = _saved(texts.select("id", describe("text").alias("d")).select("id", "d.n", "d.node", "d.low"), "jaccard-nodes")
+    described = texts.select("id", F.xxhash64("text").alias("hash"), describe("text").alias("d"))
+    rows = _saved(described.select("id", "hash", "d.n", "d.node", "d.low"), "jaccard-nodes")
     classes = rows.filter("n > 0").groupBy("node", "n", "low").agg(F.min("id").alias("first"))
 
     passing = _passing_nodes(texts.select("text"), classes).select("node", "n", "first").checkpoint()
     full = F.arrow_udf(
         lambda t: pa.array([s.view(np.int64) for s in _sets(t)], pa.list_(pa.int64())), "array<bigint>")
-    described = texts.withColumn("node", describe("text")["node"])
-    mine = passing.select(F.col("node").alias("wanted"), F.col("first").alias("first_id"), "n")
-    same = (F.col("node") == F.col("wanted")) & F.col("id").eqNullSafe(F.col("first_id"))
-    sets = described.join(checked_broadcast(mine), same).select("node", "n", full("text").alias("tokens"))
-    # Equal rows of one class would only repeat comparisons.
-    sets = _saved(sets, "jaccard-sets")
+    # The row that speaks for each class, found again by id and text hash.
+    mine = rows.join(passing.withColumnRenamed("node", "of"), (F.col("node") == F.col("of")) & F.col("id").eqNullSafe(F.col("first")))
+    mine = mine.groupBy("of").agg(F.first("id").alias("its_id"), F.min("hash").alias("its_hash"))
+    mine = mine.select(F.col("of").alias("node"), "its_id", "its_hash")
+    same = F.col("id").eqNullSafe(F.col("its_id")) & (F.xxhash64("text") == F.col("its_hash"))
+    sets = texts.join(checked_broadcast(mine), same).select("node", full("text").alias("tokens"))
+    sets = _saved(sets.withColumn("n", F.size("tokens").cast("bigint")), "jaccard-sets")
 
     prefix = _prefix_rows(sets).distinct().checkpoint()
-    lead = prefix.groupBy("token").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead <> last")
-    star = prefix.join(lead, "token").filter("node <> lead").groupBy("node", "lead").agg(F.count(F.lit(1)).alias("common"))
+    lead = prefix.groupBy("token").agg(F.min(F.struct("place", "node", "n")).alias("l"), F.count(F.lit(1)).alias("members"))
+    lead = lead.filter("members > 1").select(
+        "token", F.col("l.node").alias("lead"), F.col("l.place").alias("lead_place"), F.col("l.n").alias("lead_n"))
+    star = prefix.join(lead, "token").filter((F.col("node") != F.col("lead")) & _early_enough("n", "place", "lead_n", "lead_place"))
+    star = star.groupBy("node", "lead").agg(F.count(F.lit(1)).alias("common"))
     best = Window.partitionBy("node").orderBy(F.col("common").desc(), "lead")
     first_pairs = star.withColumn("r", F.row_number().over(best)).filter("r = 1").select(
         F.col("lead").alias("a"), F.col("node").alias("b")).checkpoint()
@@ -249,8 +272,10 @@ def find_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.min("root").alias("lo"), F.max("root").alias("hi"),
     ).filter("lo <> hi").select("token", "main")
     mixed = placed.join(main, "token")
-    outside = mixed.filter("root <> main").select("token", F.col("node").alias("x"), F.col("root").alias("x_root"))
+    outside = mixed.filter("root <> main").select(
+        "token", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("n").alias("x_n"), F.col("place").alias("x_place"))
     meet = (F.col("x_root") != F.col("root")) & ((F.col("root") == F.col("main")) | (F.col("x") < F.col("node")))
+    meet = meet & _early_enough("n", "place", "x_n", "x_place")
     across = outside.join(mixed, "token").filter(meet).select(
         F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
     tried = first_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -261,31 +286,34 @@ def find_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     roots = components(all_links)
     named = classes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first")
     least = named.groupBy("root").agg(F.min("first").alias("component"))
-    return rows.select("id", "n", "node"), named.join(least, "root").select("node", "component")
-
-
-def with_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
-    """``docs`` with a struct ``{n_shingles, component_id}``; returns the frame and the struct's name."""
-    name, p = free_name(docs, "jaccard"), free_prefix(docs, "_jac_")
-    _, component = find_components(docs, doc_id, text)
-    describe = F.arrow_udf(_describe, "struct<n: bigint, node: bigint, low: bigint>")
-    rows = docs.withColumn(f"{p}d", describe(F.col(text)))
-    other = component.select(F.col("node").alias(f"{p}node"), F.col("component").alias(f"{p}component"))
-    joined = rows.join(other, F.col(f"{p}d")["node"] == F.col(f"{p}node"), "left")
-    info = F.struct(F.col(f"{p}d")["n"].alias("n_shingles"),
-                    F.when(F.col(f"{p}d")["n"] == 0, F.col(doc_id)).otherwise(F.col(f"{p}component")).alias("component_id"))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], info.alias(name)), name
+    return rows.select("id", "hash", "n", "node"), named.join(least, "root").select("node", "component")
 
 
 def component_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id, n_shingles, component_id)`` of every row of ``docs``."""
+    """``(id, hash, n_shingles, component_id)`` of every row of ``docs``."""
     rows, component = find_components(docs, doc_id, text)
     joined = rows.join(component, "node", "left")
-    return joined.select("id", F.col("n").alias("n_shingles"),
+    return joined.select("id", "hash", F.col("n").alias("n_shingles"),
                          F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component_id"))
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component: the one that names it.  Texts without words all stay."""
-    marked, name = with_components(docs, doc_id, text)
-    return marked.filter(F.col(name)["component_id"].eqNullSafe(F.col(doc_id))).drop(name)
+    """One row of each component, the one that names it; texts without words all stay.
+
+    Rows equal in id and text are one row; so are equal texts without an id
+    where no row of the component has one.
+    """
+    rows = component_rows(docs, doc_id, text).checkpoint()
+    p = free_prefix(docs, "_jac_")
+    key = [F.col("id").alias(f"{p}id"), F.col("hash").alias(f"{p}hash")]
+    keyed = docs.withColumn(f"{p}text", F.xxhash64(F.col(text)))
+    same = F.col(doc_id).eqNullSafe(F.col(f"{p}id")) & F.col(f"{p}text").eqNullSafe(F.col(f"{p}hash"))
+    # The rows that go are the fewer; where they are proven small the texts are not shuffled.
+    gone = rows.filter(~F.col("component_id").eqNullSafe(F.col("id"))).select(*key).distinct()
+    kept = keyed.join(checked_broadcast(gone), same, "left_anti")
+    twice = rows.filter("n_shingles > 0").groupBy("id", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*key)
+    if not twice.isEmpty():
+        again = checked_broadcast(twice.checkpoint())
+        once = kept.join(again, same, "left_semi").dropDuplicates([doc_id, f"{p}text"])
+        kept = kept.join(again, same, "left_anti").unionByName(once)
+    return kept.drop(f"{p}text")
