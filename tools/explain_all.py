@@ -1,4 +1,4 @@
-"""Write PLANS.md: the executed physical plan tree of every registered query.
+"""Write PLANS.md: the executed physical plan tree of every report of the catalogue.
 
     python tools/explain_all.py [SF_DIR [LARGE_SF_DIR]]
 
@@ -18,7 +18,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from tallyframe.plans.catalog import QUERIES  # noqa: E402
 from tallyframe.plans.inspect import plan_text  # noqa: E402
 from tallyframe.session import build_session  # noqa: E402
 
@@ -45,7 +45,7 @@ def main(sf_dir: str, large_dir: str | None = None) -> None:
         "streams) show the plan of the final read.",
         "",
     ]
-    for name, query in queries().items():
+    for name, query in QUERIES.items():
         df = query(spark, sf_dir)
         df.collect()  # runs df's own adaptive plan; a noop write would run a separate plan
         out += [f"## {name}", "", "```", final_tree(df), "```", ""]
@@ -57,7 +57,7 @@ def main(sf_dir: str, large_dir: str | None = None) -> None:
             "",
         ]
         for name in SIZE_DEPENDENT:
-            df = queries()[name](spark, large_dir)
+            df = QUERIES[name](spark, large_dir)
             out += [f"## {name} (large)", "", "```", final_tree(df), "```", ""]
     spark.stop()
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:
