@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.session import ensure_checkpoint_dir
+
 
 def _both_ways(links: DataFrame) -> DataFrame:
     return links.select(F.explode(F.array(
@@ -38,6 +40,7 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """``(node, root)`` of every node in ``links`` (a, b); the root is the component's smallest node."""
+    ensure_checkpoint_dir(links.sparkSession)
     links = links.filter("a <> b").distinct().checkpoint()
     before = None
     while True:

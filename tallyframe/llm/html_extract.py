@@ -54,11 +54,13 @@ BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner "
     "nav navbar navigation menu breadcrumb breadcrumbs pagination pager toolbar "
     "sidebar aside rail widget widgets related recommended recommendations "
-    "header masthead footer copyright legal "
+    "footer copyright legal "
     "comment comments commentlist discussion disqus respond replies reply "
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login "
     "share sharing social".split()
 )
+# These mark a page's head, but inside an article the article's own.
+PAGE_HEAD = frozenset("header masthead".split())
 KEPT_WHOLE = frozenset(("html", "body", "article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
@@ -83,7 +85,8 @@ def _is_boilerplate(name: str, attrs: str, in_article: bool) -> bool:
     for key, value in _ATTR.findall(attrs):
         key, value = key.lower(), value.strip("\"'")
         if key in ("class", "id"):
-            if any(part.lower() in BOILERPLATE for part in _NAME_PART.findall(value)):
+            parts = {part.lower() for part in _NAME_PART.findall(value)}
+            if parts & BOILERPLATE or (parts & PAGE_HEAD and not in_article):
                 return True
         elif key == "role":
             if value.lower() in DROPPED_ROLES:

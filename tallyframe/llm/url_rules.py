@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from tallyframe.llm.common import free_name, free_prefix
 from tallyframe.llm.decontaminate import lower_az
 from tallyframe.operators.joins import checked_broadcast
+from tallyframe.session import ensure_checkpoint_dir
 
 DEPTH = 3
 MAX_CHILDREN = 16
@@ -132,6 +133,7 @@ def template_table(pages: DataFrame, host: str, shape: str, verdict: str) -> Dat
 
     Checkpointed after each level: a level reads the one before it twice.
     """
+    ensure_checkpoint_dir(pages.sparkSession)
     known = F.col(verdict).isNotNull()
     tree = pages.groupBy(F.col(host).alias("host"), F.col(shape).alias("shape")).agg(
         F.count(F.lit(1)).alias("n"),

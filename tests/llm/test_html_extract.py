@@ -40,6 +40,7 @@ CASES = {
     f"<div id=nav-bar><p>{LONG}</p></div><div><h2>T</h2><p>{LONG}</p></div>": f"T\n{LONG}",
     f"<article><header><h1>T</h1></header><div class=body><p>{LONG}</p></div><section class='user-comments'><p>{LONG}</p></section></article>": f"T\n{LONG}",
     f"<body><header><h1>Site</h1></header><main><p>{LONG}</p><aside>{LONG}</aside><form>{LONG}</form></main><footer>{LONG}</footer>": LONG,
+    f"<div class='page-header'>x</div><article><div class='entry-header'><h2>T</h2></div><p>{LONG}</p></article>": f"T\n{LONG}",
     f"<div class='cookieNotice'>{LONG}</div><p>{LONG}</p>": LONG,
     f"<div class='adipose shadow'><p>{LONG}</p></div>": LONG,
     f"<div><p>{LONG}<div style='display:none'>x</div></div>": LONG,
