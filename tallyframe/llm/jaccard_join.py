@@ -100,16 +100,27 @@ def _describe(texts: pa.Array) -> pa.Array:
         [pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(low, pa.int64())], names=["n", "node", "low"])
 
 
+# Texts whose tokens a worker holds at once.
+SLICE = 2500
+
+
+def _slices(batches) -> Iterator[pa.Array]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.column(0).slice(at, SLICE)
+        pa.default_memory_pool().release_unused()
+
+
 def _low_tokens(batches):
-    """Rows (token, node, local) of the low tokens of every batch.
+    """Rows (token, node, local) of the low tokens of every slice of a batch.
 
-    A token that two sets of the batch hold is sent once, without a node: it
+    A token that two sets of the slice hold is sent once, without a node: it
     is known to be shared, and each holder counts it in one row of its own
-    (local >= 0).  So a token of very many documents costs a row per batch.
+    (local >= 0).  So a token of very many documents costs a row per slice.
     """
-    for batch in batches:
+    for texts in _slices(batches):
         tokens, nodes, seen = [], [], set()
-        for s in _sets(batch.column(0)):
+        for s in _sets(texts):
             low = s[:np.searchsorted(s, _LOW_LIMIT)]
             if len(s) == 0 or (node := _node(s)) in seen:
                 continue
@@ -138,6 +149,15 @@ def _low_tokens(batches):
         ], names=["token", "node", "local"])
 
 
+def _token_lists(texts: pa.Array) -> pa.Array:
+    """The sets themselves, as one list array."""
+    sets = [s.view(np.int64) for s in _sets(texts)]
+    offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets], dtype=np.int64)]).astype(np.int32)
+    values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+    del sets
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
 def _misses(n: Column) -> Column:
     """Most tokens of a set of size n that a linked set can lack."""
     return n - F.floor((3 * n + 3) / 4)
@@ -242,8 +262,7 @@ def find_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     classes = rows.filter("n > 0").groupBy("node", "n", "low").agg(F.min("id").alias("first"))
 
     passing = _passing_nodes(texts.select("text"), classes).select("node", "n", "first").checkpoint()
-    full = F.arrow_udf(
-        lambda t: pa.array([s.view(np.int64) for s in _sets(t)], pa.list_(pa.int64())), "array<bigint>")
+    full = F.arrow_udf(_token_lists, "array<bigint>")
     # The row that speaks for each class, found again by id and text hash.
     mine = rows.join(passing.withColumnRenamed("node", "of"), (F.col("node") == F.col("of")) & F.col("id").eqNullSafe(F.col("first")))
     mine = mine.groupBy("of").agg(F.first("id").alias("its_id"), F.min("hash").alias("its_hash"))
