@@ -6,7 +6,8 @@ and elements whose class, id or role names them as adverts, notices, comments
 and the like) are left out.  Every text block then passes points for its
 length and commas to its ancestors, halved at each level and discounted by the
 share of its text that lies in links; the container with the most points is
-kept with those siblings that hold article text too.
+kept with those siblings that hold article text too: with a paragraph or a
+title before it, and few links.
 
 Blocks are the runs of text between block-level tags; white space inside a
 block becomes one space, blocks are joined by line feeds, nothing is cut.
@@ -244,6 +245,7 @@ def _read(html: str) -> _Page:
 
 
 MIN_PARAGRAPH = 25
+LOW_DENSITY = 0.25           # of link text, in article text
 # Elements that can be the best container; others hand their points on whole.
 CONTAINERS = frozenset(("#root", "html", "body", "article", "main", "div", "section", "center", "td", "details"))
 CONTAINER_BONUS = {"article": 25.0, "main": 15.0}
@@ -296,6 +298,14 @@ def extract_text(html: str | None) -> str:
         if page.tag[at] in CONTAINER_BONUS:
             best = at
         at = page.parent[at]
+    # A wrapper that holds no other text stands for it, so that its siblings are looked at.
+    while page.tag[best] not in CONTAINER_BONUS and best > 0 and text_len[page.parent[best]] == text_len[best]:
+        best = page.parent[best]
+    titled = [False] * n         # holds a heading with text
+    for element, _, _ in page.blocks:
+        titled[element] |= page.tag[element] in HEADINGS
+    for i in range(n - 1, 0, -1):
+        titled[page.parent[i]] |= titled[i]
     kept = {best}
     for i in range(1, n):
         if page.parent[i] != page.parent[best] or i == best or not text_len[i]:
@@ -306,9 +316,11 @@ def extract_text(html: str | None) -> str:
         elif page.tag[i] in HEADINGS:
             keep = i < best
         elif page.tag[i] not in CONTAINERS:
-            keep = density < 0.25
+            keep = density < LOW_DENSITY
         else:
-            keep = score[i] >= max(10.0, 0.2 * score[best])
+            # A wrapped lead, closing paragraph or title, however small beside the best container.
+            keep = score[i] >= max(10.0, 0.2 * score[best]) or (
+                density < LOW_DENSITY and (text_len[i] - link_len[i] >= MIN_PARAGRAPH or (titled[i] and i < best)))
         if keep:
             kept.add(i)
     inside = [False] * n

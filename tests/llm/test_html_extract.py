@@ -61,6 +61,26 @@ def test_cases(page):
     assert extract_text(page) == CASES[page]
 
 
+LEAD = "A lead of one sentence that stands in a part of its own, apart from the text that follows it."
+TEXT = "\n".join([LONG] * 6)
+SIX = f"<p>{LONG}</p>" * 6
+WRAPPED = {
+    f"<body><div class=lead><p>{LEAD}</p></div><div class=text>{SIX}</div></body>": f"{LEAD}\n{TEXT}",
+    f"<body><div class=text>{SIX}</div><div><p>{LEAD}</p></div></body>": f"{TEXT}\n{LEAD}",
+    f"<div><p>{LONG} {LONG}</p></div><div><p>{LEAD}</p></div>": f"{LONG} {LONG}\n{LEAD}",
+    f"<div class=title><h1>T</h1></div><div class=text>{SIX}</div>": f"T\n{TEXT}",
+    f"<div class=title><h1>T</h1></div><div><div class=text>{SIX}</div></div><div><p>{LEAD}</p></div>": f"T\n{TEXT}\n{LEAD}",
+    f"<div>{SIX}</div><div><table><tr><td>one<td>1.00 a kilo<tr><td>two<td>2.00 a kilo</table></div>": f"{TEXT}\none 1.00 a kilo\ntwo 2.00 a kilo",
+    # Not article text: links before and after, a title of something else.
+    f"<div><h3>Topics</h3><a href=1>{LEAD}</a></div><div>{SIX}</div><div><a href=2>{LEAD}</a></div><div><h3>More</h3></div>": TEXT,
+}
+
+
+@pytest.mark.parametrize("page", list(WRAPPED), ids=range(len(WRAPPED)))
+def test_parts_beside_the_best_container_without_an_article_tag(page):
+    assert extract_text(page) == WRAPPED[page]
+
+
 @pytest.mark.parametrize("page", ["<div>" * 30_000 + "x", "<" * 50_000, "<a " * 30_000, '<p a="' * 10_000, "<p>" * 50_000 + "x",
                                   "<b>" * 30_000 + "x", "<li>" * 20_000 + "x", "<!-" * 30_000, "</div>" * 50_000, "&" * 100_000])
 def test_hostile_pages_take_linear_time(page):
