@@ -1,9 +1,11 @@
 """Main text of HTML pages by tree scoring.
 
 A page is read into a tree with the implied end tags of HTML.  Parts that are
-never article text (scripts, styles, forms, menus, headers, footers, sidebars,
+never article text (scripts, styles, menus, headers, footers, sidebars,
 and elements whose class, id or role names them as adverts, notices, comments
-and the like) are left out.  Every text block then passes points for its
+and the like) are left out.  A form is left out whole unless it holds an
+article or main part or the container with the most points; then only its
+controls and labels are.  Every text block then passes points for its
 length and commas to its ancestors, halved at each level and discounted by the
 share of its text that lies in links; the container with the most points is
 kept with those siblings that hold article text too: with a paragraph or a
@@ -37,9 +39,12 @@ BLOCK = frozenset(
 )
 CLOSES_P = BLOCK - {"body", "html", "caption", "tbody", "tfoot", "thead", "tr", "legend", "option", "optgroup"}
 DROPPED = frozenset(
-    "aside button canvas datalist dialog embed footer form head iframe input math menu nav noembed noframes noscript "
+    "aside button canvas datalist dialog embed footer head iframe input math menu nav noembed noframes noscript "
     "object script search select style svg template textarea title".split()
 )
+# Controls and labels of a form; the form itself is judged by what it holds.
+IN_FORM = frozenset("label legend meter output progress".split())
+CONTROLS = IN_FORM | {"button", "datalist", "select"}
 DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 # A start tag on the left ends an open element on the right, looked for up to a border.
 SIBLINGS = {
@@ -76,8 +81,8 @@ _NAME_PART = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _is_boilerplate(name: str, attrs: str, in_article: bool) -> bool:
-    if name in DROPPED:
+def _is_boilerplate(name: str, attrs: str, in_article: bool, in_form: bool) -> bool:
+    if name in DROPPED or (in_form and name in IN_FORM):
         return True
     if name == "header":
         return not in_article
@@ -90,7 +95,7 @@ def _is_boilerplate(name: str, attrs: str, in_article: bool) -> bool:
             if parts & BOILERPLATE or (parts & PAGE_HEAD and not in_article):
                 return True
         elif key == "role":
-            if value.lower() in DROPPED_ROLES:
+            if value.lower() in DROPPED_ROLES and (name, value.lower()) != ("form", "form"):
                 return True
         elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and _HIDING.search(value)):
             return True
@@ -185,7 +190,7 @@ def _read(html: str) -> _Page:
             continue
         name = name.lower()
         if m["end"]:
-            if name in BLOCK or name in SIBLINGS and name != "a":
+            if name in BLOCK or name in CONTROLS or name in SIBLINGS and name != "a":
                 depth = find((name,), ("#root",), True)
             else:
                 depth = find((name,), ("#root",), False)
@@ -219,7 +224,7 @@ def _read(html: str) -> _Page:
             page.flush()
         if name in VOID:
             continue
-        dropped = dropped or _is_boilerplate(name, m["attrs"], articles > 0)
+        dropped = dropped or _is_boilerplate(name, m["attrs"], articles > 0, open_tags["form"] > 0)
         if name in RAW:
             close = re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I).search(html, at)
             if close is None:
@@ -247,46 +252,82 @@ def _read(html: str) -> _Page:
 MIN_PARAGRAPH = 25
 LOW_DENSITY = 0.25           # of link text, in article text
 # Elements that can be the best container; others hand their points on whole.
-CONTAINERS = frozenset(("#root", "html", "body", "article", "main", "div", "section", "center", "td", "details"))
+CONTAINERS = frozenset(("#root", "html", "body", "article", "main", "div", "section", "center", "td", "details", "form"))
 CONTAINER_BONUS = {"article": 25.0, "main": 15.0}
 
 
+class _Scores:
+    """Points and lengths of every element, with those below it."""
+
+    def __init__(self, page: _Page, blocks: list[tuple[int, str, float]]) -> None:
+        n = len(page.tag)
+        self.score = [0.0] * n
+        self.held = [False] * n           # holds text of its own or below
+        self.text_len, self.link_len = [0.0] * n, [0.0] * n
+        for element, text, linked in blocks:
+            length = len(text)
+            if page.tag[element] in HEADINGS:
+                points = 0.0
+            elif length < MIN_PARAGRAPH:
+                points = length / 100.0
+            else:
+                points = 1.0 + text.count(",") + min(length / 100.0, 3.0)
+            points *= 1.0 - linked
+            at, share = element, 1.0
+            while at >= 0 and share >= 1.0 / 64:
+                if page.tag[at] in CONTAINERS:
+                    self.score[at] += points * share
+                    share /= 2
+                at = page.parent[at]
+            self.text_len[element] += length
+            self.link_len[element] += length * linked
+            self.held[element] = True
+        for i in range(n - 1, 0, -1):
+            p = page.parent[i]
+            self.text_len[p] += self.text_len[i]
+            self.link_len[p] += self.link_len[i]
+            self.held[p] |= self.held[i]
+
+    def unlinked(self, i: int) -> float:
+        return 1.0 - self.link_len[i] / self.text_len[i]
+
+
+def _without_forms(page: _Page) -> list[tuple[int, str, float]]:
+    """The blocks outside of forms that hold no article, main or best container."""
+    n = len(page.tag)
+    held = _Scores(page, page.blocks).held
+    main_part = [page.tag[i] in CONTAINER_BONUS and held[i] for i in range(n)]   # is or holds one
+    for i in range(n - 1, 0, -1):
+        main_part[page.parent[i]] |= main_part[i]
+    form, in_main = [0] * n, [False] * n     # outermost form around it that may go; inside an article or main part
+    for i in range(1, n):
+        p = page.parent[i]
+        form[i] = form[p] or (i if page.tag[i] == "form" and not main_part[i] else 0)
+        in_main[i] = in_main[p] or page.tag[i] in CONTAINER_BONUS
+    blocks = page.blocks
+    if any(in_main[element] and not form[element] for element, _, _ in blocks):
+        # The article is known: forms beside it are not part of it.
+        blocks = [b for b in blocks if not form[b[0]] or in_main[form[b[0]]]]
+    s = _Scores(page, blocks)
+    points = [s.score[i] * s.unlinked(i) if s.text_len[i] and page.tag[i] in CONTAINERS else -1.0 for i in range(n)]
+    best = form[max(range(n), key=lambda i: (points[i], -i))]
+    return [b for b in blocks if form[b[0]] in (0, best)]
+
+
 def extract_text(html: str | None) -> str:
     """The main text of one page."""
     if not html:
         return ""
     page = _read(html)
+    if "form" in page.tag:
+        page.blocks = _without_forms(page)
     if not page.blocks:
         return ""
     n = len(page.tag)
-    score = [0.0] * n
-    held = [False] * n           # holds text of its own or below
-    text_len, link_len = [0.0] * n, [0.0] * n
-    for element, text, linked in page.blocks:
-        length = len(text)
-        if page.tag[element] in HEADINGS:
-            points = 0.0
-        elif length < MIN_PARAGRAPH:
-            points = length / 100.0
-        else:
-            points = 1.0 + text.count(",") + min(length / 100.0, 3.0)
-        points *= 1.0 - linked
-        at, share = element, 1.0
-        while at >= 0 and share >= 1.0 / 64:
-            if page.tag[at] in CONTAINERS:
-                score[at] += points * share
-                share /= 2
-            at = page.parent[at]
-        text_len[element] += length
-        link_len[element] += length * linked
-        held[element] = True
-    for i in range(n - 1, 0, -1):
-        p = page.parent[i]
-        text_len[p] += text_len[i]
-        link_len[p] += link_len[i]
-        held[p] |= held[i]
+    s = _Scores(page, page.blocks)
+    score, held, text_len, link_len = s.score, s.held, s.text_len, s.link_len
     final = [
-        (score[i] + (CONTAINER_BONUS.get(page.tag[i], 0.0) if held[i] else 0.0)) * (1.0 - link_len[i] / text_len[i])
+        (score[i] + (CONTAINER_BONUS.get(page.tag[i], 0.0) if held[i] else 0.0)) * s.unlinked(i)
         if text_len[i] and page.tag[i] in CONTAINERS else -1.0 for i in range(n)
     ]
     best = max(range(n), key=lambda i: (final[i], -i))

@@ -81,6 +81,23 @@ def test_parts_beside_the_best_container_without_an_article_tag(page):
     assert extract_text(page) == WRAPPED[page]
 
 
+CONTROLS = "<label>Name <input name=q></label><select><option>one</select><button>Send</button>"
+FORMS = {
+    f"<body><form id=aspnetForm>{CONTROLS}<article><h1>T</h1>{SIX}</article></form></body>": f"T\n{TEXT}",
+    f"<body><form id=form1 role=form>{CONTROLS}<main>{SIX}</main></form></body>": TEXT,
+    f"<form><div class=nav><a href=1>x</a></div>{CONTROLS}<div><h1>T</h1>{SIX}</div><div class=footer>x</div></form>": f"T\n{TEXT}",
+    f"<form><div><p>{LONG}</p></div><div><p>{LEAD}</p></div></form>": f"{LONG}\n{LEAD}",
+    f"<main><h1>T</h1><form>{CONTROLS}{SIX}</form></main>": f"T\n{TEXT}",
+    f"<article>{SIX}<form>{CONTROLS}<p>{LONG}</p></form></article><form>{SIX * 5}</form>": TEXT,
+    f"<div>{SIX}</div><form>{CONTROLS}<p>{LONG}</p></form>": TEXT,
+}
+
+
+@pytest.mark.parametrize("page", list(FORMS), ids=range(len(FORMS)))
+def test_forms_around_and_beside_the_text(page):
+    assert extract_text(page) == FORMS[page]
+
+
 @pytest.mark.parametrize("page", ["<div>" * 30_000 + "x", "<" * 50_000, "<a " * 30_000, '<p a="' * 10_000, "<p>" * 50_000 + "x",
                                   "<b>" * 30_000 + "x", "<li>" * 20_000 + "x", "<!-" * 30_000, "</div>" * 50_000, "&" * 100_000])
 def test_hostile_pages_take_linear_time(page):
