@@ -3,7 +3,9 @@
 A page is read into a tree with the implied end tags of HTML.  Parts that are
 never article text (scripts, styles, menus, headers, footers, sidebars,
 and elements whose class, id or role names them as adverts, notices, comments
-and the like) are left out.  A form is left out whole unless it holds an
+and the like) are left out.  Where such a name may be a subject (legal,
+discussion), length and share of links decide, and inside an article or main
+part an id counts only whole, that of a heading never.  A form is left out whole unless it holds an
 article or main part or the container with the most points; then only its
 controls and labels are.  Every text block then passes points for its
 length and commas to its ancestors, halved at each level and discounted by the
@@ -65,6 +67,16 @@ BOILERPLATE = frozenset(
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login "
     "share sharing social".split()
 )
+# Those of them that also name subjects: a part with such a name is judged by its text.
+DOUBTFUL = frozenset(
+    "advertising promotion navigation menu rail banner related recommended recommendations copyright legal discussion "
+    "cookie cookies consent notice notices alert overlay share sharing social subscription".split()
+)
+# Words that only say where or how a part stands.
+LAYOUT = frozenset(
+    "area articles bar block bottom box button buttons container content icons inner items left links list outer posts "
+    "right section site stories top wrap wrapper".split()
+)
 # These mark a page's head, but inside an article the article's own.
 PAGE_HEAD = frozenset("header masthead".split())
 KEPT_WHOLE = frozenset(("html", "body", "article", "main"))
@@ -81,25 +93,59 @@ _NAME_PART = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _is_boilerplate(name: str, attrs: str, in_article: bool, in_form: bool) -> bool:
+GONE = float("inf")
+LONG_TEXT = 200.0
+
+
+def _name_asks(name: str, key: str, value: str, in_article: bool) -> float:
+    """What a class or id asks of the text of a block to stay, see ``_asks``."""
+    asked = 0.0
+    for token in value.split():
+        parts = {part.lower() for part in _NAME_PART.findall(token)}
+        if parts & PAGE_HEAD and not in_article:
+            return GONE
+        found = parts & BOILERPLATE
+        if not found:
+            continue
+        sure, whole = not found <= DOUBTFUL, parts <= BOILERPLATE | LAYOUT
+        slug = key == "id" and name == "section"
+        if not in_article:
+            need = (LONG_TEXT if sure else MIN_PARAGRAPH) if slug and not (whole and sure) else GONE if whole or sure else LONG_TEXT
+        elif key == "id":
+            # Only a whole name counts: the id of a section or part is often the slug of its title.
+            need = 0.0 if not whole else GONE if sure else 1.0 if slug else MIN_PARAGRAPH
+        elif sure or (whole and len(found) > 1):
+            need = GONE
+        else:
+            need = LONG_TEXT if whole else MIN_PARAGRAPH
+        asked = max(asked, need)
+    return asked
+
+
+def _asks(name: str, attrs: str, in_article: bool, in_form: bool, in_heading: bool) -> float:
+    """The text outside links that an element must hold, with few links, to stay: 0 stays, GONE goes."""
     if name in DROPPED or (in_form and name in IN_FORM):
-        return True
+        return GONE
     if name == "header":
-        return not in_article
+        return 0.0 if in_article else GONE
     if name in KEPT_WHOLE or not attrs:
-        return False
+        return 0.0
+    asked = 0.0
     for key, value in _ATTR.findall(attrs):
         key, value = key.lower(), value.strip("\"'")
         if key in ("class", "id"):
-            parts = {part.lower() for part in _NAME_PART.findall(value)}
-            if parts & BOILERPLATE or (parts & PAGE_HEAD and not in_article):
-                return True
+            # The id of a heading, or of an anchor in one, is the slug of its text.
+            if key == "class" or not (name in HEADINGS or (in_heading and name not in BLOCK)):
+                asked = max(asked, _name_asks(name, key, value, in_article))
         elif key == "role":
             if value.lower() in DROPPED_ROLES and (name, value.lower()) != ("form", "form"):
-                return True
+                return GONE
         elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and _HIDING.search(value)):
-            return True
-    return False
+            return GONE
+    if name in HEADINGS or name not in BLOCK:
+        # Too short to be judged by their text: in an article a whole class counts, else only what is sure.
+        return GONE if asked >= (LONG_TEXT if in_article else GONE) else 0.0
+    return asked
 
 
 class _Page:
@@ -108,6 +154,7 @@ class _Page:
     def __init__(self) -> None:
         self.tag: list[str] = ["#root"]
         self.parent: list[int] = [-1]
+        self.asks: dict[int, float] = {}                # text outside links that an element must hold to stay
         self.blocks: list[tuple[int, str, float]] = []  # (element, text, share of it in links)
         self._pieces: list[str] = []
         self._linked = 0
@@ -224,7 +271,11 @@ def _read(html: str) -> _Page:
             page.flush()
         if name in VOID:
             continue
-        dropped = dropped or _is_boilerplate(name, m["attrs"], articles > 0, open_tags["form"] > 0)
+        asked = 0.0
+        if not dropped:
+            in_heading = any(open_tags[h] for h in HEADINGS)
+            asked = _asks(name, m["attrs"], articles > 0, open_tags["form"] > 0, in_heading)
+            dropped = asked == GONE
         if name in RAW:
             close = re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I).search(html, at)
             if close is None:
@@ -240,6 +291,8 @@ def _read(html: str) -> _Page:
             page.text(" ", block_of[-1], False)
         blocklike = name in BLOCK
         element = stack[-1][1] if dropped else (page.open(name, block_of[-1]) if blocklike else stack[-1][1])
+        if asked and not dropped:
+            page.asks[element] = asked
         stack.append((name, element, dropped))
         open_tags[name] += 1
         block_of.append(element if blocklike and not dropped else block_of[-1])
@@ -292,6 +345,25 @@ class _Scores:
         return 1.0 - self.link_len[i] / self.text_len[i]
 
 
+def _without_doubtful(page: _Page) -> list[tuple[int, str, float]]:
+    """The blocks outside of elements that hold less text than they must, or mostly links."""
+    n = len(page.tag)
+    text_len, link_len = [0.0] * n, [0.0] * n
+    for element, text, linked in page.blocks:
+        text_len[element] += len(text)
+        link_len[element] += len(text) * linked
+    gone = [False] * n
+    for i in range(n - 1, 0, -1):
+        if i in page.asks:
+            gone[i] = text_len[i] - link_len[i] < page.asks[i] or link_len[i] >= LOW_DENSITY * text_len[i]
+        if not gone[i]:
+            text_len[page.parent[i]] += text_len[i]
+            link_len[page.parent[i]] += link_len[i]
+    for i in range(1, n):
+        gone[i] |= gone[page.parent[i]]
+    return [b for b in page.blocks if not gone[b[0]]]
+
+
 def _without_forms(page: _Page) -> list[tuple[int, str, float]]:
     """The blocks outside of forms that hold no article, main or best container."""
     n = len(page.tag)
@@ -319,6 +391,8 @@ def extract_text(html: str | None) -> str:
     if not html:
         return ""
     page = _read(html)
+    if page.asks:
+        page.blocks = _without_doubtful(page)
     if "form" in page.tag:
         page.blocks = _without_forms(page)
     if not page.blocks:

@@ -98,6 +98,29 @@ def test_forms_around_and_beside_the_text(page):
     assert extract_text(page) == FORMS[page]
 
 
+LINKS = f"<ul><li><a href=1>{LONG}</a><li><a href=2>{LONG}</a></ul>"
+NAMES = {
+    f"<article><h2 id='Legal_status'>T</h2><p>{LONG}</p><h2><span id=Discussion>D</span></h2><p>{LONG}</p></article>": f"T\n{LONG}\nD\n{LONG}",
+    f"<main><section id='related-work'><p>{LONG}</p></section><section id='discussion'><h2>D</h2><p>We agree.</p></section></main>": f"{LONG}\nD\nWe agree.",
+    f"<article><p>{LONG}</p><section id='social-impact'><p>{LONG}</p></section></article>": f"{LONG}\n{LONG}",
+    f"<article><p>{LONG}</p><div id='advertising-history'><p>{LONG}</p></div></article>": f"{LONG}\n{LONG}",
+    f"<article><p>{LONG}</p><div class='legal-status'><p>{LONG}</p></div></article>": f"{LONG}\n{LONG}",
+    f"<article><p>{LONG}</p><div class=notice><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div></article>": "\n".join([LONG] * 4),
+    f"<div><h2 id=legal>T</h2>{SIX}<section id='discussion'><p>{LONG}</p></section></div>": f"T\n{TEXT}\n{LONG}",
+    f"<div>{SIX}<div id='advertising-history'>{SIX}</div></div>": f"{TEXT}\n{TEXT}",
+    # Still left out.
+    f"<article><p>{LONG}</p><div id=comments><p>{LONG}</p></div><div class=ad><p>{LONG}</p></div><div class='comment reply'>{SIX}</div></article>": LONG,
+    f"<article><p>{LONG}</p><section id=related>{LINKS}</section><div class='related-work'>{LINKS}</div><div class=social>Follow us</div></article>": LONG,
+    f"<article><p>{LONG}</p><div class='cookie-bar'><p>{LONG}</p></div><div class='share-buttons'>Share</div><div id=cookieNotice>{LONG[:20]}</div></article>": LONG,
+    f"<div>{SIX}<div id='share-bar'><p>{LONG}</p></div><div class='legal-links'>{LONG}</div><h2 class=ad-title>x</h2></div>": TEXT,
+}
+
+
+@pytest.mark.parametrize("page", list(NAMES), ids=range(len(NAMES)))
+def test_names_that_may_be_subjects(page):
+    assert extract_text(page) == NAMES[page]
+
+
 @pytest.mark.parametrize("page", ["<div>" * 30_000 + "x", "<" * 50_000, "<a " * 30_000, '<p a="' * 10_000, "<p>" * 50_000 + "x",
                                   "<b>" * 30_000 + "x", "<li>" * 20_000 + "x", "<!-" * 30_000, "</div>" * 50_000, "&" * 100_000])
 def test_hostile_pages_take_linear_time(page):
