@@ -5,10 +5,9 @@ url's path starts with the rule's path, and the longest fitting rule decides.
 
 Other urls are judged by the tree of path templates of their host.  The
 segments of a path are generalised by shape (numbers, long hexadecimal
-strings); then, level by level from the root, a place with too many different
-children becomes a wildcard, and sibling branches that look alike (the same
-children below, the same smoothed share of blocked pages among the labelled
-ones) are merged.  A template is rejected if the share of blocked pages among
+strings); then, level by level from the root, sibling branches that look alike
+(the same children below or too many to tell, the same smoothed share of
+blocked pages among the labelled ones) are merged into one wildcard.  A template is rejected if the share of blocked pages among
 its labelled ones, smoothed towards one half, is high enough.  Labelled pages
 are those the explicit rules decide, unless a label column is given.
 
@@ -115,12 +114,11 @@ def _merge_level(tree: DataFrame, level: int) -> DataFrame:
         F.when(F.col("labelled") == 0, F.lit("none")).otherwise(F.round(4 * _purity(F.col("blocked"), F.col("labelled"))).cast("string")),
     )
     branches = branches.withColumn("look", look)
-    # Branches that look alike form one; a place with too many children is one wildcard per look.
+    # Branches that look alike form one wildcard, named by its first child, however many they are.
     alike = branches.groupBy("host", "prefix", "look").agg(F.count(F.lit(1)).alias("members"), F.min("child").alias("first"))
     named = branches.select("host", "prefix", "child", "look").join(alike, ["host", "prefix", "look"]).select(
         F.col("host").alias("h"), F.col("prefix").alias("p"), F.col("child").alias("c"),
-        F.when(F.col("members") > 1, F.concat(F.lit("*"), F.when(F.col("members") <= MAX_CHILDREN, F.concat(F.lit("~"), F.col("first")))
-                                              .otherwise(F.lit("")))).otherwise(F.col("child")).alias("name"),
+        F.when(F.col("members") > 1, F.concat(F.lit("*~"), F.col("first"))).otherwise(F.col("child")).alias("name"),
     )
     same = (F.col("host") == F.col("h")) & (prefix == F.col("p")) & (here == F.col("c"))
     joined = tree.join(named, same, "left")

@@ -67,6 +67,17 @@ def test_similar_branches_merge_and_others_do_not(spark):
     assert {got[i]["template"] for i in (1, 2, 3)} == {"/*~en/{n}"} and got[1]["verdict"] == "allow"
 
 
+def test_many_siblings_merge_by_look_too(spark):
+    """20 blocked and 30 allowed slugs under one parent: two wildcards, as with fewer of them."""
+    for blocked, allowed in ((20, 30), (5, 6), (20, 6)):
+        rows = [(1000 * i + k, f"http://h.com/p/s{chr(97 + i // 26)}{chr(97 + i % 26)}/{k}", None if k == 9 else "block" if i < blocked else "allow")
+                for i in range(blocked + allowed) for k in range(10)]
+        got = judge(spark.createDataFrame(rows, "page_id bigint, url string, label string"), label="label")
+        assert {(r["template"], r["verdict"]) for r in got if r["page_id"] < 1000 * blocked} == {("/p/*~saa/{n}", "block")}
+        first = f"s{chr(97 + blocked // 26)}{chr(97 + blocked % 26)}"
+        assert {(r["template"], r["verdict"]) for r in got if r["page_id"] >= 1000 * blocked} == {(f"/p/*~{first}/{{n}}", "allow")}
+
+
 def test_no_python_in_the_plan(spark):
     from tallyframe.plans.inspect import plan_text
 
