@@ -17,8 +17,9 @@ task; the levels work on those counts.
 
 Defined cases: a null url or one without ``://`` has an empty host and path and
 is allowed unless a rule says otherwise; repeated rows get equal verdicts;
-paths deeper than ``DEPTH`` share the template of their first segments; an
-empty table gives an empty result.  Results are one struct column.
+below the first ``DEPTH`` segments a branch is only followed if it has enough
+blocked pages for a template in it to be rejected, else its rest is one
+template; an empty table gives an empty result.  Results are one struct column.
 """
 
 from __future__ import annotations
@@ -38,7 +39,10 @@ DEPTH = 3
 MAX_CHILDREN = 16
 PRIOR_WEIGHT = 4.0
 REJECT_FROM = 0.75
+# Fewer blocked pages than this never reach REJECT_FROM, whatever the other pages are.
+NEEDED = PRIOR_WEIGHT * (REJECT_FROM - 0.5) / (1.0 - REJECT_FROM)
 REST = "**"
+TREE = ("host", "shape", "template", "n", "blocked", "labelled", "at")
 
 
 class Rule(NamedTuple):
@@ -79,25 +83,25 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Col
 
 
 def path_shape(path: Column) -> Column:
-    """Up to DEPTH generalised segments of a path, then REST if there are more."""
+    """The generalised segments of a path."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    shaped = F.transform(parts, lambda s: F.when(s.rlike(r"^[0-9a-fA-F-]{16,}$"), F.lit("{hex}")).otherwise(
+    return F.transform(parts, lambda s: F.when(s.rlike(r"^[0-9a-fA-F-]{16,}$"), F.lit("{hex}")).otherwise(
         F.regexp_replace(s, r"[0-9]+", "{n}")))
-    return F.when(F.size(shaped) > DEPTH, F.concat(F.slice(shaped, 1, DEPTH), F.array(F.lit(REST)))).otherwise(shaped)
 
 
 def _purity(blocked: Column, labelled: Column) -> Column:
     return (blocked + F.lit(PRIOR_WEIGHT * 0.5)) / (labelled + F.lit(PRIOR_WEIGHT))
 
 
-def _merge_level(tree: DataFrame, level: int) -> DataFrame:
+def _merge_level(tree: DataFrame, level: Column) -> DataFrame:
     """``tree`` with the segments at one level made wildcards or merged.
 
-    ``tree``: (host, shape, template, n, blocked, labelled), where ``template``
-    already is final above this level.
+    ``tree``: (host, shape, template, n, blocked, labelled, at), where
+    ``template`` already is final above this level; rows whose level is null
+    are final.
     """
-    here, below = F.get("template", F.lit(level)), F.coalesce(F.get("template", F.lit(level + 1)), F.lit(""))
-    prefix = F.array_join(F.slice("template", 1, level), "/")
+    here, below = F.get("template", level), F.coalesce(F.get("template", level + 1), F.lit(""))
+    prefix = F.array_join(F.slice("template", F.lit(1), level), "/")
     nodes = tree.filter(here.isNotNull() & (here != REST)).select(
         "host", prefix.alias("prefix"), here.alias("child"), below.alias("below"), "n", "blocked", "labelled"
     )
@@ -123,13 +127,36 @@ def _merge_level(tree: DataFrame, level: int) -> DataFrame:
     same = (F.col("host") == F.col("h")) & (prefix == F.col("p")) & (here == F.col("c"))
     joined = tree.join(named, same, "left")
     renamed = F.transform("template", lambda s, i: F.when((i == level) & F.col("name").isNotNull(), F.col("name")).otherwise(s))
-    return joined.withColumn("template", renamed).select("host", "shape", "template", "n", "blocked", "labelled")
+    return joined.withColumn("template", renamed).select(*TREE)
+
+
+def _next_branch(tree: DataFrame) -> DataFrame:
+    """``tree`` with ``at`` moved to the next segment in which templates of one prefix differ.
+
+    ``at``: number of leading segments that are final.  It becomes null where
+    the whole template is: nothing follows, or all templates below the prefix
+    are one, or the prefix has too few blocked pages for any template below it
+    to be rejected, so that the rest of it is REST.
+    """
+    is_open = F.col("at") < F.size("template")
+    prefix = F.when(is_open, F.array_join(F.slice("template", F.lit(1), F.col("at")), "/"))
+    groups = tree.filter(is_open).groupBy(F.col("host").alias("h"), prefix.alias("p")).agg(
+        F.sum("blocked").alias("b"), F.min("template").alias("low"), F.max("template").alias("high"),
+    )
+    # What the least and the greatest template share at their start, all of them share.
+    differ = F.array_position(F.zip_with("low", "high", lambda x, y: x.eqNullSafe(y)), F.lit(False)).cast("int")
+    groups = groups.select("h", "p", (F.col("b") < NEEDED).alias("rest"), F.when(differ > 0, differ - 1).alias("next"))
+    joined = tree.join(groups, (F.col("host") == F.col("h")) & (prefix == F.col("p")), "left")
+    cut = F.concat(F.slice("template", F.lit(1), F.col("at")), F.array(F.lit(REST)))
+    return joined.withColumn("template", F.when(F.col("rest"), cut).otherwise(F.col("template"))).withColumn(
+        "at", F.when(~F.col("rest"), F.col("next"))).select(*TREE)
 
 
 def template_table(pages: DataFrame, host: str, shape: str, verdict: str) -> DataFrame:
     """``(host, shape, template, rejected, purity, n)`` for every generalised path.
 
     Checkpointed after each level: a level reads the one before it twice.
+    Below DEPTH, a level is the next place where templates of one prefix differ.
     """
     ensure_checkpoint_dir(pages.sparkSession)
     known = F.col(verdict).isNotNull()
@@ -138,9 +165,13 @@ def template_table(pages: DataFrame, host: str, shape: str, verdict: str) -> Dat
         F.sum((F.col(verdict) == "block").cast("bigint")).alias("blocked"),
         F.sum(known.cast("bigint")).alias("labelled"),
     ).withColumn("blocked", F.coalesce("blocked", F.lit(0))).withColumn("template", F.col("shape"))
-    tree = tree.select("host", "shape", "template", "n", "blocked", "labelled").checkpoint()
+    tree = tree.withColumn("at", F.lit(DEPTH)).select(*TREE).checkpoint()
     for level in range(DEPTH):
-        tree = _merge_level(tree, level).checkpoint()
+        tree = _merge_level(tree, F.lit(level)).checkpoint()
+    while not tree.filter(F.col("at") < F.size("template")).isEmpty():
+        tree = _next_branch(tree).checkpoint()
+        if not tree.filter(F.col("at").isNotNull()).isEmpty():
+            tree = _merge_level(tree, F.col("at")).withColumn("at", F.col("at") + 1).checkpoint()
     totals = tree.groupBy("host", "template").agg(
         F.sum("n").alias("n"), F.sum("blocked").alias("b"), F.sum("labelled").alias("l")
     ).withColumn("purity", _purity(F.col("b"), F.col("l")))

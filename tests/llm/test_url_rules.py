@@ -78,6 +78,28 @@ def test_many_siblings_merge_by_look_too(spark):
         assert {(r["template"], r["verdict"]) for r in got if r["page_id"] >= 1000 * blocked} == {(f"/p/*~{first}/{{n}}", "allow")}
 
 
+def test_deep_branches_are_judged_apart(spark):
+    """Spam below the first three segments is told from clean pages of the same dates, and the reverse."""
+    rows = []
+    for i in range(40):
+        day = f"20{i % 20 + 10}/05/{i % 28 + 1}"
+        rows.append((i, f"http://h.com/{day}/sponsored/x{i}", "block" if i < 30 else None))
+        rows.append((100 + i, f"http://h.com/{day}/news/x{i}", "allow" if i < 20 else None))
+        rows.append((200 + i, f"http://h.com/{day}/a/b/c/d/spam/{i}/{i}", "block" if i < 30 else None))
+        rows.append((300 + i, f"http://h.com/{day}/a/b/c/d/ham/{i}/{i}", None))
+        rows.append((400 + i, f"http://clean.com/{day}/news/x{i}", "allow" if i < 20 else None))
+    # Two branches that part after very many segments need no more rounds than others.
+    deep = "f/" * 2000
+    rows += [(500 + i, f"http://d.com/{deep}{'xy'[i % 2]}/{i}", "block" if i % 2 else "allow") for i in range(40)]
+    got = {r["page_id"]: r for r in judge(spark.createDataFrame(rows, "page_id bigint, url string, label string"), label="label")}
+    assert len(got) == len(rows)
+    for start, verdict in ((0, "block"), (100, "allow"), (200, "block"), (300, "allow"), (400, "allow")):
+        assert {got[start + i]["verdict"] for i in range(40)} == {verdict}
+    assert got[0]["template"] == "/{n}/{n}/{n}/sponsored/x{n}" and got[200]["template"] == "/{n}/{n}/{n}/a/b/c/d/spam/{n}/{n}"
+    assert got[400]["template"] == "/{n}/{n}/{n}/**"
+    assert {got[500 + i]["verdict"] for i in range(1, 40, 2)} == {"block"} and {got[500 + i]["verdict"] for i in range(0, 40, 2)} == {"allow"}
+
+
 def test_no_python_in_the_plan(spark):
     from tallyframe.plans.inspect import plan_text
 
