@@ -17,6 +17,7 @@ from tallyframe.llm import (
     html_extract,
     jaccard_join,
     language_id,
+    lexical_search,
     mixing,
     quality_rules,
     sharding,
@@ -115,6 +116,12 @@ def op10_quality_rules(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op12_lexical_search(spark: SparkSession, root: str) -> DataFrame:
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    items = read_table(spark, root, "benchmark").select("item_id", "text")
+    return lexical_search.search(docs, items)
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_url_filters": op2_url_filters,
@@ -126,11 +133,13 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op12_lexical_search": op12_lexical_search,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 _BENCH_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 def _url_level(level: int) -> str:
@@ -311,5 +320,36 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        failures & 3 <> 0 AS base_failed, failures = 0 AS kept, failures
 FROM b
+""",
+    "op12_lexical_search": rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER_AZ}, '{_TERMS}') AS w FROM documents
+), i AS (
+    SELECT row_number() OVER () AS item, item_id, regexp_extract_all({_LOWER_AZ}, '{_TERMS}') AS w
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), totals AS (
+    SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0
+), q AS (
+    SELECT item, item_id, t, count(*) AS c FROM (SELECT item, item_id, unnest(w) AS t FROM i) GROUP BY ALL
+), tf AS (
+    SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS t FROM d)
+    WHERE t IN (SELECT t FROM q) GROUP BY ALL
+), w AS (
+    SELECT t, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM tf, totals GROUP BY t
+), s AS (
+    SELECT item, item_id, r, doc_id,
+           sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))))::BIGINT AS score,
+           any_value(100 - 25 + (25 * n * n_docs) // n_terms)::BIGINT AS m
+    FROM tf JOIN q USING (t) JOIN w USING (t), totals GROUP BY ALL
+), bags AS (
+    SELECT r, string_agg(t || ' ' || tf, ' ' ORDER BY t) || ' ' || (100 - 25 + (25 * any_value(n) * any_value(n_docs)) // any_value(n_terms)) AS bag
+    FROM tf, totals GROUP BY r
+), sizes AS (
+    SELECT r, count(*) OVER (PARTITION BY bag) AS members FROM bags
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score, members FROM ranked JOIN sizes USING (r) WHERE rank <= 20
 """,
 }
