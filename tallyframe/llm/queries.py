@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm import (
     decontaminate,
+    hard_negatives,
     html_extract,
     jaccard_join,
     language_id,
     lexical_search,
     mixing,
     quality_rules,
+    sanitise,
     sharding,
     token_counts,
     toxicity,
@@ -116,12 +118,31 @@ def op10_quality_rules(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op11_pii_sanitisation(spark: SparkSession, root: str) -> DataFrame:
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    out, info = sanitise.with_spans(docs)
+    base, spans = F.col(info)["base"], F.col(info)["spans"]
+    n = lambda of, kind: F.size(F.filter(of, lambda s: s["kind"] == kind)).cast("bigint")
+    return out.select(
+        "doc_id", *[n(base, k.name).alias(f"n_{k.name}") for k in sanitise.KINDS],
+        F.sha2(sanitise.listed(base).cast("binary"), 256).alias("base_sha256"), sanitise.listed(spans).alias("spans"),
+        n(spans, sanitise.TERM).alias("n_terms"),
+    )
+
+
 def op12_lexical_search(spark: SparkSession, root: str) -> DataFrame:
     docs = read_table(spark, root, "documents").select("doc_id", "text")
     items = read_table(spark, root, "benchmark").select("item_id", "text")
     return lexical_search.search(docs, items)
 
 
+def op13_hard_negatives(spark: SparkSession, root: str) -> DataFrame:
+    vectors = read_table(spark, root, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.clean_rows(vectors, "vec_id", label, "embedding")
+    return hard_negatives.mine(rows, rows.filter(F.col("id") % 100 == 0))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_url_filters": op2_url_filters,
@@ -133,7 +154,9 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op11_pii_sanitisation": op11_pii_sanitisation,
     "op12_lexical_search": op12_lexical_search,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -142,6 +165,33 @@ _BENCH_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# The patterns of personal data, and what a match must satisfy to count.
+_PRIVATE = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "TRUE", "lower(value)"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "len([x FOR x IN string_split(value, '.') IF x::HUGEINT > 255]) = 0", "value"),
+    ("card", r"[0-9]([\x20-]?[0-9])+", """length(digits) BETWEEN 12 AND 19 AND list_sum([
+        CASE WHEN i % 2 = 1 THEN digits[-i]::INT WHEN digits[-i]::INT > 4 THEN 2 * digits[-i]::INT - 9 ELSE 2 * digits[-i]::INT END
+        FOR i IN range(1, length(digits) + 1)]) % 10 = 0""", "digits"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(digits) BETWEEN 9 AND 15", "digits"),
+)
+
+
+def _matches(rows: str, text: str, pattern: str) -> str:
+    """r, start and value of every match of a pattern in the texts of ``rows``."""
+    return f"""
+    SELECT r, v[i] AS value, regexp_replace(v[i], '[^0-9]', '', 'g') AS digits,
+           (list_sum([length(x) FOR x IN b[1:i]]) + coalesce(list_sum([length(x) FOR x IN v[1:i - 1]]), 0))::INT AS start
+    FROM (SELECT r, regexp_extract_all({text}, '{pattern}') AS v, string_split_regex({text}, '{pattern}') AS b FROM {rows}),
+         unnest(range(1, len(v) + 1)) AS u(i)"""
+
+
+_BASE_SPANS = " UNION ALL ".join(
+    f"SELECT r, {place} AS place, '{kind}' AS kind, start, start + length(value) AS stop, '{kind}:' || {entity} AS entity "
+    f"FROM ({_matches('t', 'text', pattern)}) WHERE {holds}"
+    for place, (kind, pattern, holds, entity) in enumerate(_PRIVATE)
+)
+
+
 def _url_level(level: int) -> str:
     """The tree of path templates with one more level merged: table t<level + 1> from t<level>."""
     return f"""
@@ -320,6 +370,54 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        failures & 3 <> 0 AS base_failed, failures = 0 AS kept, failures
 FROM b
+""",
+    "op11_pii_sanitisation": rf"""
+WITH t AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {_LOWER_AZ} AS lower FROM documents
+), base AS (
+    {_BASE_SPANS}
+), held AS (
+    SELECT * FROM t WHERE r IN (SELECT r FROM base)
+), marks AS (
+    SELECT r, start, 0 AS o, stop, NULL::VARCHAR AS term, entity FROM base
+    UNION ALL
+    SELECT r, start, 1, start + length(value), value, NULL FROM ({_matches('held', 'lower', _TERMS)})
+), kept AS (
+    SELECT * FROM (
+        SELECT *, coalesce(max(CASE WHEN entity IS NOT NULL THEN stop END) OVER (w ROWS UNBOUNDED PRECEDING) > start, FALSE)
+               OR coalesce(lead(CASE WHEN entity IS NOT NULL THEN start END) OVER w < stop, FALSE) AS touched
+        FROM marks WINDOW w AS (PARTITION BY r ORDER BY start, o, stop, entity))
+    WHERE entity IS NOT NULL OR NOT touched
+), near AS (
+    SELECT r, term, list_distinct(coalesce(list(entity) FILTER (WHERE entity IS NOT NULL) OVER (
+               PARTITION BY r ORDER BY start, o, stop, entity ROWS BETWEEN 8 PRECEDING AND 8 FOLLOWING), [])) AS entities
+    FROM kept
+), beside AS (
+    SELECT entity, term, count(*) AS n_beside, count(DISTINCT text) AS n_texts
+    FROM (SELECT r, term, unnest(entities) AS entity FROM near WHERE term IS NOT NULL) JOIN t USING (r) GROUP BY ALL
+), mass AS (
+    SELECT entity, sum(n_beside) AS n_entity FROM beside GROUP BY entity
+), counts AS (
+    SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower, '{_TERMS}')) AS term FROM t) GROUP BY term
+), total AS (
+    SELECT sum(n)::DOUBLE AS n_words FROM counts
+), telling AS (
+    SELECT entity, term FROM beside JOIN counts USING (term) JOIN mass USING (entity), total
+    WHERE n_texts >= 3 AND n_entity < n_words AND 1 - ln(n_beside::DOUBLE / n) / ln(n_entity::DOUBLE / n_words) >= 0.9
+), spans AS (
+    SELECT r, start, place, kind, stop FROM base
+    UNION ALL
+    SELECT DISTINCT r, start, 4, 'term', stop FROM kept JOIN telling USING (term)
+    WHERE (r, telling.entity) IN (SELECT (r, entity) FROM base)
+), listed AS (
+    SELECT r, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans,
+           string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) FILTER (WHERE place < 4) AS base,
+           {', '.join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in ('email', 'ip', 'card', 'phone', 'term'))}
+    FROM spans GROUP BY r
+)
+SELECT doc_id, {', '.join(f"coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k in ('email', 'ip', 'card', 'phone'))},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_term, 0)::BIGINT AS n_terms
+FROM t LEFT JOIN listed USING (r)
 """,
     "op12_lexical_search": rf"""
 WITH d AS (
@@ -351,5 +449,29 @@ WITH d AS (
     SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0
 )
 SELECT item_id, rank::INT AS rank, doc_id, score, members FROM ranked JOIN sizes USING (r) WHERE rank <= 20
+""",
+    "op13_hard_negatives": """
+WITH e AS (
+    SELECT DISTINCT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::INT AS label,
+           [floor(256 * v::DOUBLE)::BIGINT::DOUBLE FOR v IN embedding] AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len([v FOR v IN embedding IF v IS NULL OR NOT isfinite(v::DOUBLE)]) = 0
+), a AS (
+    SELECT row_number() OVER () AS q, * FROM e WHERE vec_id % 100 = 0
+), s AS (
+    SELECT q, a.vec_id AS anchor_id, e.vec_id, a.label = e.label AS same, list_dot_product(a.x, e.x)::BIGINT AS score
+    FROM a JOIN e ON a.vec_id IS DISTINCT FROM e.vec_id
+), p AS (
+    SELECT q, anchor_id, vec_id AS positive_id, score AS positive_score,
+           row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id NULLS LAST) AS place
+    FROM s WHERE same
+), n AS (
+    SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+           row_number() OVER (PARTITION BY p.q, p.place ORDER BY s.score DESC, s.vec_id NULLS LAST) AS rank
+    FROM p JOIN s ON p.q = s.q AND NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+    WHERE p.place <= 5
+)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """,
 }

@@ -1,0 +1,180 @@
+"""Personal data: patterns against plain regular expressions, and terms against counted co-occurrence."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyframe.llm import sanitise as sa
+
+PLAIN = [
+    ("email", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")),
+    ("ip", re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")),
+    ("card", re.compile(r"[0-9]([\x20-]?[0-9])+")),
+    ("phone", re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")),
+]
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def luhn(d):
+    total = 0
+    for i, c in enumerate(reversed(d)):
+        v = int(c) * (1 + i % 2)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def base(text):
+    out = []
+    for place, (kind, pattern) in enumerate(PLAIN):
+        for m in pattern.finditer(text or ""):
+            v = m.group(0)
+            d = re.sub("[^0-9]", "", v)
+            if kind == "ip" and any(int(x) > 255 for x in v.split(".")):
+                continue
+            if kind == "card" and not (12 <= len(d) <= 19 and luhn(d)):
+                continue
+            if kind == "phone" and not 9 <= len(d) <= 15:
+                continue
+            entity = kind + ":" + (v.lower() if kind == "email" else v if kind == "ip" else d)
+            out.append((m.start(), place, m.end(), kind, entity))
+    return sorted(out)
+
+
+def brute(texts, threshold=0.9, min_texts=3, span_words=8):
+    lower = lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+    counts = Counter(w for t in texts for w in TERM.findall(lower(t)))
+    beside, seen_in, kept = Counter(), defaultdict(set), {}
+    for text, copies in Counter(texts).items():
+        spans = base(text)
+        if not spans:
+            continue
+        words = [(m.start(), 1, m.end(), m.group(0), "") for m in TERM.finditer(lower(text))]
+        words = [w for w in words if not any(s < w[2] and w[0] < e for s, _, e, _, _ in spans)]
+        marks = sorted([(s, 0, e, None, entity) for s, _, e, _, entity in spans] + words, key=lambda x: (x[0], x[1], x[2], x[4]))
+        kept[text] = marks
+        for i, mark in enumerate(marks):
+            if mark[3] is not None:
+                for entity in {x[4] for x in marks[max(0, i - span_words):i + span_words + 1] if x[3] is None}:
+                    beside[entity, mark[3]] += copies
+                    seen_in[entity, mark[3]].add(text)
+    mass, total = Counter(), sum(counts.values())
+    for (entity, _), n in beside.items():
+        mass[entity] += n
+    telling = defaultdict(set)
+    for (entity, term), n in beside.items():
+        if len(seen_in[entity, term]) >= min_texts and mass[entity] < total:
+            if 1 - math.log(n / counts[term]) / math.log(mass[entity] / total) >= threshold:
+                telling[term].add(entity)
+    out = {}
+    for text in texts:
+        spans = [(s, p, e, k) for s, p, e, k, _ in base(text)]
+        held = {x[4] for x in kept.get(text, ()) if x[3] is None}
+        spans += [(s, 4, e, "term") for s, o, e, term, _ in kept.get(text, ()) if o and telling.get(term, set()) & held]
+        out[text] = ",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(spans))
+    return out
+
+
+def spans(spark, texts, **options):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    out, name = sa.with_spans(df, **options)
+    return {r[0]: r[1] for r in out.select("doc_id", sa.listed(F.col(name)["spans"])).collect()}
+
+
+HOSTILE = [
+    "a@b.c", "a@b.com_x@y.com", "x.a@b.c.d@e.f", "@a.b", "a@b", "é90@mail.com", "a@b..c", "A%+-._@-.-", "a@b@c.d", "p@q.r.s@t.u.v",
+    "1.2.3.4.5.6.7.8", "256.1.1.1 1.1.1.256", "0001.00255.3.4", "1.2.3", "1..2.3.4.5", "12.1.2.3.x.4.5.6.7", "99999999999999999999.1.1.1",
+    "4952935900253052", "4952 9359-0025 3052", "4952  9359 0025 3052", "4952935900253053", "49529359002530524952935900253052",
+    "1 2 3 4 5 6 7 8 9 0 1 2 3", "0000000000000", "x4952935900253052y", "-4952935900253052-", "4952935900253052 1", "4 495293590025305 2",
+    "+1 (017) 555-7713", "+1+2+333 444 555 666", "+12345678", "+1234567890123456", "+1 ()..--  2", "++491512345678", "+4 9.1.2.3.4567890",
+    "tel +49 30 1234567, card 4952935900253052, a@b.de 10.0.0.1", "😀 a@b.de 😀 10.0.0.1 Ünïcode", "", None, "plain words only",
+]
+
+
+def test_patterns_equal_the_plain_ones(spark):
+    rng = random.Random(1)
+    alphabet = "aZ09.@+-() _%é1234567890123 4 5"
+    texts = HOSTILE + ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 80))) for _ in range(400)]
+    got = spans(spark, texts, min_texts=10 ** 6)
+    for i, text in enumerate(texts):
+        assert got[i] == ",".join(f"{k}:{s}:{e}" for s, _, e, k, _ in base(text)), text
+
+
+def test_long_runs_cost_neither_stack_nor_quadratic_time(spark):
+    # The plain patterns take quadratic time here, so the results are written down.
+    want = {"a" * 300_000: "", "a@" + "b." * 100_000 + "c": "email:0:200003", "1" * 300_000: "", "1 " * 150_000: "",
+            "1." * 40_000 + "1": ",".join(f"ip:{i}:{i + 7}" for i in range(0, 79_994, 8)), "+" + "1 " * 100_000: "",
+            "a@b.cc " * 5_000: ",".join(f"email:{i}:{i + 6}" for i in range(0, 35_000, 7))}
+    got = spans(spark, list(want), min_texts=10 ** 6)
+    for i, text in enumerate(want):
+        assert got[i] == want[text], text[:20]
+
+
+def corpus(seed=2):
+    rng = random.Random(seed)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    fill = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    people = [("Quentin Zabriskie", "qz@mail.example.com"), ("Ólafur Þórsson", "+354 555 012 3456"), ("Ms Kowalczyk", "10.20.30.40")]
+    texts = []
+    for i in range(60):
+        name, contact = people[i % 3]
+        texts.append(f"{fill(rng.randint(0, 30))} {name if i % 4 else ''} {contact}, {fill(20)} {name} {fill(rng.randint(0, 9))}")
+    texts += [fill(rng.randint(1, 60)) for _ in range(200)]
+    texts += ["Ms Robinson wrote to Ms Smith " + fill(5) for _ in range(30)]
+    texts += ["secretword once xy@example.org " + fill(8)] * 40
+    rng.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("options", [{}, {"threshold": 0.6, "span_words": 2}, {"min_texts": 1}])
+def test_terms_equal_counted_co_occurrence(spark, options):
+    texts = [*corpus(), *HOSTILE]
+    want = brute(texts, **options)
+    got = spans(spark, texts, **options)
+    assert {i: want[t] for i, t in enumerate(texts)} == got
+    # In so small a corpus an entity's words are no small share of all, so the default threshold is hard to reach.
+    assert sum("term" in s for s in got.values()) > (30 if options else -1)
+
+
+def test_names_go_with_their_entity_and_common_words_stay(spark):
+    texts = corpus()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    out = {r["doc_id"]: r["text"] for r in sa.sanitised(df, threshold=0.7).collect()}
+    for i, text in enumerate(texts):
+        if "example.com" in text:
+            assert "Zabriskie" not in out[i] and "Quentin" not in out[i] and "[email]" in out[i]
+        if "10.20.30.40" in text:
+            assert "Kowalczyk" not in out[i] and "[ip]" in out[i]
+        if "Robinson" in text:
+            assert out[i] == text
+        if "secretword" in text:  # one text and its copies are no evidence
+            assert "secretword" in out[i]
+
+
+def test_copies_and_many_spans_in_one_text(spark):
+    many = " ".join(f"u{i}@x.org" for i in range(1500))
+    assert spans(spark, [many] * 3 + ["clean"]) == {**dict.fromkeys(range(3), brute([many])[many]), 3: ""}
+
+
+def test_broadcast_and_shuffle_of_the_counted_terms_agree(spark, monkeypatch):
+    texts = corpus(3)
+    want = spans(spark, texts)
+    monkeypatch.setattr(sa, "checked_broadcast", lambda df: df)
+    assert spans(spark, texts) == want
+
+
+def test_defined_cases(spark, make_docs):
+    empty = spark.createDataFrame([], "doc_id bigint, text string")
+    assert sa.with_spans(empty)[0].count() == 0
+    docs = make_docs([(1, "a@b.de x"), (None, "a@b.de x"), (1, "a@b.de x"), (2, None)], clashing=True)
+    docs = docs.select("*", *[F.lit(1).alias(c) for c in ("private_spans", "base", "k1", "term", "entity", "_base_x", "start")])
+    out, name = sa.with_spans(docs)
+    assert name == "private_spans_" and out.columns == [*docs.columns, name]
+    assert sorted((r[0] or 0, r[1]) for r in out.select("doc_id", sa.listed(F.col(name)["spans"])).collect()) == [
+        (0, "email:0:6"), (1, "email:0:6"), (1, "email:0:6"), (2, "")]
+    assert out.select(docs.columns).exceptAll(docs).count() == 0
