@@ -16,6 +16,7 @@ from tallyframe.schemas import LONG, DOUBLE, struct_of
 from tallyframe.session import scratch_path
 from tallyframe.sinks.files import write_parquet
 from tallyframe.sources.csv import read_csv_text, read_csv_typed, write_csv
+from tallyframe.sources.inference import inference_report, read_csv_inferred
 from tallyframe.sources.memory import replicate
 from tallyframe.sources.tables import read_table, table_path
 
@@ -23,6 +24,8 @@ ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice"]
 ORDER_CSV_SCHEMA = struct_of(("o_orderkey", LONG), ("o_custkey", LONG), ("o_totalprice", DOUBLE))
 # Fixed value: copies of each customer row in the replication query.
 REPLICATION_FACTOR = 4
+# Share of a column's filled cells that its inferred type may reject.
+INFERENCE_TOLERANCE = 0.05
 
 
 def _orders_as_csv(spark: SparkSession, root: str) -> str:
@@ -45,6 +48,31 @@ def q_csv_scan_typed(spark: SparkSession, root: str) -> DataFrame:
     return read_csv_typed(spark, _orders_as_csv(spark, root), ORDER_CSV_SCHEMA)
 
 
+def _dirty_orders_as_csv(spark: SparkSession, root: str) -> str:
+    """Orders with a spoilt cell in every 50th price and every 40th date, and an empty cell in every 30th status."""
+    key = F.col("o_orderkey")
+    rows = read_table(spark, root, "orders").select(
+        "o_orderkey", (key * 3_000_000_000).alias("wide_key"), "o_custkey",
+        F.when(key % 30 != 0, F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(key % 50 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(key % 40 == 0, "unknown").otherwise(F.to_date("o_orderdate").cast("string")).alias("o_orderdate"),
+        (key % 2 == 0).alias("even"),
+    )
+    return write_csv(rows, scratch_path(spark, "dirty-orders-csv"))
+
+
+def q_csv_scan_inferred(spark: SparkSession, root: str) -> DataFrame:
+    """Dirty orders through CSV under inferred types, 5% of a column's cells tolerated."""
+    rows, _ = read_csv_inferred(spark, _dirty_orders_as_csv(spark, root), INFERENCE_TOLERANCE)
+    return rows.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy/MM/dd"))
+
+
+def q_csv_inference_report(spark: SparkSession, root: str) -> DataFrame:
+    """The types found in the dirty orders' CSV, and how many cells each rejects."""
+    _, facts = read_csv_inferred(spark, _dirty_orders_as_csv(spark, root), INFERENCE_TOLERANCE)
+    return inference_report(spark, facts, INFERENCE_TOLERANCE)
+
+
 def q_replicate_rows(spark: SparkSession, root: str) -> DataFrame:
     """Customers replicated ``REPLICATION_FACTOR`` times, counted by segment."""
     customers = read_table(spark, root, "customer").select("c_mktsegment")
@@ -71,6 +99,8 @@ def q_parquet_overwrite(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     "csv_scan_text": q_csv_scan_text,
     "csv_scan_typed": q_csv_scan_typed,
+    "csv_scan_inferred": q_csv_scan_inferred,
+    "csv_inference_report": q_csv_inference_report,
     "replicate_rows": q_replicate_rows,
     "sales_report": q_sales_report,
     "parquet_overwrite": q_parquet_overwrite,
@@ -81,6 +111,28 @@ _ORDERS_3 = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"
 ORACLE_SQL = {
     "csv_scan_text": _ORDERS_3,
     "csv_scan_typed": _ORDERS_3,
+    "csv_scan_inferred": """
+SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderkey * 3000000000 AS wide_key, CAST(o_custkey AS INTEGER) AS o_custkey,
+       CASE WHEN o_orderkey % 30 <> 0 THEN o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 50 <> 0 THEN o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey % 40 <> 0 THEN strftime(o_orderdate, '%Y/%m/%d') END AS o_orderdate,
+       o_orderkey % 2 = 0 AS even
+FROM orders
+""",
+    "csv_inference_report": """
+WITH n AS (
+    SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE o_orderkey % 50 = 0) AS bad_price,
+           COUNT(*) FILTER (WHERE o_orderkey % 40 = 0) AS bad_date, COUNT(*) FILTER (WHERE o_orderkey % 30 = 0) AS no_status,
+           MAX(o_orderkey) <= 2147483647 AS small_keys, MAX(o_orderkey) * 3000000000 <= 2147483647 AS small_wide
+    FROM orders
+)
+SELECT "column", type, n AS n_rows, filled, rejected
+FROM n, LATERAL (VALUES
+    ('o_orderkey', CASE WHEN small_keys THEN 'int' ELSE 'bigint' END, n, 0),
+    ('wide_key', CASE WHEN small_wide THEN 'int' ELSE 'bigint' END, n, 0),
+    ('o_custkey', 'int', n, 0), ('o_orderstatus', 'string', n - no_status, 0), ('o_totalprice', 'double', n, bad_price),
+    ('o_orderdate', 'date', n, bad_date), ('even', 'boolean', n, 0)) AS v("column", type, filled, rejected)
+""",
     "replicate_rows": """
 SELECT c_mktsegment, 4 * COUNT(*) AS n
 FROM customer

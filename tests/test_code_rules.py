@@ -24,6 +24,7 @@ FORBIDDEN = [r"\budf\(", r"pandas_udf", r"\.rdd\b", r"crossJoin", r"localCheckpo
 # Each returns exactly one row: a global aggregate or a one-row SQL query.
 ONE_ROW_FIRST = {
     "plans/streams.py": 1,      # min/max of the event time
+    "sources/inference.py": 1,  # counts of all cells by type
     "operators/joins.py": 1,    # rows and bytes of a dimension
     "sources/jdbc.py": 1,       # MIN/MAX bounds query
     "sinks/jdbc.py": 1,         # COUNT(*) of the staging table
