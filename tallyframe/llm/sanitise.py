@@ -16,7 +16,8 @@ general word in their place, or nothing from ``REMOVE`` on.  The evidence must
 come from ``MIN_TEXTS`` different texts, so a text's copies do not make its
 words telling.  Texts without an entity have no spans.
 
-All work is built-in expressions, joins, aggregates and windows.  Patterns are
+All work is built-in expressions, joins, aggregates and windows.  A text that
+cannot hold a match is told by one look and left alone.  Patterns are
 possessive and start only where a run of their characters starts, so long runs
 cost neither stack nor quadratic time; they match what the plain patterns match.
 Texts are grouped by two 64-bit hashes, so copies are worked on once; a term
@@ -63,6 +64,8 @@ KINDS = (
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
 )
 TERM = "term"
+# Every text with a match of a pattern that counts holds one of these, found in one look.
+HINT = r"@|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|\+[0-9]|[0-9](?:[\x20-]?[0-9]){11}"
 
 
 def _no(kind: str) -> Column:
@@ -145,13 +148,20 @@ def _key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("second"), text).alias("k2")]
 
 
-def _texts(marked: DataFrame, text: str, base: str) -> DataFrame:
+def _may_hold(text: Column) -> Column:
+    return F.coalesce(text.rlike(HINT), F.lit(False))
+
+
+def _texts(docs: DataFrame, text: str) -> DataFrame:
     """``(k1, k2, text, base, copies)`` of every different text that has an entity, stored."""
-    path = scratch_path(marked.sparkSession, "sanitise-texts")
-    rows = marked.filter(F.size(base) > 0).select(*_key(F.col(text)), F.col(text).alias("text"), F.col(base).alias("base"))
-    rows.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.first("base").alias("base"),
-                                 F.count(F.lit(1)).alias("copies")).write.parquet(path)
-    return marked.sparkSession.read.parquet(path)
+    spark = docs.sparkSession
+    content = F.col(text).cast("string")
+    rows = docs.filter(_may_hold(content)).select(*_key(content), content.alias("text"))
+    path = scratch_path(spark, "sanitise-candidates")
+    rows.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")).write.parquet(path)
+    path, candidates = scratch_path(spark, "sanitise-texts"), spark.read.parquet(path)
+    with_base_spans(candidates, "text", "base").write.parquet(path)
+    return spark.read.parquet(path).filter(F.size("base") > 0)
 
 
 def _words(texts: DataFrame) -> DataFrame:
@@ -233,20 +243,23 @@ def with_spans(docs: DataFrame, text: str = "text", threshold: float = GENERALIS
     start and kind; the disclosure of a pattern's span is 1.
     """
     name, p = free_name(docs, "private_spans"), free_prefix(docs, "_private_")
-    marked = with_base_spans(docs, text, f"{p}base")
-    words = _words(_texts(marked, text, f"{p}base"))
+    texts = _texts(docs, text)
+    words = _words(texts)
     telling = disclosing_terms(docs, words, text, threshold, min_texts, span_words)
-    terms = _term_spans(words, telling).select(*[F.col(c).alias(f"{p}{c}") for c in ("k1", "k2", "terms")])
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    base = F.transform(f"{p}base", lambda s: F.struct(s["start"].alias("start"), s["place"].alias("place"),
-                                                      s["end"].alias("end"), s["kind"].alias("kind"), F.lit(1.0).alias("disclosure")))
     shape = "array<struct<start:int,place:int,end:int,kind:string,disclosure:double>>"
-    both = lambda more: F.struct(base.cast(shape).alias("base"), F.array_sort(F.concat(base.cast(shape), more)).alias("spans")).alias(name)
-    clean = marked.filter(F.size(f"{p}base") == 0).select(*own, both(F.array().cast(shape)))
-    k1, k2 = _key(F.col(text))
-    found = marked.filter(F.size(f"{p}base") > 0).withColumns({f"{p}t1": k1, f"{p}t2": k2})
-    found = found.join(terms, (F.col(f"{p}t1") == F.col(f"{p}k1")) & (F.col(f"{p}t2") == F.col(f"{p}k2")), "left")
-    return clean.unionByName(found.select(*own, both(F.coalesce(F.col(f"{p}terms").cast(shape), F.array().cast(shape))))), name
+    none = F.array().cast(shape)
+    base = F.transform("base", lambda s: F.struct(s["start"], s["place"], s["end"], s["kind"], F.lit(1.0))).cast(shape)
+    of_text = texts.select("k1", "k2", base.alias("base")).join(_term_spans(words, telling), ["k1", "k2"], "left").select(
+        F.col("k1").alias(f"{p}k1"), F.col("k2").alias(f"{p}k2"),
+        F.struct("base", F.array_sort(F.concat("base", F.coalesce(F.col("terms").cast(shape), none))).alias("spans")).alias(f"{p}found"))
+    content = F.col(text).cast("string")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    empty = F.struct(none.alias("base"), none.alias("spans"))
+    clean = docs.filter(~_may_hold(content)).select(*own, empty.alias(name))
+    k1, k2 = _key(content)
+    rows = docs.filter(_may_hold(content)).withColumns({f"{p}t1": k1, f"{p}t2": k2})
+    rows = rows.join(of_text, (F.col(f"{p}t1") == F.col(f"{p}k1")) & (F.col(f"{p}t2") == F.col(f"{p}k2")), "left")
+    return clean.unionByName(rows.select(*own, F.coalesce(F.col(f"{p}found"), empty).alias(name))), name
 
 
 def listed(spans: Column) -> Column:
