@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import separator_table, text_chunks, words_of
+from tallyframe.operators.joins import checked_broadcast
 from tallyframe.session import scratch_path
 
 K = 20
@@ -235,9 +236,11 @@ def search(
     key = ["hash", "m", "first_id"]
     chosen = classes.join(best.select(*key).distinct(), key)
     bag = ["hash", "m", "terms", "tfs"]
-    by_id = Window.partitionBy(*key).orderBy(F.asc_nulls_last("id"))
-    members = keyed.join(chosen, bag).withColumn("place", F.row_number().over(by_id)).filter(F.col("place") <= k)
-    ranked = members.select(*key, "id", "members").join(best, key).withColumn(
+    # Every map task keeps k rows of a class, so a class of very many documents moves few rows.
+    wanted = checked_broadcast(best.select("hash").distinct())
+    by_id = Window.partitionBy(*bag).orderBy(F.asc_nulls_last("id"))
+    members = keyed.join(wanted, "hash", "left_semi").withColumn("place", F.row_number().over(by_id)).filter(F.col("place") <= k)
+    ranked = members.join(chosen, bag).select(*key, "id", "members").join(best, key).withColumn(
         "rank", F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("id")))
     ).filter(F.col("rank") <= k)
     return ranked.join(found.select("item", "item_id"), "item").select(
