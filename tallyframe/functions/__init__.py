@@ -2,6 +2,8 @@
 
 from tallyframe.functions.money import (
     exact_avg,
+    exact_decimal,
+    exact_double,
     exact_mean,
     exact_sum,
     exact_total,
@@ -9,13 +11,17 @@ from tallyframe.functions.money import (
     lenient_number,
     micro_part,
     money_parts,
+    part_names,
     parts_amount,
     parts_total,
+    summable,
     whole_part,
 )
 
 __all__ = [
     "exact_avg",
+    "exact_decimal",
+    "exact_double",
     "exact_mean",
     "exact_sum",
     "exact_total",
@@ -23,7 +29,9 @@ __all__ = [
     "lenient_number",
     "micro_part",
     "money_parts",
+    "part_names",
     "parts_amount",
     "parts_total",
+    "summable",
     "whole_part",
 ]

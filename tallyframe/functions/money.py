@@ -1,14 +1,22 @@
 """Exact money arithmetic as built-in column expressions.
 
 Summing doubles gives answers that depend on row order, i.e. on partitioning.
-So every amount is split into a whole part and millionths, both ``bigint``;
-the two are summed as longs (exact, associative, inside whole-stage codegen),
-put together as a decimal and only then rounded, once.  Amounts carry up to
-six decimals; a sum is bounded by the range of a long in whole units, and an
-overflow raises under ANSI mode instead of wrapping.
+So every amount is split into parts whose sums are exact and associative:
 
-Text amounts are converted leniently: what does not parse counts as null, and
-``reports.rejected_amounts`` counts those rows.
+* ``whole`` and ``micros``, both ``bigint``: the whole part and millionths of
+  amounts with up to six decimals below 9 * 10^18.  This is every ordinary
+  amount; its parts are computed in doubles and summed as longs, inside
+  whole-stage codegen.
+* ``wide`` and ``fine``, decimals of 38 digits: the whole part and the rest, to
+  18 decimals, of all other amounts.  They are null for ordinary rows.
+
+The sums are put together and rounded once.  Amounts of ``MAX_AMOUNT`` and more
+are not summed: like text that is no number they count as null, and
+``reports.rejected_amounts`` counts those rows.  Within that, sums never
+overflow below 10^10 rows of the largest amount.
+
+Text counts as a number if it is one in plain notation (``NUMBER``), so Java's
+``12d`` does not; blanks around it are allowed.
 
 All helpers return ``Column`` objects, so Catalyst sees plain ``Sum`` /
 ``Count`` aggregates and plans the usual partial + final aggregation.
@@ -16,6 +24,7 @@ All helpers return ``Column`` objects, so Catalyst sees plain ``Sum`` /
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -23,76 +32,198 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-# Amounts carry six decimals inside a sum, results two.
+# Amounts carry six decimals in their ordinary parts, results two.
 MICROS_PER_UNIT = 1_000_000
 RESULT_DECIMALS = 2
-# Below this a double's millionths are computed in doubles (its spacing is
-# finer than a millionth); above, through the decimal of its text.
-_FAST_BELOW = float(1 << 32)
+# Amounts from here on are not summed.
+MAX_AMOUNT = 1e28
+# A number in plain notation, with blanks around it.
+NUMBER = r"^[ \t\n\r\f\x0B]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[ \t\n\r\f\x0B]*$"
+# Below so many millionths, millionths of a double are met to less than half of one.
+_FAST_BELOW = float(1 << 50)
+_WHOLE_BELOW = 9e18
+# Totals from here on have no cents as doubles.
+_CENTS_BELOW = Decimal(10**18)
+# Parts of a sum, in the order that ``parts_amount`` takes them.
+PARTS = ("whole", "micros", "wide", "fine")
 
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value written, and computed, once.  For results of aggregates, not for rows."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _number(c: ColumnOrName) -> Column:
+    # The type's name is a constant: numeric columns are not matched as text.
+    c = _col(c)
+    return F.when((F.typeof(c) != "string") | c.cast("string").rlike(NUMBER), c.try_cast("double"))
+
+
 def lenient_number(c: ColumnOrName) -> Column:
     """Text (or any type) to double; unparseable text, NaN and infinities become null.
 
     Same answer with ANSI mode on or off, unlike an implicit cast.
     """
-    number = _col(c).try_cast("double")
+    number = _number(c)
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
+def summable(c: ColumnOrName) -> Column:
+    """The amount as double, or null if it is no number or too large to be summed."""
+    number = _number(c)
+    return F.when(F.abs(number) < MAX_AMOUNT, number)
+
+
+def _fast(x: Column) -> Column:
+    """Condition: a number of millionths, up to the rounding of the double that holds it."""
+    micros = x * MICROS_PER_UNIT
+    return (F.abs(micros) < _FAST_BELOW) & (F.abs(micros - F.rint(micros)) <= F.abs(micros) * 2.3e-16)
+
+
+def _through(x: Column) -> Column:
+    """Condition: larger, with six decimals at most."""
+    # Compared with 18 decimals; a comparison of the two types would drop to six.
+    six = x.try_cast("decimal(38,6)").try_cast("decimal(38,18)")
+    return (F.abs(x) < _WHOLE_BELOW) & (x.try_cast("decimal(38,18)") == six)
+
+
+def _fast_micros(x: Column) -> Column:
+    return F.rint(x * MICROS_PER_UNIT).cast("bigint")
+
+
 def whole_part(c: ColumnOrName) -> Column:
-    """Largest integer not above the amount, as ``bigint``."""
-    x = lenient_number(c)
-    return F.when(F.abs(x) < _FAST_BELOW, F.floor(x)).otherwise(F.floor(x.cast("decimal(38,6)")).cast("bigint"))
+    """The whole part of an ordinary amount, towards zero, as ``bigint``."""
+    x = _number(c)
+    micros = _fast_micros(x)
+    return F.when(_fast(x), F.floor(F.abs(micros) / MICROS_PER_UNIT) * F.signum(micros).cast("bigint")).when(
+        _through(x), x.try_cast("decimal(38,6)").try_cast("bigint"))
 
 
 def micro_part(c: ColumnOrName) -> Column:
-    """Millionths above the whole part, 0 to 1,000,000, as ``bigint``."""
-    x = lenient_number(c)
-    exact = x.cast("decimal(38,6)")
-    fast = F.rint((x - F.floor(x)) * MICROS_PER_UNIT)
-    slow = (exact - F.floor(exact)) * MICROS_PER_UNIT
-    return F.when(F.abs(x) < _FAST_BELOW, fast.cast("bigint")).otherwise(slow.cast("bigint"))
+    """Signed millionths beside the whole part of an ordinary amount, as ``bigint``."""
+    x = _number(c)
+    return F.when(_fast(x), _fast_micros(x) % MICROS_PER_UNIT).when(
+        _through(x), ((x.try_cast("decimal(38,6)") % 1) * MICROS_PER_UNIT).cast("bigint"))
+
+
+def _rare(x: Column) -> Column:
+    return ~_fast(x) & ~_through(x) & (F.abs(x) < MAX_AMOUNT)
+
+
+def _fraction(x: Column) -> Column:
+    return (x.try_cast("decimal(38,18)") % 1).cast("decimal(28,18)")
+
+
+def wide_part(c: ColumnOrName) -> Column:
+    """The whole part of any other amount that can be summed, as ``decimal(28,0)``."""
+    x = _number(c)
+    exact = x.try_cast("decimal(38,18)")
+    # Doubles too large for 18 decimals are whole.
+    return F.when(_rare(x), F.coalesce((exact - exact % 1).try_cast("decimal(28,0)"), x.try_cast("decimal(28,0)")))
+
+
+def fine_part(c: ColumnOrName) -> Column:
+    """What stands beside the wide part, to 18 decimals, as ``decimal(28,18)``."""
+    x = _number(c)
+    return F.when(_rare(x), F.coalesce(_fraction(x), F.lit(Decimal(0)).cast("decimal(28,18)")))
 
 
 def money_parts(c: ColumnOrName, name: str) -> dict[str, Column]:
-    """The two per-row measures of an amount, to be summed under these names."""
-    return {f"{name}_whole": whole_part(c), f"{name}_micros": micro_part(c)}
+    """The per-row measures of an amount, to be summed under these names."""
+    made = (whole_part(c), micro_part(c), wide_part(c), fine_part(c))
+    return {f"{name}_{part}": column for part, column in zip(PARTS, made, strict=True)}
+
+
+def part_names(name: str) -> list[str]:
+    """The names that ``money_parts`` gives, in the order of ``parts_amount``."""
+    return [f"{name}_{part}" for part in PARTS]
+
+
+def _joined(whole: ColumnOrName, micros: ColumnOrName, wide: ColumnOrName | None, fine: ColumnOrName | None,
+            use: Callable[[Column, Column], Column], n: Column | None = None) -> Column:
+    """``use`` of the summed parts as whole units, ``decimal(38,0)``, and the rest, ``decimal(36,18)``.
+
+    Null if nothing was summed.  ``n``, a count, is passed on to ``use``.
+    """
+    zero, none = F.lit(Decimal(0)), F.lit(None)
+    summed = F.struct(
+        _col(whole).cast("decimal(38,0)").alias("whole"), _col(micros).cast("decimal(19,0)").alias("micros"),
+        (none if wide is None else _col(wide)).cast("decimal(38,0)").alias("wide"),
+        (none if fine is None else _col(fine)).cast("decimal(35,18)").alias("fine"),
+        (F.lit(1) if n is None else n).cast("bigint").alias("n"),
+    )
+
+    def put(s: Column) -> Column:
+        units = (F.coalesce(s["whole"], zero) + F.coalesce(s["wide"], zero)).cast("decimal(38,0)")
+        micros = (F.coalesce(s["micros"], zero) * F.lit(Decimal("0.000001"))).cast("decimal(35,18)")
+        rest = (micros + F.coalesce(s["fine"], zero)).cast("decimal(36,18)")
+        some = s["whole"].isNotNull() | s["wide"].isNotNull()
+        return F.when(some, F.struct(units.alias("units"), rest.alias("rest"), s["n"].alias("n")))
+
+    args = (lambda j: (j["units"], j["rest"])) if n is None else (lambda j: (j["units"], j["rest"], j["n"]))
+    return _bound(_bound(summed, put), lambda j: use(*args(j)))
 
 
-def _micros(whole: Column, micros: Column) -> Column:
-    """Summed parts as one count of millionths, ``decimal(29,0)``."""
-    scaled = whole.cast("decimal(20,0)") * F.lit(Decimal(MICROS_PER_UNIT))
-    return (scaled + micros.cast("decimal(20,0)")).cast("decimal(29,0)")
+def _small(units: Column, rest: Column) -> Column:
+    """Units and rest as one decimal with 18 decimals; null from 10^18 on."""
+    return F.when(F.abs(units) < _CENTS_BELOW, (units.try_cast("decimal(36,18)") + rest).cast("decimal(38,18)"))
 
 
-def parts_total(whole: ColumnOrName, micros: ColumnOrName) -> Column:
-    """Summed parts as an exact decimal with six decimals."""
-    return _micros(_col(whole), _col(micros)) * F.lit(Decimal("0.000001"))
+def _as_double(decimals: int | None) -> Callable[[Column, Column], Column]:
+    def use(units: Column, rest: Column) -> Column:
+        small = _small(units, rest)
+        small = small if decimals is None else F.round(small, decimals)
+        return F.coalesce(small.cast("double"), (units + F.round(rest, 0)).cast("double"))
 
+    return use
 
-def parts_amount(whole: ColumnOrName, micros: ColumnOrName) -> Column:
+
+def parts_total(whole: ColumnOrName, micros: ColumnOrName, wide: ColumnOrName | None = None,
+                fine: ColumnOrName | None = None) -> Column:
+    """Summed parts as an exact decimal with 18 decimals; null from 10^18 on."""
+    return _joined(whole, micros, wide, fine, _small)
+
+
+def parts_amount(whole: ColumnOrName, micros: ColumnOrName, wide: ColumnOrName | None = None,
+                 fine: ColumnOrName | None = None) -> Column:
     """Summed parts as a double, rounded half up to two decimals."""
-    return F.round(parts_total(whole, micros), RESULT_DECIMALS).cast("double")
+    return _joined(whole, micros, wide, fine, _as_double(RESULT_DECIMALS))
+
+
+def _sums(c: ColumnOrName) -> list[Column]:
+    return [F.sum(part) for part in money_parts(c, "sum").values()]
 
 
 def exact_total(c: ColumnOrName) -> Column:
-    """Aggregate: the unrounded sum of an amount, as a decimal."""
-    return parts_total(F.sum(whole_part(c)), F.sum(micro_part(c)))
+    """Aggregate: the unrounded sum of an amount, as a decimal; null from 10^18 on."""
+    return parts_total(*_sums(c))
 
 
 def exact_sum(c: ColumnOrName) -> Column:
     """Aggregate: sum of an amount, rounded once to two decimals, as double."""
-    return F.round(exact_total(c), RESULT_DECIMALS).cast("double")
+    return parts_amount(*_sums(c))
+
+
+def exact_double(c: ColumnOrName) -> Column:
+    """Aggregate: the double next to the exact sum of an amount."""
+    return _joined(*_sums(c), _as_double(None))
+
+
+def exact_decimal(c: ColumnOrName) -> Column:
+    """Aggregate: sum of an amount, rounded half up to two decimals, as ``decimal(38,2)``: exact at any size."""
+    def use(units: Column, rest: Column) -> Column:
+        return (units.try_cast("decimal(38,2)") + F.round(rest, RESULT_DECIMALS)).try_cast("decimal(38,2)")
+
+    return _joined(*_sums(c), use)
 
 
 def exact_mean(c: ColumnOrName) -> Column:
     """Aggregate: unrounded average, the exact sum over the count, as double."""
-    return exact_total(c).cast("double") / F.count(lenient_number(c))
+    return exact_double(c) / F.count(summable(c))
 
 
 def half_up_div(numerator: Column, denominator: Column) -> Column:
@@ -114,6 +245,19 @@ def exact_avg(c: ColumnOrName) -> Column:
 
     Null values are skipped, as ``avg`` does; a group with no values gives null.
     """
-    micros = _micros(F.sum(whole_part(c)), F.sum(micro_part(c)))
-    per_cent = MICROS_PER_UNIT // 10**RESULT_DECIMALS
-    return half_up_div(micros, F.count(lenient_number(c)) * per_cent).cast("double") / float(10**RESULT_DECIMALS)
+    per_unit = 10**RESULT_DECIMALS
+
+    def cents(total: Column, n: Column) -> Column:
+        # Twice the cents, without what lies below half a cent: n is whole, so that cannot tip the rounding.
+        fraction = (F.abs(total) % 1).cast("decimal(18,18)")
+        whole = F.floor(F.abs(total)).cast("decimal(20,0)")
+        halves = (whole * (2 * per_unit) + F.floor(fraction * (2 * per_unit))).cast("decimal(29,0)")
+        signed = F.when(total < 0, -halves).otherwise(halves)
+        return _bound(F.struct(signed.alias("top"), (n * 2).alias("bottom")), lambda p: half_up_div(p["top"], p["bottom"]))
+
+    def use(units: Column, rest: Column, n: Column) -> Column:
+        small = _bound(F.struct(_small(units, rest).alias("total"), n.alias("n")), lambda p: cents(p["total"], p["n"]))
+        # Beyond 10^18 a double has no cents.
+        return F.coalesce(small.cast("double") / float(per_unit), (units + F.round(rest, 0)).cast("double") / n)
+
+    return _joined(*_sums(c), use, F.count(summable(c)))

@@ -64,6 +64,16 @@ def q_rejected_amounts(spark: SparkSession, root: str) -> DataFrame:
     return reports.rejected_amounts(reports.amount_as_text(read_table(spark, root, "orders")), "amount_text")
 
 
+def q_dirty_amount_totals(spark: SparkSession, root: str) -> DataFrame:
+    dirty = reports.dirty_amounts(read_table(spark, root, "orders"))
+    return reports.amount_totals(dirty, "o_orderpriority", "amount_text")
+
+
+def q_dirty_amount_totals_sql(spark: SparkSession, root: str) -> DataFrame:
+    dirty = reports.dirty_amounts(read_table(spark, root, "orders"))
+    return sql_report(spark, "amount_totals", {"dirty_orders": dirty})
+
+
 def q_revenue_by_category(spark: SparkSession, root: str) -> DataFrame:
     return reports.revenue_by_category(read_table(spark, root, "orders"))
 
@@ -104,6 +114,8 @@ QUERIES: dict[str, Query] = {
     "total_sales_by_customer_text": q_total_sales_by_customer_text,
     "rejected_amounts": q_rejected_amounts,
     "revenue_by_country_text_sql": q_revenue_by_country_text_sql,
+    "dirty_amount_totals": q_dirty_amount_totals,
+    "dirty_amount_totals_sql": q_dirty_amount_totals_sql,
     "revenue_by_category": q_revenue_by_category,
     "product_sales_metrics": q_product_sales_metrics,
     "purchases_by_user": q_purchases_by_user,
@@ -162,7 +174,28 @@ SELECT o_orderkey, o_custkey,
 FROM orders
 """
 
+_DIRTY_AMOUNT_TOTALS = r"""
+WITH d AS (
+    SELECT o_orderpriority, CASE o_orderkey % 12
+        WHEN 0 THEN '1e20' WHEN 1 THEN '1e40' WHEN 2 THEN '12d' WHEN 3 THEN '12f' WHEN 4 THEN 'NaN' WHEN 5 THEN ' 7 '
+        WHEN 6 THEN '0.0000004' WHEN 7 THEN '-Infinity' WHEN 8 THEN '1,000' WHEN 9 THEN '-3.5e-7' WHEN 10 THEN ''
+        ELSE CAST(o_totalprice AS VARCHAR) END AS t
+    FROM orders
+), a AS (
+    SELECT o_orderpriority, t,
+           CASE WHEN regexp_full_match(trim(t), '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?') AND abs(TRY_CAST(t AS DOUBLE)) < 1e28
+                THEN CAST(trim(t) AS DECIMAL(38,10)) END AS amount
+    FROM d
+)
+SELECT o_orderpriority, CAST(CAST(ROUND(SUM(amount), 2) AS DECIMAL(38,2)) AS VARCHAR) AS total,
+       COUNT(amount) AS counted, COUNT(t) - COUNT(amount) AS rejected
+FROM a
+GROUP BY o_orderpriority
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "dirty_amount_totals": _DIRTY_AMOUNT_TOTALS,
+    "dirty_amount_totals_sql": _DIRTY_AMOUNT_TOTALS,
     "revenue_by_country_sql": _REVENUE_BY_COUNTRY,
     "revenue_by_country_df": _REVENUE_BY_COUNTRY,
     "high_value_orders": """

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.functions import exact_total, lenient_number, money_parts, parts_amount
+from tallyframe.functions import exact_decimal, exact_double, lenient_number, money_parts, part_names, parts_amount, summable
 from tallyframe.operators.aggregates import money_summary
 from tallyframe.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast, fits_broadcast, rollup_through_dimension
 from tallyframe.operators.ordering import sorted_by, top_n
@@ -63,7 +63,7 @@ def revenue_by_country(
         max_broadcast_rows,
         size_probe=customer,
     )
-    result = sums.select("country", parts_amount("revenue_whole", "revenue_micros").alias("total_revenue"))
+    result = sums.select("country", parts_amount(*part_names("revenue")).alias("total_revenue"))
     return sorted_by(result, [F.col("total_revenue").desc()], ["country"])
 
 
@@ -103,11 +103,29 @@ def high_value_orders_text(orders: DataFrame, min_price: float = TEXT_FILTER_MIN
 
 
 def rejected_amounts(df: DataFrame, text_column: str) -> DataFrame:
-    """One row: how many non-null texts do not parse as numbers."""
-    bad = F.col(text_column).isNotNull() & lenient_number(text_column).isNull()
+    """One row: how many non-null texts are no numbers, or too large to be summed."""
+    bad = F.col(text_column).isNotNull() & summable(text_column).isNull()
     return df.agg(F.count(F.when(bad, F.lit(1))).alias("rejected"), F.count(F.lit(1)).alias("rows"))
 
 
+# Texts that stand in place of some amounts in the dirty feed.
+DIRTY_AMOUNTS = ("1e20", "1e40", "12d", "12f", "NaN", " 7 ", "0.0000004", "-Infinity", "1,000", "-3.5e-7", "")
+
+
+def dirty_amounts(orders: DataFrame) -> DataFrame:
+    """Orders whose price arrives as text, with one of ``DIRTY_AMOUNTS`` in most places."""
+    place = (F.col("o_orderkey") % (len(DIRTY_AMOUNTS) + 1)).cast("int")
+    text = F.coalesce(F.get(F.array(*[F.lit(t) for t in DIRTY_AMOUNTS]), place), F.col("o_totalprice").cast("string"))
+    return orders.select("o_orderpriority", text.alias("amount_text"))
+
+
+def amount_totals(df: DataFrame, by: str, amount: str) -> DataFrame:
+    """``<by>``, ``total`` (exact, as text), ``counted`` and ``rejected`` amounts."""
+    usable, given = F.count(summable(amount)), F.count(amount)
+    return df.groupBy(by).agg(exact_decimal(amount).cast("string").alias("total"), usable.alias("counted"),
+                              (given - usable).alias("rejected"))
+
+
 def filtered_order_count(
     orders: DataFrame, min_price: float = TEXT_FILTER_MIN_PRICE, amount: str = "o_totalprice"
 ) -> DataFrame:
@@ -156,7 +174,7 @@ def product_sales_metrics(
     exact sum as double.
     """
     whole = isinstance(lineitem.schema[quantity].dataType, T.IntegralType)
-    total_quantity = F.sum(quantity) if whole else exact_total(quantity).cast("double")
+    total_quantity = F.sum(quantity) if whole else exact_double(quantity)
     result = money_summary(
         lineitem, [product], amount,
         sum_as="total_sales_amount",
@@ -240,7 +258,7 @@ def revenue_by_brand(
         lineitem, "l_partkey", money_parts("l_extendedprice", "revenue"),
         part, "p_partkey", ["p_brand"], max_broadcast_rows,
     )
-    return sums.select("p_brand", parts_amount("revenue_whole", "revenue_micros").alias("total_revenue"))
+    return sums.select("p_brand", parts_amount(*part_names("revenue")).alias("total_revenue"))
 
 
 def preview_top_n(orders: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions import lenient_number
 from tallyframe.jobs.sales_report import run_sales_report
+from tallyframe.operators.bucketing import write_bucketed
 from tallyframe.plans import reports
 from tallyframe.schemas import LONG, DOUBLE, struct_of
 from tallyframe.session import scratch_path
-from tallyframe.sinks.files import write_parquet
+from tallyframe.sinks.files import load_table, write_parquet
+from tallyframe.sinks.versions import read_current, replace_version
 from tallyframe.sources.csv import read_csv_text, read_csv_typed, write_csv
 from tallyframe.sources.inference import inference_report, read_csv_inferred
 from tallyframe.sources.memory import replicate
@@ -24,6 +26,8 @@ ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice"]
 ORDER_CSV_SCHEMA = struct_of(("o_orderkey", LONG), ("o_custkey", LONG), ("o_totalprice", DOUBLE))
 # Fixed value: copies of each customer row in the replication query.
 REPLICATION_FACTOR = 4
+# Fixed value: buckets of the bucketed tables.
+BUCKETS = 16
 # Share of a column's filled cells that its inferred type may reject.
 INFERENCE_TOLERANCE = 0.05
 
@@ -96,7 +100,45 @@ def q_parquet_overwrite(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def q_versioned_replace(spark: SparkSession, root: str) -> DataFrame:
+    """Category revenue put in force in place of other rows, then one status's orders in place of its partition."""
+    path = scratch_path(spark, "versioned-orders")
+    orders = read_table(spark, root, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    replace_version(orders, path, partition_by=["o_orderstatus"])
+    paid = orders.where("o_orderstatus = 'F'").withColumn("o_totalprice", F.lit(0.0))
+    replace_version(paid, path, partition_by=["o_orderstatus"], partitions_only=True)
+    return read_current(spark, path)
+
+
+def q_table_load(spark: SparkSession, root: str) -> DataFrame:
+    """Category revenue loaded into a table named by format and options, in place of other rows, and read back."""
+    path = scratch_path(spark, "loaded-table")
+    other = spark.createDataFrame([("old rows", 1, 0.01)], "category string, total_orders bigint, total_revenue double")
+    load_table(other, "orc", {"path": path})
+    load_table(reports.revenue_by_category(read_table(spark, root, "orders")), "orc", {"path": path, "compression": "zlib"})
+    return spark.read.format("orc").load(path)
+
+
+def bucketed_sales(spark: SparkSession, root: str, buckets: int = BUCKETS) -> DataFrame:
+    """The customer sales report over orders and customers bucketed by customer, under the merge hint."""
+    orders = read_table(spark, root, "orders").select("o_custkey", "o_totalprice")
+    customer = read_table(spark, root, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return reports.customer_sales_report(
+        write_bucketed(orders, scratch_path(spark, "bucketed-orders"), "o_custkey", buckets),
+        write_bucketed(customer, scratch_path(spark, "bucketed-customers"), "c_custkey", buckets),
+        strategy="merge",
+    )
+
+
+def q_customer_sales_bucketed(spark: SparkSession, root: str) -> DataFrame:
+    """Sort-merge join of bucketed tables: nothing is shuffled after the tables are written."""
+    return bucketed_sales(spark, root)
+
+
 QUERIES = {
+    "versioned_replace": q_versioned_replace,
+    "table_load": q_table_load,
+    "customer_sales_bucketed": q_customer_sales_bucketed,
     "csv_scan_text": q_csv_scan_text,
     "csv_scan_typed": q_csv_scan_typed,
     "csv_scan_inferred": q_csv_scan_inferred,
@@ -108,7 +150,28 @@ QUERIES = {
 
 _ORDERS_3 = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"
 
+_CATEGORY_REVENUE = """
+SELECT o_orderpriority AS category,
+       COUNT(o_orderkey) AS total_orders,
+       CAST(ROUND(SUM(CAST(o_totalprice AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_revenue
+FROM orders
+GROUP BY o_orderpriority
+"""
+
 ORACLE_SQL = {
+    "versioned_replace": """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 0.0::DOUBLE ELSE o_totalprice END AS o_totalprice, o_orderstatus
+FROM orders
+""",
+    "table_load": _CATEGORY_REVENUE,
+    "customer_sales_bucketed": """
+SELECT o.o_custkey, c.c_name,
+       CAST(ROUND(SUM(CAST(o.o_totalprice AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_sales,
+       c.c_mktsegment
+FROM orders o
+JOIN customer c ON o.o_custkey = c.c_custkey
+GROUP BY o.o_custkey, c.c_name, c.c_mktsegment
+""",
     "csv_scan_text": _ORDERS_3,
     "csv_scan_typed": _ORDERS_3,
     "csv_scan_inferred": """

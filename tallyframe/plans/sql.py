@@ -17,28 +17,69 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.functions.money import NUMBER
 from tallyframe.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast
 from tallyframe.plans.reports import NATION_MAX_ROWS
 
 
-# SQL spellings of the money expressions of ``tallyframe.functions``: sum at
-# six decimals, round once.
+# SQL spellings of the money expressions of ``tallyframe.functions``: exact
+# sums of the whole parts and of the rest, put together and rounded once.
+def _amount(x: str, text: bool = False) -> str:
+    """A finite number, or null; text counts if it is a number in plain notation."""
+    number = f"TRY_CAST({x} AS DOUBLE)"
+    return f"CASE WHEN {x} RLIKE r'{NUMBER}' THEN {number} END" if text else number
+
+
+def _exact(x: str, text: bool) -> str:
+    return f"TRY_CAST({_amount(x, text)} AS DECIMAL(38,18))"
+
+
+def _units(x: str, text: bool = False) -> str:
+    whole = f"CAST({_exact(x, text)} - {_exact(x, text)} % 1 AS DECIMAL(28,0))"
+    # Doubles too large for 18 decimals are whole.
+    return f"SUM(COALESCE({whole}, TRY_CAST({_amount(x, text)} AS DECIMAL(28,0))))"
+
+
+def _rest(x: str, text: bool = False) -> str:
+    return f"SUM(CAST(COALESCE({_exact(x, text)}, 0) % 1 AS DECIMAL(28,18)))"
+
+
+def _count(x: str, text: bool = False) -> str:
+    return f"COUNT(TRY_CAST({_amount(x, text)} AS DECIMAL(28,0)))"
+
+
+# Totals from here on have no cents as doubles.
+_CENTS_BELOW = "1000000000000000000BD"
+
+
+def _small(units: str, rest: str) -> str:
+    return f"(TRY_CAST({units} AS DECIMAL(36,18)) + TRY_CAST({rest} AS DECIMAL(36,18)))"
+
+
+def _double(units: str, rest: str, rounded: bool) -> str:
+    small = f"ROUND({_small(units, rest)}, 2)" if rounded else _small(units, rest)
+    return f"CASE WHEN ABS({units}) < {_CENTS_BELOW} THEN CAST({small} AS DOUBLE) ELSE CAST({units} + ROUND({rest}, 0) AS DOUBLE) END"
+
+
 def _total(x: str) -> str:
-    return f"SUM(TRY_CAST({x} AS DECIMAL(30,6)))"
+    return _double(_units(x), _rest(x), False)
 
 
-def _exact_sum(x: str) -> str:
-    return f"CAST(ROUND({_total(x)}, 2) AS DOUBLE)"
+def _exact_sum(x: str, text: bool = False) -> str:
+    return _double(_units(x, text), _rest(x, text), True)
 
 
 def _exact_mean(x: str) -> str:
-    return f"CAST({_total(x)} AS DOUBLE) / COUNT(TRY_CAST({x} AS DECIMAL(30,6)))"
+    return f"({_total(x)}) / {_count(x)}"
 
 
 def _exact_avg(x: str) -> str:
-    s, n = f"CAST({_total(x)} * 1000000 AS DECIMAL(38,0))", f"COUNT(TRY_CAST({x} AS DECIMAL(30,6)))"
-    q = f"((2 * ABS({s}) + 10000 * {n}) DIV (20000 * {n}))"
-    return f"CAST(CASE WHEN {n} > 0 THEN CASE WHEN {s} < 0 THEN -{q} ELSE {q} END END AS DOUBLE) / 100"
+    small, n = f"ABS({_small(_units(x), _rest(x))})", _count(x)
+    halves = f"(CAST(FLOOR({small}) AS DECIMAL(20,0)) * 200 + FLOOR(CAST({small} % 1 AS DECIMAL(18,18)) * 200))"
+    q = f"CAST((2 * {halves} + 2 * {n}) DIV (4 * {n}) AS DOUBLE)"
+    sign = f"CASE WHEN {_units(x)} + {_rest(x)} < 0 THEN -1 ELSE 1 END"
+    return (f"CASE WHEN {n} > 0 THEN CASE WHEN ABS({_units(x)}) < {_CENTS_BELOW} THEN {sign} * {q} / 100 "
+            f"ELSE CAST({_units(x)} + ROUND({_rest(x)}, 0) AS DOUBLE) / {n} END END")
 
 
 # Dimension within the broadcast bound: join, then aggregate.
@@ -56,27 +97,38 @@ ORDER BY total_revenue DESC, country
 # The same over a view whose amounts are text: cast in WHERE and in SUM.
 REVENUE_BY_COUNTRY_TEXT_SQL = f"""
 SELECT n.n_name AS country,
-       {_exact_sum("o.amount_text")} AS total_revenue
+       {_exact_sum("o.amount_text", text=True)} AS total_revenue
 FROM orders_text o
 JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
-WHERE TRY_CAST(o.amount_text AS DOUBLE) > 100000
+WHERE {_amount("o.amount_text", text=True)} > 100000
 GROUP BY n.n_name
 ORDER BY total_revenue DESC, country
 """
 
 
+# Dirty text amounts: exact totals as text, and what was rejected.
+AMOUNT_TOTALS_SQL = f"""
+SELECT o_orderpriority,
+       CAST(CAST(CAST({_units("amount_text", True)} AS DECIMAL(38,2)) + ROUND({_rest("amount_text", True)}, 2) AS DECIMAL(38,2)) AS STRING) AS total,
+       {_count("amount_text", True)} AS counted,
+       COUNT(amount_text) - {_count("amount_text", True)} AS rejected
+FROM dirty_orders
+GROUP BY o_orderpriority
+"""
+
+
 # Dimension above the bound: orders are summed per customer before the joins.
-def _country_preaggregated(orders: str, amount: str, condition: str) -> str:
+def _country_preaggregated(orders: str, amount: str, condition: str, text: bool = False) -> str:
     return f"""
 WITH per_customer AS (
-    SELECT o_custkey, {_total(amount)} AS revenue
+    SELECT o_custkey, {_units(amount, text)} AS units, {_rest(amount, text)} AS rest
     FROM {orders}
     WHERE {condition}
     GROUP BY o_custkey
 )
 SELECT n.n_name AS country,
-       CAST(ROUND(SUM(p.revenue), 2) AS DOUBLE) AS total_revenue
+       {_double("SUM(p.units)", "SUM(p.rest)", True)} AS total_revenue
 FROM per_customer p
 JOIN customer c ON p.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -87,7 +139,7 @@ ORDER BY total_revenue DESC, country
 
 REVENUE_BY_COUNTRY_PREAGG_SQL = _country_preaggregated("orders", "o_totalprice", "o_totalprice > 100000")
 REVENUE_BY_COUNTRY_TEXT_PREAGG_SQL = _country_preaggregated(
-    "orders_text", "amount_text", "TRY_CAST(amount_text AS DOUBLE) > 100000"
+    "orders_text", "amount_text", f"{_amount('amount_text', text=True)} > 100000", text=True
 )
 
 
@@ -140,7 +192,7 @@ ORDER BY total_revenue DESC, category NULLS LAST
 SELECT * FROM (
     SELECT /*+ REBALANCE */ l_partkey,
            {_exact_sum("l_extendedprice")} AS total_sales_amount,
-           CAST({_total("l_quantity")} AS DOUBLE) AS total_quantity_sold,
+           {_total("l_quantity")} AS total_quantity_sold,
            {_exact_avg("l_extendedprice")} AS average_transaction_amount
     FROM lineitem
     GROUP BY l_partkey
@@ -186,6 +238,7 @@ GROUP BY p.p_brand
 """,
     "revenue_by_country": REVENUE_BY_COUNTRY_SQL,
     "revenue_by_country_text": REVENUE_BY_COUNTRY_TEXT_SQL,
+    "amount_totals": AMOUNT_TOTALS_SQL,
 }
 
 # The forms for a dimension above the broadcast bound, and the dimension
@@ -193,11 +246,11 @@ GROUP BY p.p_brand
 PREAGGREGATED_SQL: dict[str, tuple[str, str]] = {
     "revenue_by_brand": ("part", f"""
 WITH per_part AS (
-    SELECT l_partkey, {_total("l_extendedprice")} AS revenue
+    SELECT l_partkey, {_units("l_extendedprice")} AS units, {_rest("l_extendedprice")} AS rest
     FROM lineitem
     GROUP BY l_partkey
 )
-SELECT p.p_brand, CAST(ROUND(SUM(pp.revenue), 2) AS DOUBLE) AS total_revenue
+SELECT p.p_brand, {_double("SUM(pp.units)", "SUM(pp.rest)", True)} AS total_revenue
 FROM per_part pp
 JOIN part p ON pp.l_partkey = p.p_partkey
 GROUP BY p.p_brand

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from tallyframe.session import scratch_path
 from tallyframe.sources.tables import read_table
-from tallyframe.streaming.purchases import run_purchase_copy
+from tallyframe.streaming.keyed_totals import latest_keyed_totals, run_keyed_totals
+from tallyframe.streaming.ledger import AFTER_WRITE
+from tallyframe.streaming.purchases import committed_purchases, run_ledgered_purchase_copy, run_purchase_copy
 from tallyframe.streaming.totals import latest_totals, run_event_totals
 
 
@@ -55,12 +57,52 @@ def q_stream_event_totals(spark: SparkSession, root: str) -> DataFrame:
     return latest_totals(spark, out)
 
 
+class _Died(Exception):
+    """The stream was made to die between a batch's write and its commit."""
+
+
+def q_stream_purchases_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """Purchase rows copied by a stream that dies after writing each arrival, before it counts, and is resumed."""
+    def run(spark: SparkSession, inbox: str, out: str, checkpoint: str) -> int:
+        def die(point: str, batch_id: int) -> None:
+            if point == AFTER_WRITE:
+                raise _Died(f"batch {batch_id}")
+
+        try:
+            run_ledgered_purchase_copy(spark, inbox, out, checkpoint, steps=die)
+        except Exception as error:
+            if _Died.__name__ not in str(error):
+                raise
+        return run_ledgered_purchase_copy(spark, inbox, out, checkpoint)
+
+    out = _two_arrivals(spark, root, "purchases-ledger", run)
+    return committed_purchases(spark, out).select("event_id", "user_id", "value")
+
+
+def q_stream_user_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Totals by user from RocksDB state across restarts, published as changed users only."""
+    out = _two_arrivals(spark, root, "user-totals-stream", run_keyed_totals)
+    return latest_keyed_totals(spark, out, "user_id")
+
+
 QUERIES = {
+    "stream_purchases_ledger": q_stream_purchases_ledger,
+    "stream_user_totals": q_stream_user_totals,
     "stream_purchases_resume": q_stream_purchases_resume,
     "stream_event_totals": q_stream_event_totals,
 }
 
 ORACLE_SQL = {
+    "stream_purchases_ledger": """
+SELECT event_id, user_id, value
+FROM events
+WHERE event_type = 'purchase'
+""",
+    "stream_user_totals": """
+SELECT user_id, COUNT(*) AS n, CAST(ROUND(SUM(CAST(value AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_value
+FROM events
+GROUP BY user_id
+""",
     "stream_purchases_resume": """
 SELECT event_id, user_id, value
 FROM events

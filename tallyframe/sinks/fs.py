@@ -73,3 +73,27 @@ def delete_at_exit(spark: SparkSession, path: str) -> None:
     fs, p = file_system(spark, path)
     fs.mkdirs(p)
     fs.deleteOnExit(p)
+
+
+def create_once(spark: SparkSession, path: str, data: bytes = b"") -> bool:
+    """Create a file unless it exists; False if it does.  One call of the file system, so it is there whole or not."""
+    fs, p = file_system(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Exception:
+        if fs.exists(p):
+            return False
+        raise
+    out.write(data)
+    out.close()
+    return True
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """A small file, whole."""
+    fs, p = file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes())
+    finally:
+        stream.close()

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tallyframe.plans.reports import PURCHASE_EVENT
-from tallyframe.schemas import TABLES
+from tallyframe.schemas import TABLES, struct_of
+from tallyframe.streaming.ledger import Ledger, Steps, no_steps, write_once
 
 PURCHASE_COLUMNS = ["event_id", "user_id", "value", "ts"]
 # Files per micro-batch: a large backlog is worked off in bounded batches, so a
@@ -102,3 +103,27 @@ def run_purchase_copy(
         .trigger(availableNow=True)
     )
     return run_to_end(spark, writer.start)
+
+
+def run_ledgered_purchase_copy(
+    spark: SparkSession,
+    input_dir: str,
+    output_dir: str,
+    checkpoint_dir: str,
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+    steps: Steps = no_steps,
+) -> int:
+    """``run_purchase_copy`` through the ledger of committed batches, for sinks without a log of their own."""
+    writer = (
+        purchases(event_stream(spark, input_dir, max_files_per_trigger))
+        .writeStream.foreachBatch(write_once(Ledger(spark, output_dir.rstrip("/")), steps))
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(availableNow=True)
+    )
+    return run_to_end(spark, writer.start)
+
+
+def committed_purchases(spark: SparkSession, output_dir: str) -> DataFrame:
+    """Purchases of the committed batches, with their ``batch_id``."""
+    types = TABLES["events"]
+    return Ledger(spark, output_dir.rstrip("/")).read(struct_of(*[(c, types[c].dataType) for c in PURCHASE_COLUMNS]))

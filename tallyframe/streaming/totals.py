@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.functions import micro_part, parts_amount, whole_part
+from tallyframe.functions import money_parts, parts_amount
+from tallyframe.functions.money import PARTS
 from tallyframe.sinks.fs import children, delete
 from tallyframe.streaming.purchases import MAX_FILES_PER_TRIGGER, event_stream, run_to_end
 
@@ -27,8 +28,7 @@ def event_totals(events: DataFrame) -> DataFrame:
     """Stateful aggregate: ``event_type``, ``n`` and the summed parts of the value."""
     return events.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(whole_part("value")).alias("whole"),
-        F.sum(micro_part("value")).alias("micros"),
+        *[F.sum(part).alias(name) for name, part in zip(PARTS, money_parts("value", "value").values(), strict=True)],
     )
 
 
@@ -39,7 +39,7 @@ KEPT_SNAPSHOTS = 3
 def _publisher(output_dir: str):
     def publish(batch: DataFrame, batch_id: int) -> None:
         snapshot = batch.select(
-            "event_type", "n", parts_amount("whole", "micros").alias("total_value"),
+            "event_type", "n", parts_amount(*[p for p in PARTS if p in batch.columns]).alias("total_value"),
             F.lit(batch_id).cast("bigint").alias("batch_id"),
         )
         (

@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
-from decimal import ROUND_HALF_UP, Decimal
+import math
+from decimal import ROUND_HALF_UP, Decimal, getcontext
 
-from hypothesis import given, settings
+from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions import (
     exact_avg,
+    exact_decimal,
     exact_mean,
     exact_sum,
     exact_total,
     half_up_div,
     lenient_number,
     micro_part,
+    summable,
     whole_part,
 )
 
+getcontext().prec = 60
+
 SCHEMA = T.StructType([T.StructField("k", T.StringType()), T.StructField("x", T.DoubleType())])
 
 
@@ -146,3 +151,38 @@ def test_total_equals_decimal_sum(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     got = df.agg(exact_total("x").alias("t"), F.sum(F.col("x").cast("decimal(38,6)")).alias("d")).first()
     assert got["t"] == got["d"]
+
+
+def test_sums_of_any_size_and_fineness(spark):
+    rows = [("large", "1e20"), ("large", "1"), ("large", "-1e20"), ("huge", "1e40"), ("huge", "2.5"), ("java", "12d"), ("java", "12f"),
+            ("java", "3"), ("nan", "NaN"), ("blank", " 7 "), ("blank", "+.5"), ("tiny", "1e-18"), ("tiny", "-1e-18"), ("tiny", "0.005"),
+            ("wide", "1e27"), ("wide", "0.0000004"), ("wide", "-1e27"), ("mixed", "1234567890123.4567"), ("mixed", "9e18"), ("mixed", "0.1")]
+    df = spark.createDataFrame(rows, "k string, t string")
+    got = {r["k"]: (r["s"], r["a"], str(r["d"]), r["n"]) for r in df.groupBy("k").agg(
+        exact_sum("t").alias("s"), exact_avg("t").alias("a"), exact_decimal("t").alias("d"), F.count(summable("t")).alias("n")).collect()}
+    assert got["large"] == (1.0, 0.33, "1.00", 3)
+    assert got["huge"] == (2.5, 2.5, "2.50", 1)
+    assert got["java"] == (3.0, 3.0, "3.00", 1)
+    assert got["nan"] == (None, None, "None", 0)
+    assert got["blank"] == (7.5, 3.75, "7.50", 2)
+    assert got["tiny"] == (0.01, 0.0, "0.01", 3)
+    assert got["wide"] == (0.0, 0.0, "0.00", 3)
+    assert got["mixed"][2] == "9000001234567890123.56"
+
+
+def test_many_amounts_below_a_millionth_add_up(spark):
+    many = spark.range(200_000).select(F.lit(4e-7).alias("x"), F.lit("4e-7").alias("t"))
+    assert tuple(many.agg(exact_sum("x"), exact_sum("t"), exact_total("x")).first()) == (0.08, 0.08, Decimal("0.08"))
+
+
+@settings(max_examples=10, deadline=None, phases=(Phase.explicit, Phase.generate))
+@given(st.lists(st.one_of(amounts, st.floats(-1e27, 1e27), st.floats(-1e-3, 1e-3)), min_size=1, max_size=60))
+def test_total_does_not_depend_on_order_or_partitions(spark, values):
+    def total(data, n):
+        return spark.createDataFrame([(v,) for v in data], "x double").repartition(n).agg(exact_decimal("x")).first()[0]
+
+    # An amount is a decimal that names its double, which lies within half a unit in its last place.
+    room = sum((Decimal(math.ulp(v)) / 2 + Decimal(1).scaleb(-18) for v in values), Decimal("0.005"))
+    once = total(values, 1)
+    assert once == total(values[::-1], 3)
+    assert abs(once - sum(map(Decimal, values))) <= room

@@ -20,7 +20,7 @@ FORMS = {
     "revenue_by_country": (["orders", "customer", "nation"], reports.revenue_by_country, True),
 }
 # SQL texts without a DataFrame twin: the same report over a text view.
-SQL_ONLY = {"revenue_by_country_text"}
+SQL_ONLY = {"revenue_by_country_text", "amount_totals"}
 
 
 def test_every_sql_report_has_a_dataframe_form():
@@ -67,3 +67,10 @@ def test_sorted_sql_reports_rebalance_before_the_sort(spark):
 
     tables = {"lineitem": read_table(spark, SF_ORACLE, "lineitem")}
     assert "REBALANCE_PARTITIONS_BY_NONE" in plan_text(sql_report(spark, "product_sales_metrics", tables))
+
+
+def test_dirty_amounts_total_the_same_in_both_forms(spark):
+    dirty = reports.dirty_amounts(read_table(spark, SF_ORACLE, "orders"))
+    via_sql = sql_report(spark, "amount_totals", {"dirty_orders": dirty})
+    via_df = reports.amount_totals(dirty, "o_orderpriority", "amount_text")
+    assert sorted(map(tuple, via_sql.collect())) == sorted(map(tuple, via_df.collect()))
