@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.functions import exact_decimal, exact_double, lenient_number, money_parts, part_names, parts_amount, summable
+from tallyframe.functions import exact_decimal, lenient_number, summable
+from tallyframe.functions.money import staged_amount, staged_parts, staged_results, staged_sum
 from tallyframe.operators.aggregates import money_summary
 from tallyframe.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast, fits_broadcast, rollup_through_dimension
 from tallyframe.operators.ordering import sorted_by, top_n
@@ -54,16 +55,16 @@ def revenue_by_country(
         .select("c_custkey", "country")
     )
     sums = rollup_through_dimension(
-        orders.where(F.col("o_totalprice") > min_price),
+        staged_amount(orders.where(F.col("o_totalprice") > min_price), "o_totalprice", "revenue"),
         "o_custkey",
-        money_parts("o_totalprice", "revenue"),
+        staged_parts("revenue"),
         customer_country,
         "c_custkey",
         ["country"],
         max_broadcast_rows,
         size_probe=customer,
     )
-    result = sums.select("country", parts_amount(*part_names("revenue")).alias("total_revenue"))
+    result = staged_results(sums, "revenue").select("country", staged_sum("revenue").alias("total_revenue"))
     return sorted_by(result, [F.col("total_revenue").desc()], ["country"])
 
 
@@ -174,11 +175,11 @@ def product_sales_metrics(
     exact sum as double.
     """
     whole = isinstance(lineitem.schema[quantity].dataType, T.IntegralType)
-    total_quantity = F.sum(quantity) if whole else exact_double(quantity)
     result = money_summary(
         lineitem, [product], amount,
         sum_as="total_sales_amount",
-        extra=(total_quantity.alias("total_quantity_sold"),),
+        totals=None if whole else {"total_quantity_sold": quantity},
+        extra=(F.sum(quantity).alias("total_quantity_sold"),) if whole else (),
         avg_as="average_transaction_amount",
     ).select(product, "total_sales_amount", "total_quantity_sold", "average_transaction_amount")
     return sorted_by(result, [], [product], materialize=True)
@@ -255,10 +256,10 @@ def revenue_by_brand(
 ) -> DataFrame:
     """``p_brand``, ``total_revenue``: line revenue through the part lookup."""
     sums = rollup_through_dimension(
-        lineitem, "l_partkey", money_parts("l_extendedprice", "revenue"),
+        staged_amount(lineitem, "l_extendedprice", "revenue"), "l_partkey", staged_parts("revenue"),
         part, "p_partkey", ["p_brand"], max_broadcast_rows,
     )
-    return sums.select("p_brand", parts_amount(*part_names("revenue")).alias("total_revenue"))
+    return staged_results(sums, "revenue").select("p_brand", staged_sum("revenue").alias("total_revenue"))
 
 
 def preview_top_n(orders: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:

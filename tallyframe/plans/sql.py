@@ -17,130 +17,87 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.functions.money import NUMBER
+from tallyframe.functions import money
 from tallyframe.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast
 from tallyframe.plans.reports import NATION_MAX_ROWS
 
 
-# SQL spellings of the money expressions of ``tallyframe.functions``: exact
-# sums of the whole parts and of the rest, put together and rounded once.
-def _amount(x: str, text: bool = False) -> str:
-    """A finite number, or null; text counts if it is a number in plain notation."""
-    number = f"TRY_CAST({x} AS DOUBLE)"
-    return f"CASE WHEN {x} RLIKE r'{NUMBER}' THEN {number} END" if text else number
+# SQL spellings of the money expressions of ``tallyframe.functions``, in the
+# same three stages: the amount ``x`` and its millionths ``m`` per row, the sums
+# per group, and the sums put together.
+def _rows(table: str, amount: str, text: bool = False, also: str = "", condition: str = "") -> str:
+    """``table`` with the amount as ``x<also>`` and its millionths, if it is an ordinary amount, as ``m<also>``."""
+    number = money.sql_number(amount) if text else f"TRY_CAST({amount} AS DOUBLE)"
+    x, where = f"x{also}", f" WHERE {condition}" if condition else ""
+    return f"(SELECT *, {money.sql_micros(x)} AS m{also} FROM (SELECT *, {number} AS {x} FROM {table}){where})"
 
 
-def _exact(x: str, text: bool) -> str:
-    return f"TRY_CAST({_amount(x, text)} AS DECIMAL(38,18))"
+def _sums(also: str = "") -> str:
+    """The sums of an amount, and the count of what was summed."""
+    parts = money.sql_parts(f"x{also}", f"m{also}")
+    return ",\n           ".join(f"{'COUNT' if p == 'n' else 'SUM'}({text}) AS {p}{also}" for p, text in parts.items())
 
 
-def _units(x: str, text: bool = False) -> str:
-    whole = f"CAST({_exact(x, text)} - {_exact(x, text)} % 1 AS DECIMAL(28,0))"
-    # Doubles too large for 18 decimals are whole.
-    return f"SUM(COALESCE({whole}, TRY_CAST({_amount(x, text)} AS DECIMAL(28,0))))"
+def _again(also: str = "") -> str:
+    """Sums of sums, for a second grouping."""
+    return ", ".join(f"SUM({part}{also}) AS {part}{also}" for part in (*money.PARTS, "n"))
 
 
-def _rest(x: str, text: bool = False) -> str:
-    return f"SUM(CAST(COALESCE({_exact(x, text)}, 0) % 1 AS DECIMAL(28,18)))"
+def _joined(sums: str, also: str = "") -> str:
+    """The rows of ``sums`` with the sums put together as ``units`` and ``rest``."""
+    units = money.sql_units(f"whole{also}", f"giga{also}", f"exa{also}")
+    rest = money.sql_rest(f"micros{also}", f"pico{also}", f"atto{also}")
+    return f"(SELECT *, {units} AS units{also}, {rest} AS rest{also} FROM ({sums}))"
 
 
-def _count(x: str, text: bool = False) -> str:
-    return f"COUNT(TRY_CAST({_amount(x, text)} AS DECIMAL(28,0)))"
+_SUM, _MEAN, _AVG = money.sql_double("units", "rest", True), money.sql_mean("units", "rest", "n"), money.sql_avg("units", "rest", "n")
+_QUANTITY = money.sql_double("units_q", "rest_q", False)
 
 
-# Totals from here on have no cents as doubles.
-_CENTS_BELOW = "1000000000000000000BD"
-
-
-def _small(units: str, rest: str) -> str:
-    return f"(TRY_CAST({units} AS DECIMAL(36,18)) + TRY_CAST({rest} AS DECIMAL(36,18)))"
-
-
-def _double(units: str, rest: str, rounded: bool) -> str:
-    small = f"ROUND({_small(units, rest)}, 2)" if rounded else _small(units, rest)
-    return f"CASE WHEN ABS({units}) < {_CENTS_BELOW} THEN CAST({small} AS DOUBLE) ELSE CAST({units} + ROUND({rest}, 0) AS DOUBLE) END"
-
-
-def _total(x: str) -> str:
-    return _double(_units(x), _rest(x), False)
-
-
-def _exact_sum(x: str, text: bool = False) -> str:
-    return _double(_units(x, text), _rest(x, text), True)
-
-
-def _exact_mean(x: str) -> str:
-    return f"({_total(x)}) / {_count(x)}"
-
-
-def _exact_avg(x: str) -> str:
-    small, n = f"ABS({_small(_units(x), _rest(x))})", _count(x)
-    halves = f"(CAST(FLOOR({small}) AS DECIMAL(20,0)) * 200 + FLOOR(CAST({small} % 1 AS DECIMAL(18,18)) * 200))"
-    q = f"CAST((2 * {halves} + 2 * {n}) DIV (4 * {n}) AS DOUBLE)"
-    sign = f"CASE WHEN {_units(x)} + {_rest(x)} < 0 THEN -1 ELSE 1 END"
-    return (f"CASE WHEN {n} > 0 THEN CASE WHEN ABS({_units(x)}) < {_CENTS_BELOW} THEN {sign} * {q} / 100 "
-            f"ELSE CAST({_units(x)} + ROUND({_rest(x)}, 0) AS DOUBLE) / {n} END END")
+def _grouped(rows: str, keys: str, more: str = "", sums: str = "") -> str:
+    """Sums of the rows' amounts per key, put together; ``more`` are further aggregates."""
+    more = f"{more}, " if more else ""
+    return _joined(f"SELECT {keys}, {more}{sums or _sums()} FROM {rows} GROUP BY {keys}")
 
 
 # Dimension within the broadcast bound: join, then aggregate.
-REVENUE_BY_COUNTRY_SQL = f"""
-SELECT n.n_name AS country,
-       {_exact_sum("o.o_totalprice")} AS total_revenue
-FROM orders o
-JOIN customer c ON o.o_custkey = c.c_custkey
-JOIN nation n ON c.c_nationkey = n.n_nationkey
-WHERE o.o_totalprice > 100000
-GROUP BY n.n_name
+def _by_country(rows: str) -> str:
+    joined = f"{rows} o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey"
+    return f"""
+SELECT n_name AS country, {_SUM} AS total_revenue
+FROM {_grouped(joined, "n_name")}
 ORDER BY total_revenue DESC, country
 """
 
-# The same over a view whose amounts are text: cast in WHERE and in SUM.
-REVENUE_BY_COUNTRY_TEXT_SQL = f"""
-SELECT n.n_name AS country,
-       {_exact_sum("o.amount_text", text=True)} AS total_revenue
-FROM orders_text o
-JOIN customer c ON o.o_custkey = c.c_custkey
-JOIN nation n ON c.c_nationkey = n.n_nationkey
-WHERE {_amount("o.amount_text", text=True)} > 100000
-GROUP BY n.n_name
-ORDER BY total_revenue DESC, country
-"""
+
+REVENUE_BY_COUNTRY_SQL = _by_country(_rows("orders", "o_totalprice", condition="x > 100000"))
+
+# The same over a view whose amounts are text.
+REVENUE_BY_COUNTRY_TEXT_SQL = _by_country(_rows("orders_text", "amount_text", text=True, condition="x > 100000"))
 
 
 # Dirty text amounts: exact totals as text, and what was rejected.
 AMOUNT_TOTALS_SQL = f"""
 SELECT o_orderpriority,
-       CAST(CAST(CAST({_units("amount_text", True)} AS DECIMAL(38,2)) + ROUND({_rest("amount_text", True)}, 2) AS DECIMAL(38,2)) AS STRING) AS total,
-       {_count("amount_text", True)} AS counted,
-       COUNT(amount_text) - {_count("amount_text", True)} AS rejected
-FROM dirty_orders
-GROUP BY o_orderpriority
+       CAST(CAST(CAST(units AS DECIMAL(38,2)) + ROUND(rest, 2) AS DECIMAL(38,2)) AS STRING) AS total,
+       n AS counted, given - n AS rejected
+FROM {_grouped(_rows("dirty_orders", "amount_text", text=True), "o_orderpriority", "COUNT(amount_text) AS given")}
 """
 
 
 # Dimension above the bound: orders are summed per customer before the joins.
-def _country_preaggregated(orders: str, amount: str, condition: str, text: bool = False) -> str:
+def _country_preaggregated(rows: str) -> str:
+    per_customer = f"(SELECT o_custkey, {_sums()} FROM {rows} GROUP BY o_custkey)"
+    joined = f"{per_customer} p JOIN customer c ON p.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey"
     return f"""
-WITH per_customer AS (
-    SELECT o_custkey, {_units(amount, text)} AS units, {_rest(amount, text)} AS rest
-    FROM {orders}
-    WHERE {condition}
-    GROUP BY o_custkey
-)
-SELECT n.n_name AS country,
-       {_double("SUM(p.units)", "SUM(p.rest)", True)} AS total_revenue
-FROM per_customer p
-JOIN customer c ON p.o_custkey = c.c_custkey
-JOIN nation n ON c.c_nationkey = n.n_nationkey
-GROUP BY n.n_name
+SELECT n_name AS country, {_SUM} AS total_revenue
+FROM {_grouped(joined, "n_name", sums=_again())}
 ORDER BY total_revenue DESC, country
 """
 
 
-REVENUE_BY_COUNTRY_PREAGG_SQL = _country_preaggregated("orders", "o_totalprice", "o_totalprice > 100000")
-REVENUE_BY_COUNTRY_TEXT_PREAGG_SQL = _country_preaggregated(
-    "orders_text", "amount_text", f"{_amount('amount_text', text=True)} > 100000", text=True
-)
+REVENUE_BY_COUNTRY_PREAGG_SQL = _country_preaggregated(_rows("orders", "o_totalprice", condition="x > 100000"))
+REVENUE_BY_COUNTRY_TEXT_PREAGG_SQL = _country_preaggregated(_rows("orders_text", "amount_text", text=True, condition="x > 100000"))
 
 
 def register_views(views: dict[str, DataFrame]) -> None:
@@ -174,67 +131,51 @@ DIMENSION_COLUMNS = {
 # The sorted reports over many groups carry a REBALANCE hint under the ORDER
 # BY, as ``sorted_by(materialize=True)`` does for the DataFrame forms.
 
+_ORDERS = _rows("orders", "o_totalprice")
+_LINES = _rows(_rows("lineitem", "l_extendedprice"), "l_quantity", also="_q")
+
 REPORT_SQL: dict[str, str] = {
     "total_sales_by_customer": f"""
-SELECT o_custkey, {_exact_sum("o_totalprice")} AS total_sales
-FROM orders
-GROUP BY o_custkey
+SELECT o_custkey, {_SUM} AS total_sales
+FROM {_grouped(_ORDERS, "o_custkey")}
 """,
     "revenue_by_category": f"""
-SELECT o_orderpriority AS category,
-       COUNT(o_orderkey) AS total_orders,
-       {_exact_sum("o_totalprice")} AS total_revenue
-FROM orders
-GROUP BY o_orderpriority
+SELECT o_orderpriority AS category, total_orders, {_SUM} AS total_revenue
+FROM {_grouped(_ORDERS, "o_orderpriority", "COUNT(o_orderkey) AS total_orders")}
 ORDER BY total_revenue DESC, category NULLS LAST
 """,
     "product_sales_metrics": f"""
 SELECT * FROM (
-    SELECT /*+ REBALANCE */ l_partkey,
-           {_exact_sum("l_extendedprice")} AS total_sales_amount,
-           {_total("l_quantity")} AS total_quantity_sold,
-           {_exact_avg("l_extendedprice")} AS average_transaction_amount
-    FROM lineitem
-    GROUP BY l_partkey
+    SELECT /*+ REBALANCE */ l_partkey, {_SUM} AS total_sales_amount, {_QUANTITY} AS total_quantity_sold,
+           {_AVG} AS average_transaction_amount
+    FROM {_joined("SELECT * FROM " + _grouped(_LINES, "l_partkey", _sums("_q")), "_q")}
 ) metrics
 ORDER BY l_partkey NULLS LAST
 """,
     "purchases_by_user": f"""
 SELECT * FROM (
-    SELECT /*+ REBALANCE */ user_id,
-           COUNT(user_id) AS total_purchases,
-           {_exact_mean("value")} AS avg_spend
-    FROM events
-    WHERE event_type = 'purchase'
-    GROUP BY user_id
+    SELECT /*+ REBALANCE */ user_id, total_purchases, {_MEAN} AS avg_spend
+    FROM {_grouped(_rows("events", "value", condition="event_type = 'purchase'"), "user_id", "COUNT(user_id) AS total_purchases")}
 ) purchases
 ORDER BY total_purchases DESC, user_id NULLS LAST
 """,
     "completed_summary": f"""
-SELECT o_orderpriority AS category,
-       COUNT(o_orderkey) AS total_orders,
-       {_exact_sum("o_totalprice")} AS total_revenue,
-       {_exact_mean("o_totalprice")} AS avg_order_value,
+SELECT o_orderpriority AS category, total_orders, {_SUM} AS total_revenue, {_MEAN} AS avg_order_value,
        current_timestamp() AS processed_at
-FROM orders
-WHERE o_orderstatus = 'F'
-GROUP BY o_orderpriority
+FROM {_grouped(_rows("orders", "o_totalprice", condition="o_orderstatus = 'F'"), "o_orderpriority", "COUNT(o_orderkey) AS total_orders")}
 """,
     "customer_sales_report": f"""
 WITH sales AS (
-    SELECT o_custkey, {_exact_sum("o_totalprice")} AS total_sales
-    FROM orders
-    GROUP BY o_custkey
+    SELECT o_custkey, {_SUM} AS total_sales
+    FROM {_grouped(_ORDERS, "o_custkey")}
 )
 SELECT s.o_custkey, c.c_name, s.total_sales, c.c_mktsegment
 FROM sales s
 JOIN customer c ON s.o_custkey = c.c_custkey
 """,
     "revenue_by_brand": f"""
-SELECT p.p_brand, {_exact_sum("l.l_extendedprice")} AS total_revenue
-FROM lineitem l
-JOIN part p ON l.l_partkey = p.p_partkey
-GROUP BY p.p_brand
+SELECT p_brand, {_SUM} AS total_revenue
+FROM {_grouped(_rows("lineitem", "l_extendedprice") + " l JOIN part p ON l.l_partkey = p.p_partkey", "p_brand")}
 """,
     "revenue_by_country": REVENUE_BY_COUNTRY_SQL,
     "revenue_by_country_text": REVENUE_BY_COUNTRY_TEXT_SQL,
@@ -243,17 +184,12 @@ GROUP BY p.p_brand
 
 # The forms for a dimension above the broadcast bound, and the dimension
 # whose size decides.
+_PER_PART = f"(SELECT l_partkey, {_sums()} FROM {_rows('lineitem', 'l_extendedprice')} GROUP BY l_partkey) pp"
+
 PREAGGREGATED_SQL: dict[str, tuple[str, str]] = {
     "revenue_by_brand": ("part", f"""
-WITH per_part AS (
-    SELECT l_partkey, {_units("l_extendedprice")} AS units, {_rest("l_extendedprice")} AS rest
-    FROM lineitem
-    GROUP BY l_partkey
-)
-SELECT p.p_brand, {_double("SUM(pp.units)", "SUM(pp.rest)", True)} AS total_revenue
-FROM per_part pp
-JOIN part p ON pp.l_partkey = p.p_partkey
-GROUP BY p.p_brand
+SELECT p_brand, {_SUM} AS total_revenue
+FROM {_grouped(_PER_PART + " JOIN part p ON pp.l_partkey = p.p_partkey", "p_brand", sums=_again())}
 """),
     "revenue_by_country": ("customer", REVENUE_BY_COUNTRY_PREAGG_SQL),
     "revenue_by_country_text": ("customer", REVENUE_BY_COUNTRY_TEXT_PREAGG_SQL),
