@@ -41,7 +41,7 @@ BLOCK = frozenset(
 )
 CLOSES_P = BLOCK - {"body", "html", "caption", "tbody", "tfoot", "thead", "tr", "legend", "option", "optgroup"}
 DROPPED = frozenset(
-    "aside button canvas datalist dialog embed footer head iframe input math menu nav noembed noframes noscript "
+    "aside button canvas datalist dialog embed footer head iframe input menu nav noembed noframes noscript "
     "object script search select style svg template textarea title".split()
 )
 # Controls and labels of a form; the form itself is judged by what it holds.
@@ -84,7 +84,8 @@ HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)"
+    # A quote opens a value only directly after "="; any other ends with its tag.
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL,
 )
@@ -94,6 +95,8 @@ _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 GONE = float("inf")
+# Goes by its name, unless it turns out to hold the page's text.
+NAMED = 1e18
 LONG_TEXT = 200.0
 
 
@@ -107,15 +110,19 @@ def _name_asks(name: str, key: str, value: str, in_article: bool) -> float:
         found = parts & BOILERPLATE
         if not found:
             continue
+        # "with-sidebar" or "content-sidebar-wrap" may be the layout around the article; "sidebar" is not.
+        gone = GONE if parts <= BOILERPLATE else NAMED
+        # "with-sidebar" or "content-sidebar-wrap" may be the layout around the article; "sidebar" is not.
+        gone = GONE if parts <= BOILERPLATE else NAMED
         sure, whole = not found <= DOUBTFUL, parts <= BOILERPLATE | LAYOUT
         slug = key == "id" and name == "section"
         if not in_article:
-            need = (LONG_TEXT if sure else MIN_PARAGRAPH) if slug and not (whole and sure) else GONE if whole or sure else LONG_TEXT
+            need = (LONG_TEXT if sure else MIN_PARAGRAPH) if slug and not (whole and sure) else gone if whole or sure else LONG_TEXT
         elif key == "id":
             # Only a whole name counts: the id of a section or part is often the slug of its title.
-            need = 0.0 if not whole else GONE if sure else 1.0 if slug else MIN_PARAGRAPH
+            need = 0.0 if not whole else gone if sure else 1.0 if slug else MIN_PARAGRAPH
         elif sure or (whole and len(found) > 1):
-            need = GONE
+            need = gone
         else:
             need = LONG_TEXT if whole else MIN_PARAGRAPH
         asked = max(asked, need)
@@ -144,7 +151,7 @@ def _asks(name: str, attrs: str, in_article: bool, in_form: bool, in_heading: bo
             return GONE
     if name in HEADINGS or name not in BLOCK:
         # Too short to be judged by their text: in an article a whole class counts, else only what is sure.
-        return GONE if asked >= (LONG_TEXT if in_article else GONE) else 0.0
+        return GONE if asked >= (LONG_TEXT if in_article else NAMED) else 0.0
     return asked
 
 
@@ -346,6 +353,31 @@ class _Scores:
 
 
 def _without_doubtful(page: _Page) -> list[tuple[int, str, float]]:
+    """The blocks outside of elements that hold less text than they must, or mostly links.
+
+    Elements that go by a name that may also be a layout's stay if they hold an
+    article or main part, or if next to no text is left without them: then
+    those around the best container stay.
+    """
+    if NAMED in page.asks.values():
+        s = _Scores(page, page.blocks)
+        article = [page.tag[i] in CONTAINER_BONUS and s.held[i] for i in range(len(page.tag))]
+        for i in range(len(page.tag) - 1, 0, -1):
+            article[page.parent[i]] |= article[i]
+        page.asks = {i: 0.0 if asked == NAMED and article[i] else asked for i, asked in page.asks.items()}
+        left = _judged(page)
+        if sum(len(text) * (1.0 - linked) for _, text, linked in left if len(text) >= MIN_PARAGRAPH) >= LONG_TEXT:
+            return left
+        points = [s.score[i] * s.unlinked(i) if s.text_len[i] and page.tag[i] in CONTAINERS else -1.0 for i in range(len(page.tag))]
+        at = max(range(len(points)), key=lambda i: (points[i], -i))
+        while at > 0:
+            if page.asks.get(at) == NAMED:
+                page.asks[at] = 0.0
+            at = page.parent[at]
+    return _judged(page)
+
+
+def _judged(page: _Page) -> list[tuple[int, str, float]]:
     """The blocks outside of elements that hold less text than they must, or mostly links."""
     n = len(page.tag)
     text_len, link_len = [0.0] * n, [0.0] * n
@@ -354,7 +386,7 @@ def _without_doubtful(page: _Page) -> list[tuple[int, str, float]]:
         link_len[element] += len(text) * linked
     gone = [False] * n
     for i in range(n - 1, 0, -1):
-        if i in page.asks:
+        if page.asks.get(i):
             gone[i] = text_len[i] - link_len[i] < page.asks[i] or link_len[i] >= LOW_DENSITY * text_len[i]
         if not gone[i]:
             text_len[page.parent[i]] += text_len[i]
@@ -416,12 +448,29 @@ def extract_text(html: str | None) -> str:
     # A wrapper that holds no other text stands for it, so that its siblings are looked at.
     while page.tag[best] not in CONTAINER_BONUS and best > 0 and text_len[page.parent[best]] == text_len[best]:
         best = page.parent[best]
+    def alone(i: int) -> int:
+        """The outermost element around ``i`` that holds no other text."""
+        while page.parent[i] > 0 and text_len[page.parent[i]] == text_len[i]:
+            i = page.parent[i]
+        return i
+
+    def alone(i: int) -> int:
+        """The outermost element around ``i`` that holds no other text."""
+        while page.parent[i] > 0 and text_len[page.parent[i]] == text_len[i]:
+            i = page.parent[i]
+        return i
+
     titled = [False] * n         # holds a heading with text
     for element, _, _ in page.blocks:
         titled[element] |= page.tag[element] in HEADINGS
     for i in range(n - 1, 0, -1):
         titled[page.parent[i]] |= titled[i]
     kept = {best}
+    if page.tag[best] in CONTAINER_BONUS:
+        # Articles of one list, each in a wrapper of its own.
+        level = page.parent[alone(best)]
+        kept |= {i for i in range(1, n) if page.tag[i] == page.tag[best] and text_len[i]
+                 and final[i] >= 0.2 * final[best] and page.parent[alone(i)] == level}
     for i in range(1, n):
         if page.parent[i] != page.parent[best] or i == best or not text_len[i]:
             continue

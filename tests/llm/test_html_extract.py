@@ -147,3 +147,44 @@ def test_rows_and_columns(spark):
     got = with_main_text(pages, name="main_text").collect()
     assert sorted((r["main_text"], r["text"]) for r in got) == [("", "t"), ("", "t"), ("x", "t")]
     assert with_main_text(pages.limit(0)).count() == 0
+
+
+SIX = [f"Paragraph {i} tells of rain, wind and tides, of boats that stay in, and of people who mend nets, number {i}." for i in range(6)]
+
+
+@pytest.mark.parametrize("opening", [
+    '<p class="a"">', "<p title=it's>", '<p class="x" data-y="z"">', "<p data-a='b''>", '<p title="a > b">', "<p title=a=b>", '<p ">',
+    '<p class = "a" \' >', '<p data-json=\'{"a": ">"}\'>', "<p class=x/>", '<p a="1"b="2">',
+])
+def test_stray_quotes_end_with_their_tag(opening):
+    html = "<body><article>" + "".join(f"{opening}{t}</p>" for t in SIX) + "</article></body>"
+    assert extract_text(html) == "\n".join(SIX)
+
+
+@pytest.mark.parametrize("name", [
+    "post with-sidebar", "content-sidebar-wrap", "page nav-closed", "has-sidebar", "no-sidebar layout", "sidebar-left-layout",
+    "col-with-ads", "main-nav-open", "menu-collapsed content", "newsletter-page", "page-with-comments", "site-footer-sticky",
+])
+@pytest.mark.parametrize("inner", ["{}", "<article>{}</article>", "<div><div>{}</div></div>"])
+def test_layout_names_do_not_remove_the_text(name, inner):
+    body = inner.format("".join(f"<p>{t}</p>" for t in SIX))
+    page = (f'<body><div class="menu"><a href="/a">Home</a> <a href="/b">News</a></div><div class="{name}">{body}'
+            '<div class="sidebar"><p>Most read this week, by all our readers, and more of it.</p></div></div></body>')
+    assert extract_text(page) == "\n".join(SIX)
+
+
+def test_named_parts_go_where_the_article_stands_elsewhere():
+    article = "".join(f"<p>{t}</p>" for t in SIX)
+    page = (f'<body><div class="story">{article}</div><div class="sidebar-left-box"><p>{" ".join(SIX)}</p></div>'
+            f'<div class="reader-comments"><p>{" ".join(SIX * 3)}</p></div></body>')
+    assert extract_text(page) == "\n".join(SIX)
+
+
+def test_articles_in_wrappers_of_their_own_are_all_kept():
+    page = "<body><div>" + "".join(f'<div class="item"><article><p>{t}</p></article></div>' for t in SIX) + "</div></body>"
+    assert extract_text(page) == "\n".join(SIX)
+
+
+def test_formulas_in_an_article_are_text():
+    page = f"<article><p>{SIX[0]} Energy is <math><mi>E</mi><mo>=</mo><mn>1</mn></math> here.</p></article>"
+    assert extract_text(page) == f"{SIX[0]} Energy is E=1 here."
