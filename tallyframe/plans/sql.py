@@ -14,6 +14,9 @@ map task, and one row per key meets the dimension in a sort-merge join).
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -211,10 +214,17 @@ def sql_report(
     used = DIMENSION_COLUMNS.get(name, {})
     tables = {t: df.select(*used[t]) if t in used else df for t, df in tables.items()}
     small = {t: fits_broadcast(df, bounds[t]) for t, df in tables.items() if t in bounds}
-    register_views({t: F.broadcast(df) if small.get(t) else df for t, df in tables.items()})
     text = REPORT_SQL[name]
     if name in PREAGGREGATED_SQL:
         dimension, preaggregated = PREAGGREGATED_SQL[name]
         if not small[dimension]:
             text = preaggregated
-    return spark.sql(text)
+    # Views of this call's own: the caller's views of the same names stay as they are.
+    own = {t: f"{t}_{uuid.uuid4().hex}" for t in tables}
+    register_views({own[t]: F.broadcast(df) if small.get(t) else df for t, df in tables.items()})
+    try:
+        return spark.sql(re.sub(rf"\b({'|'.join(tables)})\b", lambda m: own[m[1]], text))
+    finally:
+        # The result's plan is resolved and needs the names no more.
+        for view in own.values():
+            spark.catalog.dropTempView(view)

@@ -74,3 +74,11 @@ def test_dirty_amounts_total_the_same_in_both_forms(spark):
     via_sql = sql_report(spark, "amount_totals", {"dirty_orders": dirty})
     via_df = reports.amount_totals(dirty, "o_orderpriority", "amount_text")
     assert sorted(map(tuple, via_sql.collect())) == sorted(map(tuple, via_df.collect()))
+
+
+def test_views_of_the_caller_stay(spark):
+    spark.range(3).createOrReplaceTempView("orders")
+    before = {t.name for t in spark.catalog.listTables()}
+    sql_report(spark, "total_sales_by_customer", {"orders": read_table(spark, SF_ORACLE, "orders")}).count()
+    assert {t.name for t in spark.catalog.listTables()} == before and spark.table("orders").count() == 3
+    spark.catalog.dropTempView("orders")
