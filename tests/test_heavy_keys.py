@@ -1,0 +1,89 @@
+"""Keys behind heavy partitions: exact counts, null keys, empty partitions, both join ways, the merged sketch."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyframe.operators.heavy_keys import error_bound, heavy_keys, partition_sketches, sketched_heavy_keys, tracked_items
+
+N = 24_000
+
+
+def planted(spark):
+    """One key with a third of all rows, one with a twentieth, nulls with a tenth, the rest all different."""
+    i = F.col("id")
+    key = F.when(i % 3 == 0, -8).when(i % 20 == 1, -7).when(i % 10 == 2, None).otherwise(i)
+    return spark.range(N).select(key.alias("k"), F.lit("x").alias("key"))
+
+
+def dealt(spark, planned=12):
+    return planted(spark).repartitionById(planned, F.coalesce(F.pmod("k", F.lit(8)), F.lit(5)).cast("int"))
+
+
+def truth(spark, percent):
+    sizes, keys = Counter(), Counter()
+    for (k,) in planted(spark).select("k").collect():
+        p = 5 if k is None else k % 8
+        sizes[p] += 1
+        keys[p, k] += 1
+    text = lambda k: '{"k":%s}' % ("null" if k is None else k)
+    heavy = {(p, sizes[p], text(k), n) for (p, k), n in keys.items() if n * 100 >= sizes[p] * percent}
+    rest = set(range(12)) - {h[0] for h in heavy}
+    return heavy | {(p, sizes[p], None, None) for p in rest}
+
+
+@pytest.mark.parametrize("bound", [1_000_000, 0])
+@pytest.mark.parametrize("percent", [1, 5, 40])
+def test_heavy_keys_are_exact_and_whole(spark, percent, bound):
+    got = heavy_keys(dealt(spark), ["k"], percent, planned=12, max_broadcast_rows=bound)
+    assert got.columns == ["partition_id", "n_rows", "key", "key_rows"]
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == truth(spark, percent)
+    assert {r[1] for r in rows if r[0] >= 8} == {0}
+
+
+def test_no_planted_key_is_missed_among_many_rare_ones(spark):
+    """Ten keys just above the share, among keys that each come once and fill the sketch many times over."""
+    i = F.col("id")
+    rows = spark.range(20_000).select(F.when(i % 100 < 52, F.concat(F.lit("hot"), i % 10)).otherwise(i.cast("string")).alias("k"))
+    got = heavy_keys(rows.coalesce(1), ["k"], 5).collect()
+    assert {r["key"] for r in got} == {'{"k":"hot%d"}' % d for d in range(10)}
+    # The shares of i % 10 within i % 100 < 52 are 6 or 5 in a hundred.
+    assert {r["key_rows"] for r in got} == {1_000, 1_200}
+
+
+def test_sketches_cross_the_network_not_rows(spark):
+    plan = partition_sketches(dealt(spark), ["k"])._jdf.queryExecution().executedPlan().toString()
+    # Dealing the rows, then one partial sketch per task.
+    assert plan.count("Exchange ") == 2 and "partial_approx_top_k_accumulate" in plan
+
+
+def test_merged_sketch_names_the_keys_of_all_rows(spark):
+    named = {r["key"]: r["approx_rows"] for r in sketched_heavy_keys(partition_sketches(dealt(spark), ["k"], 4), 4).collect()}
+    exact = Counter(k for (k,) in planted(spark).select("k").collect())
+    exact = {'{"k":%s}' % ("null" if k is None else k): n for k, n in exact.items()}
+    assert {k for k, n in exact.items() if n * 100 >= 4 * N} <= set(named)
+    # A listed key may fall short by the error bound, so the one with 3.3% is named too.
+    assert set(named) == {'{"k":-8}', '{"k":-7}', '{"k":null}'}
+    assert all(abs(n - exact[k]) <= error_bound(4) * N for k, n in named.items())
+
+
+def test_several_key_columns_and_an_empty_table(spark):
+    rows = spark.createDataFrame([("a", None), ("a", None), ("b", 1), (None, None)], "x string, `y.z` int").coalesce(1)
+    got = {(r["key"], r["key_rows"]) for r in heavy_keys(rows, ["x", "y.z"], 50).collect()}
+    assert got == {('{"x":"a","y.z":null}', 2)}
+    empty = rows.where("false")
+    assert heavy_keys(empty, ["x"]).count() == 0
+    assert [tuple(r) for r in heavy_keys(empty, ["x"], planned=2).orderBy("partition_id").collect()] == [
+        (0, 0, None, None), (1, 0, None, None)]
+    assert sketched_heavy_keys(partition_sketches(empty, ["x"])).count() == 0
+
+
+def test_the_share_is_checked(spark):
+    assert tracked_items(5) == 105 and error_bound(5) <= 0.025
+    for bad in (0, -1, 101, 1e-6):
+        with pytest.raises(ValueError):
+            tracked_items(bad)
