@@ -2,6 +2,7 @@
 
     python -m tallyframe.jobs.sales_report INPUT [OUTPUT] [--format csv|parquet]
         [--product COL --amount COL --quantity COL] [--schema DDL | --infer]
+        [--quarantine FOLDER]
 
 INPUT may be any Hadoop file system URI (local, ``hdfs://``, ``s3a://``; the
 latter needs the ``hadoop-aws`` package on the classpath).  Without OUTPUT the
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyframe.plans.reports import product_sales_metrics
 from tallyframe.sinks.files import data_file_name, write_parquet
 from tallyframe.sources.csv import read_csv_typed
+from tallyframe.sources.quarantine import load_with_quarantine
 
 
 def detect_format(spark: SparkSession, path: str) -> str:
@@ -41,14 +43,23 @@ def load_input(
     fmt: str | None = None,
     schema: str | None = None,
     infer: bool = False,
+    quarantine_path: str | None = None,
 ) -> DataFrame:
     """Input rows from CSV or Parquet.
 
     CSV needs ``schema``, a DDL string (``"ProductID INT, Amount DOUBLE, ..."``)
     whose columns are found in the header by name, or ``infer=True``, which
     costs an extra pass.  Parquet brings its own schema.
+
+    With ``quarantine_path`` (CSV with a schema) lines that do not fit are put
+    aside in that new folder, with their file and the reason, beside the rows
+    read from the others.
     """
     fmt = fmt or detect_format(spark, path)
+    if quarantine_path is not None:
+        if fmt != "csv" or schema is None:
+            raise ValueError("a quarantine needs CSV input with a schema (--schema)")
+        return load_with_quarantine(spark, path, quarantine_path, schema, reject_types=True).rows
     if fmt == "csv":
         if schema is None and not infer:
             raise ValueError("CSV input needs a schema (--schema) or inference (--infer)")
@@ -69,13 +80,14 @@ def run_sales_report(
     quantity: str = "l_quantity",
     schema: str | None = None,
     infer: bool = False,
+    quarantine_path: str | None = None,
 ) -> DataFrame:
     """Metrics per ``product``; written as Parquet, in order, when ``output_path`` is set.
 
     The frame returned for an output reads the written files and is not sorted
     again.
     """
-    rows = load_input(spark, input_path, fmt, schema, infer)
+    rows = load_input(spark, input_path, fmt, schema, infer, quarantine_path)
     missing = [c for c in (product, amount, quantity) if c.lower() not in {x.lower() for x in rows.columns}]
     if missing:
         raise ValueError(f"the input has no column {', '.join(missing)}; it has {', '.join(rows.columns)}")
@@ -96,6 +108,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--quantity", default="l_quantity")
     parser.add_argument("--schema", help="DDL of the columns to read, found by name, e.g. 'ProductID INT, Amount DOUBLE'")
     parser.add_argument("--infer", action="store_true", help="infer CSV types (an extra pass over the input)")
+    parser.add_argument("--quarantine", help="new folder for rows that fit and, beside them, lines that do not")
     parser.add_argument("--preview", type=int, default=20)
     try:
         args = parser.parse_args(argv)
@@ -107,7 +120,7 @@ def main(argv: list[str] | None = None) -> int:
     try:
         report = run_sales_report(
             spark, args.input, args.output, args.format,
-            args.product, args.amount, args.quantity, args.schema, args.infer,
+            args.product, args.amount, args.quantity, args.schema, args.infer, args.quarantine,
         )
         report.orderBy(args.product).limit(args.preview).show(args.preview, truncate=False)
         return 0

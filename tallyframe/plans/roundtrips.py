@@ -20,6 +20,7 @@ from tallyframe.sinks.versions import read_current, replace_version
 from tallyframe.sources.csv import read_csv_text, read_csv_typed, write_csv
 from tallyframe.sources.inference import inference_report, read_csv_inferred
 from tallyframe.sources.memory import replicate
+from tallyframe.sources.quarantine import Quarantined, load_with_quarantine
 from tallyframe.sources.tables import read_table, table_path
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice"]
@@ -77,6 +78,43 @@ def q_csv_inference_report(spark: SparkSession, root: str) -> DataFrame:
     return inference_report(spark, facts, INFERENCE_TOLERANCE)
 
 
+def _broken_orders_as_csv(spark: SparkSession, root: str) -> str:
+    """Orders as CSV lines with quoted texts; some lines short, long, with a quote left open or a price that is no number."""
+    key = F.col("o_orderkey")
+    price = F.when(key % 110 == 0, "n/a").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    text = F.concat(F.lit('"say \\"'), "o_orderpriority", F.lit('\\", then ship"'))
+    whole = F.concat_ws(",", key.cast("string"), F.coalesce(F.col("o_custkey").cast("string"), F.lit("")), text, price)
+    line = (
+        F.when(key % 90 == 0, F.concat(key.cast("string"), F.lit(',7,"open,'), price))
+        .when(key % 50 == 0, F.concat(key.cast("string"), F.lit(","), text))
+        .when(key % 70 == 0, F.concat(whole, F.lit(",more")))
+        .otherwise(whole)
+    )
+    path = scratch_path(spark, "broken-orders-csv")
+    lines = read_table(spark, root, "orders").select(line.alias("o_orderkey,o_custkey,note,o_totalprice"))
+    # One column, no quoting: the lines and the header are written as they are.
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "").option("escapeQuotes", False).csv(path)
+    return path
+
+
+def _loaded_orders(spark: SparkSession, root: str) -> Quarantined:
+    schema = "o_orderkey BIGINT, o_totalprice DOUBLE, note STRING, o_custkey BIGINT"
+    return load_with_quarantine(
+        spark, _broken_orders_as_csv(spark, root), scratch_path(spark, "checked-orders"), schema, reject_types=True
+    )
+
+
+def q_csv_quarantine_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Orders through broken CSV: the rows of the lines that fit the columns."""
+    return _loaded_orders(spark, root).rows
+
+
+def q_csv_quarantine_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Orders through broken CSV: the lines put aside, why, and whether their file is known."""
+    rejected = _loaded_orders(spark, root).rejected
+    return rejected.select("reason", "line", F.col("file").contains("broken-orders-csv").alias("file_known"))
+
+
 def q_replicate_rows(spark: SparkSession, root: str) -> DataFrame:
     """Customers replicated ``REPLICATION_FACTOR`` times, counted by segment."""
     customers = read_table(spark, root, "customer").select("c_mktsegment")
@@ -143,6 +181,8 @@ QUERIES = {
     "csv_scan_typed": q_csv_scan_typed,
     "csv_scan_inferred": q_csv_scan_inferred,
     "csv_inference_report": q_csv_inference_report,
+    "csv_quarantine_rows": q_csv_quarantine_rows,
+    "csv_quarantine_lines": q_csv_quarantine_lines,
     "replicate_rows": q_replicate_rows,
     "sales_report": q_sales_report,
     "parquet_overwrite": q_parquet_overwrite,
@@ -195,6 +235,28 @@ FROM n, LATERAL (VALUES
     ('wide_key', CASE WHEN small_wide THEN 'int' ELSE 'bigint' END, n, 0),
     ('o_custkey', 'int', n, 0), ('o_orderstatus', 'string', n - no_status, 0), ('o_totalprice', 'double', n, bad_price),
     ('o_orderdate', 'date', n, bad_date), ('even', 'boolean', n, 0)) AS v("column", type, filled, rejected)
+""",
+    "csv_quarantine_rows": """
+SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS o_totalprice,
+       'say "' || o_orderpriority || '", then ship' AS note, o_custkey
+FROM orders
+WHERE o_orderkey % 90 <> 0 AND o_orderkey % 50 <> 0 AND o_orderkey % 70 <> 0 AND o_orderkey % 110 <> 0
+""",
+    "csv_quarantine_lines": r"""
+WITH parts AS (
+    SELECT o_orderkey AS key, COALESCE(CAST(o_custkey AS VARCHAR), '') AS cust,
+           '"say \"' || o_orderpriority || '\", then ship"' AS note,
+           CASE WHEN o_orderkey % 110 = 0 THEN 'n/a' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS price
+    FROM orders
+), whole AS (
+    SELECT *, key || ',' || cust || ',' || note || ',' || price AS line FROM parts
+)
+SELECT CASE WHEN key % 90 = 0 THEN 'open_quote' WHEN key % 50 = 0 THEN 'short' WHEN key % 70 = 0 THEN 'long' ELSE 'type' END AS reason,
+       CASE WHEN key % 90 = 0 THEN key || ',7,"open,' || price WHEN key % 50 = 0 THEN key || ',' || note
+            WHEN key % 70 = 0 THEN line || ',more' ELSE line END AS line,
+       TRUE AS file_known
+FROM whole
+WHERE key % 90 = 0 OR key % 50 = 0 OR key % 70 = 0 OR key % 110 = 0
 """,
     "replicate_rows": """
 SELECT c_mktsegment, 4 * COUNT(*) AS n
