@@ -96,6 +96,11 @@ def q_customer_sales_report(spark: SparkSession, root: str) -> DataFrame:
     return reports.customer_sales_report(*_t(spark, root, "orders", "customer"))
 
 
+def q_segment_sales_filtered(spark: SparkSession, root: str) -> DataFrame:
+    """Sales of one segment's customers with no broadcast of them: their keys filter the orders first."""
+    return reports.segment_sales_report(*_t(spark, root, "orders", "customer"), "BUILDING", max_broadcast_rows=0)
+
+
 def q_broadcast_lookup(spark: SparkSession, root: str) -> DataFrame:
     return reports.revenue_by_brand(*_t(spark, root, "lineitem", "part"))
 
@@ -121,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "purchases_by_user": q_purchases_by_user,
     "completed_summary": q_completed_summary,
     "customer_sales_report": q_customer_sales_report,
+    "segment_sales_filtered": q_segment_sales_filtered,
     "broadcast_lookup": q_broadcast_lookup,
     "preview_top_n": q_preview_top_n,
     **roundtrips.QUERIES,
@@ -261,6 +267,13 @@ SELECT o.o_custkey, c.c_name,
 FROM orders o
 JOIN customer c ON o.o_custkey = c.c_custkey
 GROUP BY o.o_custkey, c.c_name, c.c_mktsegment
+""",
+    "segment_sales_filtered": """
+SELECT o.o_custkey, c.c_name, CAST(ROUND(SUM(CAST(o.o_totalprice AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_sales
+FROM orders o
+JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE c.c_mktsegment = 'BUILDING'
+GROUP BY o.o_custkey, c.c_name
 """,
     "broadcast_lookup": """
 SELECT p.p_brand,

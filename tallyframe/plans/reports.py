@@ -16,6 +16,7 @@ from tallyframe.functions import exact_decimal, lenient_number, summable
 from tallyframe.functions.money import staged_amount, staged_parts, staged_results, staged_sum
 from tallyframe.operators.aggregates import money_summary
 from tallyframe.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast, fits_broadcast, rollup_through_dimension
+from tallyframe.operators.key_filter import prefiltered
 from tallyframe.operators.ordering import sorted_by, top_n
 
 # The thresholds of the reports (amounts in the orders' currency).
@@ -251,6 +252,26 @@ def customer_sales_report(
     )
 
 
+def segment_sales_report(
+    orders: DataFrame, customer: DataFrame, segment: str, max_broadcast_rows: int = BROADCAST_MAX_ROWS
+) -> DataFrame:
+    """``o_custkey``, ``c_name``, ``total_sales`` of the customers of one segment.
+
+    Few enough customers are broadcast.  Otherwise orders of other segments are
+    dropped by a filter of the kept keys before the per-customer sums are
+    shuffled, unless the segment holds most customers, and the sums are joined
+    on their own partitioning.
+    """
+    kept = customer.where(F.col("c_mktsegment") == segment).select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    if fits_broadcast(kept, max_broadcast_rows, size_probe=customer):
+        kept = F.broadcast(kept)
+    else:
+        n_kept = kept.count()
+        if 2 * n_kept <= customer.count():
+            orders = prefiltered(orders.select("o_custkey", "o_totalprice"), "o_custkey", kept, "o_custkey", n_kept)
+    return total_sales_by_customer(orders).join(kept, "o_custkey").select("o_custkey", "c_name", "total_sales")
+
+
 def revenue_by_brand(
     lineitem: DataFrame, part: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS
 ) -> DataFrame:
