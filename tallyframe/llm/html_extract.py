@@ -18,7 +18,10 @@ block becomes one space, blocks are joined by line feeds, nothing is cut.
 
 Defined cases: a null or empty page, or one without visible text, gives an
 empty text; markup that never closes ends with the page; repeated rows give
-equal texts.  A page is one task's row; memory is a few times the longest page.
+equal texts; of containers with equal points the first in the page is kept; an
+empty table gives an empty result.  A page is one task's row; memory is a few
+times the longest page.  The new column is renamed if its name is taken; no
+column of the input changes.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.llm.common import free_name
+
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
@@ -497,6 +502,7 @@ def _extract(pages: pa.Array) -> pa.Array:
     return pa.array([extract_text(h) for h in pages.to_pylist()], pa.string())
 
 
-def with_main_text(pages: DataFrame, html: str = "html", name: str = "text") -> DataFrame:
-    """``pages`` with the main text of every whole page; no shuffle."""
-    return pages.withColumn(name, F.arrow_udf(_extract, "string")(F.col(html)))
+def with_main_text(pages: DataFrame, html: str = "html", name: str = "text") -> tuple[DataFrame, str]:
+    """``pages`` with the main text of every whole page, and the new column's name; no shuffle."""
+    name = free_name(pages, name)
+    return pages.withColumn(name, F.arrow_udf(_extract, "string")(F.col(html))), name

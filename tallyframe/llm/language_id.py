@@ -13,7 +13,9 @@ itself runs as Spark aggregations.  Every document is judged.
 Defined cases: a null text or one without a letter is ``und`` with score 0;
 ties between n-grams go to the smaller code, ties between languages to the
 smaller name; repeated rows get equal answers; without any labelled row
-everything is ``und``.
+everything is ``und``; an empty table gives an empty result.  A very long text
+is ranked whole, in memory of about 60 bytes a code point.  The new column is
+renamed if its name is taken; no column of the input changes.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import hash_fraction
+from tallyframe.llm.common import free_name, hash_fraction
 
 PROFILE_SIZE = 1000
 DOC_GRAMS = 400
@@ -155,7 +157,8 @@ def train(
     return Profiles(ranks, penalty=profile_size)
 
 
-def with_language(docs: DataFrame, profiles: Profiles, text: str = "text", name: str = "language") -> DataFrame:
-    """``docs`` with a struct ``{lang, score}`` predicted from the whole text alone."""
+def with_language(docs: DataFrame, profiles: Profiles, text: str = "text", name: str = "language") -> tuple[DataFrame, str]:
+    """``docs`` with a struct ``{lang, score}`` predicted from the whole text alone; returns the frame and the struct's name."""
+    name = free_name(docs, name)
     predict = F.arrow_udf(profiles.predict, "struct<lang: string, score: double>")
-    return docs.withColumn(name, predict(F.col(text)))
+    return docs.withColumn(name, predict(F.col(text))), name

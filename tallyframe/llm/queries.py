@@ -39,9 +39,9 @@ def op1_language_id(spark: SparkSession, root: str) -> DataFrame:
     docs = read_table(spark, root, "documents").select("doc_id", "text", "lang")
     held_out = id_crc32() % 4 == 2
     profiles = language_id.train(docs.filter(~held_out))
-    out = language_id.with_language(docs.select("doc_id", "text"), profiles)
-    return out.select("doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"),
-                      F.col("language.score").alias("score"))
+    out, info = language_id.with_language(docs.select("doc_id", "text"), profiles)
+    found = F.col(info)
+    return out.select("doc_id", held_out.alias("held_out"), found["lang"].alias("lang_pred"), found["score"].alias("score"))
 
 
 def op2_url_filters(spark: SparkSession, root: str) -> DataFrame:
@@ -53,8 +53,8 @@ def op2_url_filters(spark: SparkSession, root: str) -> DataFrame:
 
 def op3_html_extraction(spark: SparkSession, root: str) -> DataFrame:
     pages = read_table(spark, root, "pages").select("page_id", "url", "html")
-    out = html_extract.with_main_text(pages)
-    return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+    out, text = html_extract.with_main_text(pages)
+    return out.select("page_id", "url", F.col(text).alias("text"), F.length(text).cast("bigint").alias("n_chars"))
 
 
 def op4_decontamination(spark: SparkSession, root: str) -> DataFrame:
@@ -70,9 +70,10 @@ def op4_decontamination(spark: SparkSession, root: str) -> DataFrame:
 
 def op5_token_counts(spark: SparkSession, root: str) -> DataFrame:
     docs = read_table(spark, root, "documents").select("doc_id", "text")
-    out = token_counts.with_token_counts(docs, public_tokenizers.path(TOKENIZER))
+    out, n = token_counts.with_token_counts(docs, public_tokenizers.path(TOKENIZER))
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
-    return out.select("doc_id", n_bytes.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > token_counts.LIMIT).alias("over_limit"))
+    return out.select("doc_id", n_bytes.alias("n_bytes"), F.col(n).alias("n_tokens"),
+                      (F.col(n) > token_counts.LIMIT).alias("over_limit"))
 
 
 def op6_sharding(spark: SparkSession, root: str) -> DataFrame:
@@ -88,8 +89,8 @@ def op7_toxicity(spark: SparkSession, root: str) -> DataFrame:
     labels = read_table(spark, root, "labels").select("doc_id", "toxic")
     held_out = id_crc32() % 5 == 0
     model = toxicity.train(docs, labels.filter(~held_out))
-    out = toxicity.with_score(docs, model)
-    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    out, score = toxicity.with_score(docs, model)
+    return out.select("doc_id", held_out.alias("held_out"), F.col(score).alias("score"), (F.col(score) >= 0.5).cast("int").alias("predicted"))
 
 
 def op8_mixing(spark: SparkSession, root: str) -> DataFrame:

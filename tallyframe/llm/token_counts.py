@@ -17,7 +17,9 @@ on results.
 
 Defined cases: a null or empty text has 0 bytes and 0 tokens; special strings
 inside a text are single tokens (the library's default); repeated rows count
-alike; an empty table gives an empty result.
+alike; an empty table gives an empty result.  A very long text is counted whole
+(a very long piece costs its length in prefixes).  New columns are renamed if
+their names are taken; no column of the input changes.
 """
 
 from __future__ import annotations
@@ -317,26 +319,29 @@ def counter(path: str) -> PrefixCounter:
     return _tables[path]
 
 
-def with_token_counts(docs: DataFrame, path: str, text: str = "text", name: str = "n_tokens") -> DataFrame:
-    """``docs`` with the exact token count of every whole text; no shuffle."""
+def with_token_counts(docs: DataFrame, path: str, text: str = "text", name: str = "n_tokens") -> tuple[DataFrame, str]:
+    """``docs`` with the exact token count of every whole text, and the new column's name; no shuffle."""
+    name = free_name(docs, name)
     count = F.arrow_udf(lambda texts: pa.array(counter(path).batch_totals(texts)), "bigint")
-    return docs.withColumn(name, count(F.col(text)))
+    return docs.withColumn(name, count(F.col(text))), name
 
 
-def with_prefix_counts(docs: DataFrame, path: str, text: str = "text", name: str = "prefix_counts") -> DataFrame:
-    """``docs`` with an array of the token counts of every prefix (one more entry than code points)."""
+def with_prefix_counts(docs: DataFrame, path: str, text: str = "text", name: str = "prefix_counts") -> tuple[DataFrame, str]:
+    """``docs`` with an array of the token counts of every prefix (one more entry than code points), and its name."""
+    name = free_name(docs, name)
+
     def all_counts(texts: pa.Array) -> pa.Array:
         c = counter(path)
         return pa.array([c.prefix_counts(t) for t in texts.to_pylist()], pa.list_(pa.int64()))
 
-    return docs.withColumn(name, F.arrow_udf(all_counts, "array<bigint>")(F.col(text)))
+    return docs.withColumn(name, F.arrow_udf(all_counts, "array<bigint>")(F.col(text))), name
 
 
-def truncated(docs: DataFrame, path: str, budget: int, text: str = "text", name: str = "text_cut") -> DataFrame:
-    """``docs`` with the longest prefix of each text that has at most ``budget`` tokens."""
-    counts = free_name(docs, "prefix_counts")
+def truncated(docs: DataFrame, path: str, budget: int, text: str = "text", name: str = "text_cut") -> tuple[DataFrame, str]:
+    """``docs`` with the longest prefix of each text that has at most ``budget`` tokens, and the new column's name."""
+    name = free_name(docs, name)
+    marked, counts = with_prefix_counts(docs, path, text)
     # exists a prefix of length 0 with 0 tokens, so a match is always there.
     last = F.size(F.col(counts)) - F.array_position(F.reverse(F.transform(
         F.col(counts), lambda n: n <= F.lit(budget))), F.lit(True))
-    marked = with_prefix_counts(docs, path, text, counts)
-    return marked.withColumn(name, F.substring(F.col(text), F.lit(1), last.cast("int"))).drop(counts)
+    return marked.withColumn(name, F.substring(F.col(text), F.lit(1), last.cast("int"))).drop(counts), name

@@ -12,9 +12,12 @@ and the weights are averaged.  The averaged nonzero weights (at most
 ``2**BITS``) are sent with the scoring function.
 
 Defined cases: a null or empty text, or one without words, has no features and
-scores the model's base rate; rows with a null label or id are not trained on;
+scores the model's base rate; rows with a null id, or a label that is null or
+not 0 or 1 (``n/a``), are not trained on; an empty table gives an empty result;
 repeated rows score alike; with no usable labels, or only one class, every
-score is the (smoothed) base rate.  Only the text enters a score.
+score is the (smoothed) base rate.  Only the text enters a score.  A very long
+text is scored whole, in memory of about 40 bytes a byte.  The new column is
+renamed if its name is taken; no column of the input changes.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import distinct, hash_fraction, mix64, separator_table, text_chunks, words_of
+from tallyframe.llm.common import distinct, free_name, hash_fraction, mix64, separator_table, text_chunks, words_of
 from tallyframe.operators.joins import checked_broadcast
 
 BITS = 20
@@ -112,7 +115,7 @@ def train(
     max_rows: int = MAX_ROWS,
 ) -> Model:
     """Fit on the rows of ``docs`` that ``labels`` marks 0 or 1."""
-    usable = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).filter(
+    usable = labels.select(F.col(doc_id).alias("id"), F.col(label).try_cast("int").alias("y")).filter(
         F.col("id").isNotNull() & F.col("y").isin(0, 1)
     ).groupBy("id").agg(F.max("y").alias("y"))
     total = usable.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y")).first()
@@ -140,7 +143,8 @@ def train(
     return Model(base, np.array([r["slot"] for r in nonzero], np.int64), np.array([r["weight"] for r in nonzero]))
 
 
-def with_score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with the model's probability for every whole text."""
+def with_score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> tuple[DataFrame, str]:
+    """``docs`` with the model's probability for every whole text; returns the frame and the new column's name."""
+    name = free_name(docs, name)
     score = F.arrow_udf(model.scores, "double")
-    return docs.withColumn(name, score(F.col(text)))
+    return docs.withColumn(name, score(F.col(text))), name

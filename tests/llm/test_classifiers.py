@@ -32,12 +32,13 @@ def test_language_ignores_everything_but_the_text(spark, make_docs):
     assert profiles.languages == ["de", "en"]
     docs = make_docs([(1, "the dog and fox", "de"), (1, "the dog and fox", None), (None, "und der hund", "en"), (2, None), (3, ""),
                       (4, "123 ... !?"), (5, "\u0394\u03b5\u03bd"), (6, "the " * 50_000)], clashing=True)
-    got = language_id.with_language(docs.drop("language"), profiles).select("doc_id", "text", "language").collect()
-    found = [(r["language"]["lang"], r["language"]["score"]) for r in got]
+    out, name = language_id.with_language(docs, profiles)
+    assert out.columns == [*docs.columns, name] and out.drop(name).collect() == docs.collect()
+    found = [(r[name]["lang"], r[name]["score"]) for r in out.collect()]
     assert [f[0] for f in found] == ["en", "en", "de", "und", "und", "und", found[6][0], "en"]
     assert found[0] == found[1] and [f[1] for f in found[3:6]] == [0.0] * 3
     assert found[6][0] in ("de", "en")  # letters that no profile has: a tie, the smaller name
-    assert language_id.with_language(docs.limit(0), profiles, name="l").count() == 0
+    assert language_id.with_language(docs.limit(0), profiles)[0].count() == 0
     nothing = language_id.train(train.filter("lang IS NULL"))
     assert nothing.predict(pa.array(["the"])).to_pylist() == [{"lang": "und", "score": 0.0}]
 
@@ -83,13 +84,16 @@ def test_toxicity_cases(spark, make_docs):
     docs = make_docs([(i, t + (" vile" if i % 4 == 0 else "")) for i, t in enumerate(plain)])
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)] + [(None, 1), (3, None), (77777, 1)], "doc_id bigint, toxic int")
     model = toxicity.train(docs, labels)
+    odd = labels.selectExpr("doc_id", "CAST(toxic AS string) AS toxic").union(spark.createDataFrame([(5, "n/a"), (6, "2")], "doc_id bigint, toxic string"))
+    assert np.array_equal(toxicity.train(docs, odd).weights, model.weights)
     assert 0 < len(model.slots) < 2000
     probe = make_docs([(1, "VILE river"), (1, "VILE river"), (2, "sun, rain"), (3, None), (4, ""), (5, " .,! "), (6, "tree " * 40_000)], clashing=True)
-    got = toxicity.with_score(probe.drop("score"), model).select("score").collect()
-    s = [r["score"] for r in got]
+    out, name = toxicity.with_score(probe, model)
+    assert out.columns == [*probe.columns, name] and out.drop(name).collect() == probe.collect()
+    s = [r[name] for r in out.collect()]
     assert s[0] == s[1] > 0.5 > s[2] and s[3] == s[4] == s[5] and 0 <= s[6] <= 1
     one_class = toxicity.train(docs, labels.filter("toxic = 0"))
     assert len(one_class.slots) == 0 and one_class.scores(pa.array(["vile", None])).to_pylist()[0] < 0.5
     empty = toxicity.train(docs.limit(0), labels.limit(0))
     assert empty.scores(pa.array(["x"])).to_pylist() == [0.5]
-    assert toxicity.with_score(probe.limit(0), model, name="toxicity").count() == 0
+    assert toxicity.with_score(probe.limit(0), model)[0].count() == 0

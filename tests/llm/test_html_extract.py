@@ -144,9 +144,10 @@ def test_rows_and_columns(spark):
     from tallyframe.llm.html_extract import with_main_text
 
     pages = spark.createDataFrame([(1, None, "t"), (1, None, "t"), (None, "<p>x</p>", "t")], "page_id bigint, html string, text string")
-    got = with_main_text(pages, name="main_text").collect()
-    assert sorted((r["main_text"], r["text"]) for r in got) == [("", "t"), ("", "t"), ("x", "t")]
-    assert with_main_text(pages.limit(0)).count() == 0
+    out, name = with_main_text(pages)
+    assert out.columns == [*pages.columns, name]
+    assert sorted((r[name], r["text"]) for r in out.collect()) == [("", "t"), ("", "t"), ("x", "t")]
+    assert with_main_text(pages.limit(0))[0].count() == 0
 
 
 SIX = [f"Paragraph {i} tells of rain, wind and tides, of boats that stay in, and of people who mend nets, number {i}." for i in range(6)]

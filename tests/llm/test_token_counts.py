@@ -67,13 +67,18 @@ def test_a_small_memory_gives_the_same_counts(library, monkeypatch):
 
 def test_truncation_and_arrays(spark, make_docs, library):
     docs = make_docs([(1, "The thanedble fox, don't you know?\n\n  Yes."), (2, None), (3, ""), (4, "é" * 50), (1, "a" * 5000)], clashing=True)
-    cut = tc.truncated(docs, PATH, 5).select("text", "text_cut", "n_tokens").collect()
+    out, name = tc.truncated(docs, PATH, 5)
+    assert out.columns == [*docs.columns, name] and name == "text_cut"
+    cut = out.select("text", "text_cut").collect()
     for r in cut:
         if r["text"] is None:
             assert r["text_cut"] is None
         else:
             best = max(i for i in range(min(len(r["text"]), 400) + 1) if count(library, r["text"][:i]) <= 5)
             assert r["text_cut"] == r["text"][:best]
-    arrays = tc.with_prefix_counts(docs, PATH).select(F.size("prefix_counts").alias("n"), "text").collect()
+    arrays = tc.with_prefix_counts(docs, PATH)[0].select(F.size("prefix_counts").alias("n"), "text").collect()
     assert all(r["n"] == len(r["text"] or "") + 1 for r in arrays)
-    assert tc.with_token_counts(docs.limit(0), PATH, name="tokens").count() == 0
+    out, name = tc.with_token_counts(docs, PATH)
+    assert out.columns == [*docs.columns, name] and out.drop(name).collect() == docs.collect()
+    assert [r[name] for r in out.collect()] == [count(library, r["text"] or "") for r in docs.collect()]
+    assert tc.with_token_counts(docs.limit(0), PATH)[0].count() == 0
